@@ -71,32 +71,34 @@ def distinct_changes(
 
 
 def _task_share(df: DataFrame, hot_key_rows: int) -> Column:
-    """Rows that one task should order at most: an even share, but not a tiny one."""
+    """Rows that one task should order at most: an even share, but not a tiny one.
+
+    The count names no column, so a Parquet scan answers it from file footers.
+    """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     even = df.agg(F.count(F.lit(1)).alias("n")).scalar() / F.lit(tasks)
     return F.greatest(even, F.lit(float(max(hot_key_rows, 1))))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], share: Column) -> DataFrame:
     """Keys with more rows than a task's share.
 
     There are fewer of them than shuffle partitions, whatever the data, so the result
     may be broadcast.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.filter(F.col("_rows") > _task_share(df, hot_key_rows)).select(*keys)
+    return counts.filter(F.col("_rows") > share).select(*keys)
 
 
 def _fences(
-    df: DataFrame, hot: DataFrame, keys: Sequence[str], sequence_by: str, hot_key_rows: int
+    df: DataFrame, hot: DataFrame, keys: Sequence[str], sequence_by: str, share: Column
 ) -> DataFrame:
     """Per hot key a sorted list of sequence values, one in about a task's share of rows.
 
     The pick depends on the value alone, so a retried or repeated scan picks the same
     ones. All lists together hold about as many entries as there are shuffle partitions.
     """
-    stride = _task_share(df, hot_key_rows).cast("bigint")
-    picked = F.pmod(F.xxhash64(sequence_by), stride) == 0
+    picked = F.pmod(F.xxhash64(sequence_by), share.cast("bigint")) == 0
     return (
         df.select(*keys, sequence_by)
         .join(F.broadcast(hot), list(keys), "left_semi")
@@ -135,8 +137,9 @@ def versions(
     kind = changes.schema[sequence_by].dataType
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    hot = hot_keys(changes, keys, hot_key_rows)
-    fences = _fences(changes, hot, keys, sequence_by, hot_key_rows)
+    share = _task_share(df, hot_key_rows)
+    hot = hot_keys(changes, keys, share)
+    fences = _fences(changes, hot, keys, sequence_by, share)
     ordinary = changes.join(F.broadcast(hot), list(keys), "left_anti").withColumns(
         {"_slice": F.lit(0), "_fence": F.lit(None).cast(kind)}
     )

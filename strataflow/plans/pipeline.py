@@ -50,7 +50,7 @@ class Pipeline:
         document: Document | Mapping[str, Any] | str,
         root: str | None = None,
         aes_key: str | None = None,
-        max_bytes_per_batch: str | None = None,
+        max_bytes_per_batch: int | None = None,
     ):
         if isinstance(document, str):
             document = load_document(spark, document)

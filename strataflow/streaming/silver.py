@@ -6,11 +6,21 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from strataflow.functions.rules import compile_rules, passes, sequence_rules
 from strataflow.functions.transforms import transform, transformation_map
 from strataflow.operators.quality import (
+    CODES,
+    REJECTED_AT,
+    VERDICT,
     clean_rows,
     read_routed,
     rejected_rows,
@@ -62,9 +72,14 @@ def prepare(clean: DataFrame, silver: Silver, aes_key: str | None = None) -> Dat
 
 def quarantine_schema(bronze: StructType) -> StructType:
     """What a quarantine table has beside the source columns."""
-    return StructType([*bronze]).add("is_quarantined", "boolean").add(
-        "arrayCodeByField", "array<string>"
-    ).add("quarantined_at", "timestamp")
+    return StructType(
+        [
+            *bronze,
+            StructField(VERDICT, BooleanType()),
+            StructField(CODES, ArrayType(StringType())),
+            StructField(REJECTED_AT, TimestampType()),
+        ]
+    )
 
 
 def _save_expectations(

@@ -40,7 +40,7 @@ def read_appended(spark: SparkSession, path: str, schema: StructType) -> DataFra
 
 
 def stream_appended(
-    spark: SparkSession, path: str, schema: StructType, max_bytes: str | None = None
+    spark: SparkSession, path: str, schema: StructType, max_bytes: int | None = None
 ) -> DataFrame:
     """New batches of an append table as a stream."""
     make_folder(spark, path)

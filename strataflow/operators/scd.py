@@ -117,27 +117,17 @@ def _rank_among(fences: str, value: str, tasks: int) -> Column:
     )
 
 
-def versions(
-    df: DataFrame,
+def _cut_hot_keys(
+    changes: DataFrame,
     keys: Sequence[str],
     sequence_by: str,
-    compare_last: Iterable[str] = (),
-    hot_key_rows: int = HOT_KEY_ROWS,
+    compare_last: Sequence[str],
+    share: Column,
 ) -> DataFrame:
-    """Type 2: every version with ``[valid_from, valid_to)`` and ``is_current``.
-
-    A key below a task's share is ordered in one task: one shuffle and one sort give
-    both the collapse of equal sequences and the next version. A hot key is first
-    reduced to one row per sequence value, then cut at its fences. A fence is itself a
-    sequence value of the key, so it is exactly the end of the last version before it
-    and no task needs to see its neighbour.
-    """
-    compare_last = list(compare_last)
-    changes = sequenced(df, keys, sequence_by)
+    """Give every row a slice, so that no (key, slice) exceeds a task's share by much,
+    and the sequence value at which the next slice of its key starts."""
     kind = changes.schema[sequence_by].dataType
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    share = _task_share(df, hot_key_rows)
+    tasks = int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(changes, keys, share)
     fences = _fences(changes, hot, keys, sequence_by, share)
     ordinary = changes.join(F.broadcast(hot), list(keys), "left_anti").withColumns(
@@ -153,15 +143,43 @@ def versions(
         .withColumn("_fence", F.get("_fences", F.col("_slice")))
         .drop("_fences")
     )
-    rows = ordinary.unionByName(cut)
+    return ordinary.unionByName(cut)
 
-    order = Window.partitionBy(*keys, "_slice").orderBy(
+
+def versions(
+    df: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str,
+    compare_last: Iterable[str] = (),
+    hot_key_rows: int | None = HOT_KEY_ROWS,
+) -> DataFrame:
+    """Type 2: every version with ``[valid_from, valid_to)`` and ``is_current``.
+
+    A key below a task's share is ordered in one task: one shuffle and one sort give
+    both the collapse of equal sequences and the next version. A hot key is first
+    reduced to one row per sequence value, then cut at its fences. A fence is itself a
+    sequence value of the key, so it is exactly the end of the last version before it
+    and no task needs to see its neighbour.
+
+    ``hot_key_rows=None`` leaves the search for hot keys out, for a caller who knows
+    that there are none.
+    """
+    compare_last = list(compare_last)
+    rows = sequenced(df, keys, sequence_by)
+    partition = list(keys)
+    if hot_key_rows is not None:
+        share = _task_share(df, hot_key_rows)
+        rows = _cut_hot_keys(rows, keys, sequence_by, compare_last, share)
+        partition.append("_slice")
+
+    order = Window.partitionBy(*partition).orderBy(
         F.col(sequence_by), *_tie_order(df, keys, sequence_by, compare_last)
     )
-    previous = F.lag(sequence_by).over(order)
-    following = F.coalesce(F.lead(sequence_by).over(order), F.col("_fence"))
+    following = F.lead(sequence_by).over(order)
+    if hot_key_rows is not None:
+        following = F.coalesce(following, F.col("_fence"))
     return (
-        rows.withColumn("_previous", previous)
+        rows.withColumn("_previous", F.lag(sequence_by).over(order))
         .filter(F.col("_previous").isNull() | (F.col("_previous") != F.col(sequence_by)))
         .withColumn(VALID_TO, following)
         .withColumn(VALID_FROM, F.col(sequence_by))

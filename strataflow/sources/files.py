@@ -14,6 +14,7 @@ from strataflow.sources.schema import apply_hints, from_ddl
 # Discovery options, which a document may write with a dotted prefix.
 DISCOVERY_OPTIONS = ("schemaHints", "inferColumnTypes", "schemaEvolutionMode", "schemaLocation")
 
+FILES_PER_BATCH = 10_000
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -74,7 +75,9 @@ def read_stream(spark: SparkSession, source: Source, path: str, schema: StructTy
 def discover_stream(spark: SparkSession, source: Source, path: str) -> DataFrame:
     """Names of new files under one path; their content is not read."""
     limits = ("maxFilesPerTrigger", "maxBytesPerTrigger", "recursiveFileLookup", "pathGlobFilter")
-    options = {k: v for k, v in source.options.items() if k in limits}
+    # The names of one batch pass through the driver, so their number has a limit.
+    options = {"maxFilesPerTrigger": str(FILES_PER_BATCH)}
+    options.update({k: v for k, v in source.options.items() if k in limits})
     reader = spark.readStream.format("binaryFile").schema(_LISTING).options(**options)
     return reader.load(path).select("path")
 

@@ -88,7 +88,8 @@ class VersionLog:
             stream.write(bytearray(json.dumps(document), "utf-8"))
         finally:
             stream.close()
-        if not fs.rename(draft, _open(self.spark, final)[1]):
+        target = _open(self.spark, final)[1]
+        if fs.exists(target) or not fs.rename(draft, target):
             raise RuntimeError(f"{final} was written by someone else")
         return version
 

@@ -138,13 +138,37 @@ class KeyedTable:
                 StructField(BUCKET, IntegerType()),
             ]
         )
-        folder = make_folder(self.spark, f"{self.path}/data")
-        rows = self.spark.read.schema(stored).parquet(folder)
+        folders = self._folders(state)
+        if not folders:
+            return self.spark.createDataFrame([], stored)
+        reader = self.spark.read.schema(stored).option("basePath", f"{self.path}/data")
+        rows = reader.parquet(*folders)
         since = F.when(F.col(CURRENT), self._since(state["current_since"])).otherwise(
             self._since(state["history_since"])
         )
         return rows.filter((F.col(VERSION) <= state["version"]) & (F.col(VERSION) >= since))
 
+    def _folders(self, state: dict[str, Any]) -> list[str]:
+        """Folders with at least one live bucket, so that dead versions and the remains
+        of a failed write are not even listed. There are about ``compact_after``."""
+        current, oldest = set(state["current_since"]), min(state["history_since"])
+        found = []
+        for version in self._versions():
+            if version > state["version"]:
+                continue
+            folder = f"{self.path}/data/{VERSION}={version}"
+            for side in children(self.spark, folder):
+                if version in current if side == f"{CURRENT}=true" else (
+                    side == f"{CURRENT}=false" and version >= oldest
+                ):
+                    found.append(f"{folder}/{side}")
+        return found
+
+    def _versions(self) -> list[int]:
+        prefix = f"{VERSION}="
+        names = children(self.spark, f"{self.path}/data")
+        return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix))
+
     @staticmethod
     def _since(floors: list[int]) -> Column:
         return F.get(F.lit(floors), F.col(BUCKET))
@@ -218,13 +242,16 @@ class KeyedTable:
     def _merge_type2(
         self, state: dict[str, Any], rows: DataFrame, version: int
     ) -> DataFrame | None:
-        touched, late = self._touched(state, rows)
+        touched, late, most = self._touched(state, rows)
         if not touched:
             return None
         # Before floors move: what is live now.
         pools = [rows, self._stored(state, current=True, buckets=touched)]
         if late:
-            pools.append(self._stored(state, current=False, buckets=late))
+            history = self._stored(state, current=False, buckets=late)
+            pools.append(history)
+            # Counted from file footers: no column is read.
+            most += max((r[1] for r in history.groupBy(BUCKET).count().collect()), default=0)
         for bucket in touched:
             state["current_since"][bucket] = version
         for bucket in late:
@@ -234,16 +261,22 @@ class KeyedTable:
             self.keys,
             self.sequence_by,
             [*self.compare_last, BUCKET],
-            self.hot_key_rows,
+            # No key can be hot when its whole bucket is small.
+            self.hot_key_rows if most >= self.hot_key_rows else None,
         )
 
-    def _touched(self, state: dict[str, Any], rows: DataFrame) -> tuple[list[int], list[int]]:
-        """Buckets that get rows, and those of them whose history must be re-cut.
+    def _touched(
+        self, state: dict[str, Any], rows: DataFrame
+    ) -> tuple[list[int], list[int], int]:
+        """Buckets that get rows, those of them whose history must be re-cut, and the
+        most rows any key of the batch can have, its current row included.
 
-        The batch is first reduced to the earliest sequence of each key, so neither the
-        join nor the result (at most one row per bucket) grows with a hot key.
+        The batch is first reduced to one row per key, so neither the join nor the
+        result (at most one row per bucket) grows with a hot key.
         """
-        earliest = rows.groupBy(*self.keys, BUCKET).agg(F.min(self.sequence_by).alias("_first"))
+        earliest = rows.groupBy(*self.keys, BUCKET).agg(
+            F.min(self.sequence_by).alias("_first"), F.count(F.lit(1)).alias("_rows")
+        )
         known = self._live(state).filter(F.col(CURRENT)).select(
             *self.keys, BUCKET, F.col(self.sequence_by).alias("_stored")
         )
@@ -252,7 +285,7 @@ class KeyedTable:
         found = (
             earliest.join(known, [*self.keys, BUCKET], "left")
             .groupBy(BUCKET)
-            .agg(is_late.alias("late"))
+            .agg(is_late.alias("late"), F.max("_rows").alias("most"))
             .collect()
         )
         touched = sorted(r[0] for r in found)
@@ -261,7 +294,8 @@ class KeyedTable:
             for b in touched
             if state["version"] - state["history_since"][b] >= self.compact_after
         }
-        return touched, sorted({r[0] for r in found if r[1]} | grown)
+        most = max((r[2] for r in found), default=0) + 1
+        return touched, sorted({r[0] for r in found if r[1]} | grown), most
 
     # -- housekeeping ------------------------------------------------------------
 
@@ -271,23 +305,19 @@ class KeyedTable:
         states = [self.log.read(n) for n in numbers]
         if not states:
             return
-        data = f"{self.path}/data"
-        for name in children(self.spark, data):
-            if not name.startswith(f"{VERSION}="):
-                continue
-            version = int(name.split("=")[1])
+        for version in self._versions():
             if version > states[-1]["version"]:
                 continue  # being written
+            folder = f"{self.path}/data/{VERSION}={version}"
             for side, floors in (("true", "current_since"), ("false", "history_since")):
-                folder = f"{data}/{name}/{CURRENT}={side}"
-                for bucket in children(self.spark, folder):
-                    number = int(bucket.split("=")[1])
-                    alive = any(s[floors][number] <= version <= s["version"] for s in states)
-                    if not alive:
-                        delete(self.spark, f"{folder}/{bucket}")
-                if not children(self.spark, folder):
-                    delete(self.spark, folder)
-            if not [c for c in children(self.spark, f"{data}/{name}") if not c.startswith("_")]:
-                delete(self.spark, f"{data}/{name}")
+                buckets = f"{folder}/{CURRENT}={side}"
+                for name in children(self.spark, buckets):
+                    number = int(name.split("=")[1])
+                    if not any(s[floors][number] <= version <= s["version"] for s in states):
+                        delete(self.spark, f"{buckets}/{name}")
+                if not children(self.spark, buckets):
+                    delete(self.spark, buckets)
+            if not any(n.startswith(CURRENT) for n in children(self.spark, folder)):
+                delete(self.spark, folder)
         self.log.forget_before(numbers[0])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from functools import partial
 from graphlib import TopologicalSorter
 from typing import Any
 
@@ -115,21 +116,12 @@ class Pipeline:
         """One update: new files to bronze, new rows to silver, gold from silver."""
         root = self._root()
         flows = [f for group in self._flows().values() for f in group]
-        _drain(start_ingest(self.spark, flow) for flow in flows)
+        _drain(partial(start_ingest, self.spark, flow) for flow in flows)
         for stage in self._silver_stages():
-            started = []
-            for silver in stage:
-                schema = self._append_schema(silver.source)
-                if schema is None:
-                    continue  # no file has arrived yet
-                source = stream_appended(
-                    self.spark, self._append_path(silver.source), schema, self.max_bytes_per_batch
-                )
-                started.append(
-                    start_silver(source, silver, self.keyed(silver), root, self.aes_key)
-                )
-            _drain(started)
-            for silver in stage:
+            # A source without a schema has not seen a file yet.
+            ready = [s for s in stage if self._append_schema(s.source) is not None]
+            _drain(partial(self._start_silver, silver) for silver in ready)
+            for silver in ready:
                 self.keyed(silver).vacuum()
         golds = {g.target: g for g in self.document.golds}
         for name in self.order:
@@ -137,6 +129,15 @@ class Pipeline:
                 result = self._gold(golds[name], self.table(golds[name].source))
                 SnapshotTable(self.spark, f"{root}/gold/{name}").write(result)
 
+    def _start_silver(self, silver: Silver) -> StreamingQuery:
+        source = stream_appended(
+            self.spark,
+            self._append_path(silver.source),
+            self._append_schema(silver.source),
+            self.max_bytes_per_batch,
+        )
+        return start_silver(source, silver, self.keyed(silver), self._root(), self.aes_key)
+
     def _silver_stages(self) -> list[list[Silver]]:
         """Silver tables that can be updated together; one may read another's rejects."""
         by_name = {s.target: s for s in self.document.silvers}
@@ -239,6 +240,31 @@ class Pipeline:
         policies = [p for p in self.document.policies if p["table_name"] == name]
         return governed((table or self.table)(name), policies, membership or member_of(()))
 
+    def register(
+        self, membership: Membership | None = None, database: str | None = None
+    ) -> list[str]:
+        """Make every stored table readable by name in SQL, under its policies.
+
+        Views are temporary and show the state of the last update. With a database,
+        bronze tables are also declared there, as catalog tables over their folders.
+        """
+        names = [n for n in self.order if self._exists(n)]
+        for name in names:
+            self.governed(name, membership).createOrReplaceTempView(name)
+        for name in self.document.bronze_tables if database else ():
+            if name in names:
+                self._declare_bronze(name, f"{database}.{name}")
+        return names
+
+    def _declare_bronze(self, name: str, table: str) -> None:
+        columns = self._append_schema(name).toDDL()
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet "
+            f"OPTIONS (path '{self._append_path(name)}', recursiveFileLookup 'true') "
+            f"COMMENT 'Raw rows of {name}' TBLPROPERTIES ('quality' = 'bronze')"
+        )
+
     def run_sinks(
         self,
         membership: Membership | None = None,
@@ -254,10 +280,14 @@ class Pipeline:
         )
 
 
-def _drain(queries: Iterable[StreamingQuery]) -> None:
-    """Wait for every query, then report the first failure."""
-    started = list(queries)
-    failures = []
+def _drain(starters: Iterable[Callable[[], StreamingQuery]]) -> None:
+    """Start all queries, wait for each, then report the first failure."""
+    started, failures = [], []
+    for start in starters:
+        try:
+            started.append(start())
+        except Exception as error:  # noqa: BLE001 - the others still run
+            failures.append(error)
     for query in started:
         try:
             query.awaitTermination()

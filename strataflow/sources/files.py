@@ -15,6 +15,11 @@ from strataflow.sources.schema import apply_hints, from_ddl
 DISCOVERY_OPTIONS = ("schemaHints", "inferColumnTypes", "schemaEvolutionMode", "schemaLocation")
 
 FILES_PER_BATCH = 10_000
+
+# Spark's file source forgets, and then ignores, files a week older than the newest one.
+# A file that arrives with an old timestamp must not be lost.
+KEEP_OLD_FILES = {"maxFileAge": "36500d"}
+
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -68,15 +73,21 @@ def read_batch(
 
 def read_stream(spark: SparkSession, source: Source, path: str, schema: StructType) -> DataFrame:
     """New files under one path."""
-    reader = spark.readStream.format(source.format).schema(schema)
+    reader = spark.readStream.format(source.format).schema(schema).options(**KEEP_OLD_FILES)
     return reader.options(**reader_options(source)).load(path)
 
 
 def discover_stream(spark: SparkSession, source: Source, path: str) -> DataFrame:
     """Names of new files under one path; their content is not read."""
-    limits = ("maxFilesPerTrigger", "maxBytesPerTrigger", "recursiveFileLookup", "pathGlobFilter")
+    limits = (
+        "maxFilesPerTrigger",
+        "maxBytesPerTrigger",
+        "maxFileAge",
+        "recursiveFileLookup",
+        "pathGlobFilter",
+    )
     # The names of one batch pass through the driver, so their number has a limit.
-    options = {"maxFilesPerTrigger": str(FILES_PER_BATCH)}
+    options = {**KEEP_OLD_FILES, "maxFilesPerTrigger": str(FILES_PER_BATCH)}
     options.update({k: v for k, v in source.options.items() if k in limits})
     reader = spark.readStream.format("binaryFile").schema(_LISTING).options(**options)
     return reader.load(path).select("path")

@@ -64,10 +64,27 @@ def route_silver(
     return route(df, rules), rules
 
 
+def _has_node(plan, name: str) -> bool:
+    if plan.nodeName() == name:
+        return True
+    parts = plan.children()
+    return any(_has_node(parts.apply(i), name) for i in range(parts.size()))
+
+
 def prepare(clean: DataFrame, silver: Silver, aes_key: str | None = None) -> DataFrame:
-    """Clean rows plus derived columns."""
+    """Clean rows plus derived columns.
+
+    A window function would see one batch of the change stream at a time, so its result
+    would depend on how rows arrived; it is an error here and belongs in gold.
+    """
     helpers = [c for c in clean.columns if c.startswith("_has_")]
-    return transform(clean.drop(*helpers), silver.transformations, aes_key)
+    rows = clean.drop(*helpers)
+    made = transform(rows, silver.transformations, aes_key)
+    if any("over" in str(t.get("params")).lower() for t in silver.transformations):
+        before, after = (f._jdf.queryExecution().analyzed() for f in (rows, made))
+        if _has_node(after, "Window") and not _has_node(before, "Window"):
+            raise ValueError(f"{silver.target}: window functions work in gold tables only")
+    return made
 
 
 def quarantine_schema(bronze: StructType) -> StructType:

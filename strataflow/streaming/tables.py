@@ -23,6 +23,7 @@ from strataflow.operators.scd import (
     sequenced,
     versions,
 )
+from strataflow.sources.files import KEEP_OLD_FILES
 from strataflow.storage import VersionLog, children, delete, make_folder
 
 VERSION, BUCKET = "_version", "_bucket"
@@ -45,6 +46,7 @@ def stream_appended(
     """New batches of an append table as a stream."""
     make_folder(spark, path)
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    reader = reader.options(**KEEP_OLD_FILES)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(path)

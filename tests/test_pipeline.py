@@ -285,6 +285,19 @@ def test_incremental_equals_batch(spark, tmp_path, aes):
     assert {r.email for r in spark.read.json(f"{tmp_path}/out/sealed").collect()} == {"***@****"}
     assert {r.error for r in update.audit().collect()} == {None}
 
+    # By name in SQL.
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS lake LOCATION 'file://{tmp_path}/db'")
+    try:
+        assert "by_department" in update.register(database="lake")
+        assert spark.sql("SELECT sum(total) AS n FROM by_department").first().n == 4
+        assert spark.sql("SELECT count(*) AS n FROM sealed").first().n == 2
+        assert spark.sql("SELECT count(*) AS n FROM lake.person_in").first().n == 9
+        properties = spark.sql("SHOW TBLPROPERTIES lake.person_in ('quality')").first()
+        assert properties.value == "bronze"
+    finally:
+        spark.sql("DROP DATABASE lake CASCADE")
+    assert update.table("person_in").count() == 9
+
 
 def test_interrupted_silver_batch_is_finished_once(spark, tmp_path, aes):
     """The keyed table has the batch, the checkpoint does not: the replay is skipped."""
@@ -378,6 +391,39 @@ def test_derived_key_and_rejects_as_source(spark, tmp_path):
         assert [r.raw_or_none for r in tables("again").collect()] == ["none"]
 
 
+def test_window_function_is_rejected_in_silver(spark, tmp_path):
+    raw = document(tmp_path)
+    silver = raw["dataflows"][0]["transformations_silver"][0]
+    number = "row_number() over (partition by office order by ts)"
+    silver["transformations"] = [{"target_col": "n", "type": "sql_expr", "params": number}]
+    first_files(tmp_path)
+    with pytest.raises(ValueError, match="gold tables only"):
+        Pipeline(spark, raw).build()
+    silver["transformations"] = []
+    gold = raw["dataflows"][0]["transformations_gold"]
+    gold[:] = [
+        {
+            "target_gold_table": "numbered",
+            "source_silver": "person_clean",
+            "transformations": [{"target_col": "n", "type": "sql_expr", "params": number}],
+        }
+    ]
+    rows = Pipeline(spark, raw).build()["numbered"].collect()
+    assert sorted(r.n for r in rows) == [1, 1, 2]
+
+
+def test_one_broken_source_does_not_stop_the_others(spark, tmp_path, aes):
+    first_files(tmp_path)
+    raw = document(tmp_path)
+    raw["dataflows"][0]["sources"].insert(
+        0, {"name": "lost_in", "path": f"file://{tmp_path}/nowhere", "schema": "a INT"}
+    )
+    update = Pipeline(spark, raw, f"file://{tmp_path}/lake")
+    with pytest.raises(Exception, match="nowhere"):
+        update.run()
+    assert update.table("person_in").count() == 7
+
+
 def test_unknown_table_and_missing_root(spark, tmp_path):
     with pytest.raises(ValueError, match="root"):
         Pipeline(spark, document(tmp_path)).run()

@@ -1,4 +1,6 @@
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql.types import StructType
@@ -97,6 +99,18 @@ def test_only_new_files_and_fan_in(spark, tmp_path):
     assert sorted(r.id for r in update.table("b").collect()) == ["1", "2", "3", "3"]
 
 
+@pytest.mark.parametrize("schema", [None, "id STRING"])
+def test_file_with_an_old_timestamp_is_not_ignored(spark, tmp_path, schema):
+    source = {"name": "b", "path": f"file://{tmp_path}/in", "schema": schema}
+    update = bronze(spark, tmp_path, source)
+    for name, days in (("1", 0), ("2", 0), ("3", 400)):
+        put(tmp_path / "in", f"{name}.json", [{"id": name}])
+        then = time.time() - days * 86400
+        os.utime(tmp_path / "in" / f"{name}.json", (then, then))
+        update.run()
+    assert sorted(r.id for r in update.table("b").collect()) == ["1", "2", "3"]
+
+
 def test_all_items_of_a_path_list_are_read_and_order_does_not_matter(spark, tmp_path):
     for name in "abc":
         put(tmp_path / name, "1.json", [{"id": name}])

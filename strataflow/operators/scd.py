@@ -90,24 +90,6 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: Column) -> DataFrame:
     return counts.filter(F.col("_rows") > share).select(*keys)
 
 
-def _fences(
-    df: DataFrame, hot: DataFrame, keys: Sequence[str], sequence_by: str, share: Column
-) -> DataFrame:
-    """Per hot key a sorted list of sequence values, one in about a task's share of rows.
-
-    The pick depends on the value alone, so a retried or repeated scan picks the same
-    ones. All lists together hold about as many entries as there are shuffle partitions.
-    """
-    picked = F.pmod(F.xxhash64(sequence_by), share.cast("bigint")) == 0
-    return (
-        df.select(*keys, sequence_by)
-        .join(F.broadcast(hot), list(keys), "left_semi")
-        .filter(picked)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_set(sequence_by)).alias("_fences"))
-    )
-
-
 def _rank_among(fences: str, value: str, tasks: int) -> Column:
     """How many entries of a sorted array are <= value, by halving steps."""
     steps = ", ".join(str(1 << i) for i in reversed(range(tasks.bit_length() + 4)))
@@ -125,25 +107,41 @@ def _cut_hot_keys(
     share: Column,
 ) -> DataFrame:
     """Give every row a slice, so that no (key, slice) exceeds a task's share by much,
-    and the sequence value at which the next slice of its key starts."""
+    and the sequence value at which the next slice of its key starts.
+
+    Fences are sequence values of a hot key, one in about a task's share. The pick
+    depends on the value alone, so a retried or repeated scan picks the same ones. Copies
+    of one (key, sequence) cannot be cut apart; where they exceed a task's share they are
+    reduced to one first. Both lists come from one count per (key, sequence) of the hot
+    keys and have about as many entries as there are shuffle partitions, at most. With no
+    hot key they are empty, and adaptive execution drops their joins from the plan.
+    """
     kind = changes.schema[sequence_by].dataType
     tasks = int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(changes, keys, share)
-    fences = _fences(changes, hot, keys, sequence_by, share)
-    ordinary = changes.join(F.broadcast(hot), list(keys), "left_anti").withColumns(
-        {"_slice": F.lit(0), "_fence": F.lit(None).cast(kind)}
+    group = [*keys, sequence_by]
+    counts = (
+        changes.select(*group)
+        .join(F.broadcast(hot_keys(changes, keys, share)), list(keys), "left_semi")
+        .groupBy(*group)
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    busy = distinct_changes(
-        changes.join(F.broadcast(hot), list(keys), "left_semi"), keys, sequence_by, compare_last
+    fences = (
+        counts.filter(F.pmod(F.xxhash64(sequence_by), share.cast("bigint")) == 0)
+        .groupBy(*keys)
+        .agg(F.sort_array(F.collect_list(sequence_by)).alias("_fences"))
+    )
+    copied = F.broadcast(counts.filter(F.col("_rows") > share).select(*group))
+    packed = distinct_changes(
+        changes.join(copied, group, "left_semi"), keys, sequence_by, compare_last
     )
-    cut = (
-        busy.join(F.broadcast(fences), list(keys), "left")
-        .withColumn("_fences", F.coalesce("_fences", F.array().cast(ArrayType(kind))))
-        .withColumn("_slice", _rank_among("_fences", f"`{sequence_by}`", tasks))
-        .withColumn("_fence", F.get("_fences", F.col("_slice")))
-        .drop("_fences")
+    rows = changes.join(copied, group, "left_anti").unionByName(packed)
+
+    cut = rows.join(F.broadcast(fences), list(keys), "left")
+    in_slice = F.when(F.col("_fences").isNull(), 0).otherwise(
+        _rank_among("_fences", f"`{sequence_by}`", tasks)
     )
-    return ordinary.unionByName(cut)
+    next_fence = F.get("_fences", F.col("_slice")).cast(kind)
+    return cut.withColumn("_slice", in_slice).withColumn("_fence", next_fence).drop("_fences")
 
 
 def versions(
@@ -156,10 +154,9 @@ def versions(
     """Type 2: every version with ``[valid_from, valid_to)`` and ``is_current``.
 
     A key below a task's share is ordered in one task: one shuffle and one sort give
-    both the collapse of equal sequences and the next version. A hot key is first
-    reduced to one row per sequence value, then cut at its fences. A fence is itself a
-    sequence value of the key, so it is exactly the end of the last version before it
-    and no task needs to see its neighbour.
+    both the collapse of equal sequences and the next version. A hot key is cut at its
+    fences. A fence is itself a sequence value of the key, so it is exactly the end of
+    the last version before it and no task needs to see its neighbour.
 
     ``hot_key_rows=None`` leaves the search for hot keys out, for a caller who knows
     that there are none.

@@ -61,5 +61,7 @@ def failed_codes(rules: Mapping[str, str]) -> Column:
     """Names of the rules a row fails, in rule order."""
     if not rules:
         return F.array().cast("array<string>")
-    marks = [F.when(F.expr(sql), None).otherwise(F.lit(name)) for name, sql in rules.items()]
-    return F.filter(F.array(*marks), lambda code: code.isNotNull())
+    failed = [
+        F.when(~F.coalesce(F.expr(sql), F.lit(False)), F.lit(name)) for name, sql in rules.items()
+    ]
+    return F.array_compact(F.array(*failed))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,6 +19,20 @@ def _aes_key(key: str | None) -> Column:
     return F.lit(key)
 
 
+# The transformation types a document may name.
+TRANSFORMATION_TYPES = (
+    "sql_expr",
+    "current_timestamp",
+    "to_date",
+    "cast",
+    "literal",
+    "hash_sha256",
+    "hash_md5",
+    "aes_encrypt",
+    "aes_decrypt",
+)
+
+
 def _literal(value: Any) -> Column:
     if isinstance(value, Mapping):
         raise ValueError("a literal must be a string, number, boolean, list or null")
@@ -26,41 +40,39 @@ def _literal(value: Any) -> Column:
     return F.lit(None).cast("string") if value is None else F.lit(value)
 
 
-def _decrypt(column: str, lenient: bool, key: str | None) -> Column:
-    decrypt = F.try_aes_decrypt if lenient else F.aes_decrypt
-    return decrypt(F.col(column), _aes_key(key)).cast("string")
-
-
-def _cast(params: Mapping[str, str], lenient: bool) -> Column:
-    column = F.col(params["col"])
-    return column.try_cast(params["type"]) if lenient else column.cast(params["type"])
-
-
-# Each builder takes (params, lenient, aes_key). ``lenient`` turns bad input into NULL
-# where the strict form would fail the job under ANSI rules.
-TRANSFORMATIONS: dict[str, Callable[[Any, bool, str | None], Column]] = {
-    "sql_expr": lambda p, lenient, key: F.expr(p),
-    "current_timestamp": lambda p, lenient, key: F.current_timestamp(),
-    "to_date": lambda p, lenient, key: (
-        F.col(p).try_cast("date") if lenient else F.to_date(F.col(p))
-    ),
-    "cast": lambda p, lenient, key: _cast(p, lenient),
-    "literal": lambda p, lenient, key: _literal(p),
-    "hash_sha256": lambda p, lenient, key: F.sha2(F.col(p), 256),
-    "hash_md5": lambda p, lenient, key: F.md5(F.col(p)),
-    "aes_encrypt": lambda p, lenient, key: F.aes_encrypt(F.col(p), _aes_key(key)),
-    "aes_decrypt": lambda p, lenient, key: _decrypt(p, lenient, key),
-}
-
-
 def transformation(
     kind: str, params: Any, on_error: str = "fail", aes_key: str | None = None
 ) -> Column:
-    if kind not in TRANSFORMATIONS:
-        raise ValueError(f"unknown transformation {kind!r}; known: {sorted(TRANSFORMATIONS)}")
+    """The expression of one item.
+
+    Bad input to a cast, a date or a decryption fails the job under ANSI rules;
+    ``on_error="null"`` gives NULL for it instead.
+    """
     if on_error not in ("fail", "null"):
         raise ValueError(f"on_error must be 'fail' or 'null', not {on_error!r}")
-    return TRANSFORMATIONS[kind](params, on_error == "null", aes_key)
+    lenient = on_error == "null"
+    match kind:
+        case "sql_expr":
+            return F.expr(params)
+        case "current_timestamp":
+            return F.current_timestamp()
+        case "literal":
+            return _literal(params)
+        case "cast":
+            source = F.col(params["col"])
+            return source.try_cast(params["type"]) if lenient else source.cast(params["type"])
+        case "to_date":
+            return F.col(params).try_cast("date") if lenient else F.to_date(F.col(params))
+        case "hash_md5":
+            return F.md5(F.col(params))
+        case "hash_sha256":
+            return F.sha2(F.col(params), 256)
+        case "aes_encrypt":
+            return F.aes_encrypt(F.col(params), _aes_key(aes_key))
+        case "aes_decrypt":
+            decrypt = F.try_aes_decrypt if lenient else F.aes_decrypt
+            return decrypt(F.col(params), _aes_key(aes_key)).cast("string")
+    raise ValueError(f"unknown transformation {kind!r}; known: {list(TRANSFORMATION_TYPES)}")
 
 
 def transformation_map(

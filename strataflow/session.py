@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from strataflow.storage import delete_on_exit
+from strataflow.storage import delete_on_exit, make_folder
 
 
 def local_session(cores: str = "8", memory: str = "8g", partitions: int = 8) -> SparkSession:
@@ -44,5 +44,6 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared folder, removed when the session ends."""
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    make_folder(spark, path)  # only an existing folder can be marked for removal
     delete_on_exit(spark, path)
     return path

@@ -12,13 +12,21 @@ from collections.abc import Iterable, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    IntegerType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from strataflow.operators.fan_in import fan_in
 from strataflow.operators.scd import (
     CURRENT,
     HISTORY_COLUMNS,
     HOT_KEY_ROWS,
+    VALID_TO,
     latest,
     sequenced,
     versions,
@@ -85,13 +93,14 @@ class KeyedTable:
     """A silver table kept up to date from batches of change rows.
 
     Rows live under ``_version=N/is_current=…/_bucket=B`` where the bucket is a hash of
-    the key. The manifest holds, for current rows and for history, the version at which
-    each bucket was last rewritten: files of older versions are dead, files of that and
-    later versions are live. Reading is one partition filter.
+    the key. The manifest lists, per bucket, the versions whose files are live: one for
+    current rows, several for history. Reading is one partition filter.
 
     Type 1 rewrites the buckets a batch touches. Type 2 rewrites only their *current*
-    rows and appends the versions that closed; history is read and rewritten only for
-    buckets that received a late change, or when it has gathered many small versions.
+    rows and appends the versions that closed. A late change splits an older interval:
+    history is then rewritten for its bucket, and there only the versions that hold an
+    interval ending after the change, so a little lateness touches recent files only. A
+    bucket whose history has gathered many small versions is rewritten into one.
     """
 
     def __init__(
@@ -127,10 +136,13 @@ class KeyedTable:
         extra = HISTORY_COLUMNS if self.scd_type == 2 else ()
         return self._live(state).select(*columns, *extra)
 
+    def _sequence_type(self, state: dict[str, Any]) -> DataType:
+        return StructType.fromJson(state["columns"])[self.sequence_by].dataType
+
     def _live(self, state: dict[str, Any]) -> DataFrame:
         fields = StructType.fromJson(state["columns"]).fields
         if self.scd_type == 2:
-            kind = next(f.dataType for f in fields if f.name == self.sequence_by)
+            kind = self._sequence_type(state)
             fields = [*fields, *(StructField(c, kind, True) for c in HISTORY_COLUMNS[:2])]
         stored = StructType(
             [
@@ -144,26 +156,25 @@ class KeyedTable:
         if not folders:
             return self.spark.createDataFrame([], stored)
         reader = self.spark.read.schema(stored).option("basePath", f"{self.path}/data")
-        rows = reader.parquet(*folders)
-        since = F.when(F.col(CURRENT), self._since(state["current_since"])).otherwise(
-            self._since(state["history_since"])
+        is_live = F.when(F.col(CURRENT), _listed(state["current"])).otherwise(
+            _listed(state["history"])
         )
-        return rows.filter((F.col(VERSION) <= state["version"]) & (F.col(VERSION) >= since))
+        return reader.parquet(*folders).filter(is_live)
 
     def _folders(self, state: dict[str, Any]) -> list[str]:
         """Folders with at least one live bucket, so that dead versions and the remains
         of a failed write are not even listed. There are about ``compact_after``."""
-        current, oldest = set(state["current_since"]), min(state["history_since"])
+        sides = {
+            f"{CURRENT}=true": {v for live in state["current"] for v in live},
+            f"{CURRENT}=false": {v for live in state["history"] for v in live},
+        }
         found = []
         for version in self._versions():
-            if version > state["version"]:
-                continue
             folder = f"{self.path}/data/{VERSION}={version}"
-            for side in children(self.spark, folder):
-                if version in current if side == f"{CURRENT}=true" else (
-                    side == f"{CURRENT}=false" and version >= oldest
-                ):
-                    found.append(f"{folder}/{side}")
+            if not any(version in live for live in sides.values()):
+                continue
+            present = children(self.spark, folder)
+            found += [f"{folder}/{s}" for s in present if version in sides.get(s, ())]
         return found
 
     def _versions(self) -> list[int]:
@@ -171,10 +182,6 @@ class KeyedTable:
         names = children(self.spark, f"{self.path}/data")
         return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix))
 
-    @staticmethod
-    def _since(floors: list[int]) -> Column:
-        return F.get(F.lit(floors), F.col(BUCKET))
-
     # -- writing ---------------------------------------------------------------
 
     def applied(self, stream: str, batch_id: int) -> bool:
@@ -216,16 +223,17 @@ class KeyedTable:
             "version": -1,
             "buckets": count,
             "columns": json.loads(columns.json()),
-            "current_since": [0] * count,
-            "history_since": [0] * count,
+            "current": [[] for _ in range(count)],
+            "history": [[] for _ in range(count)],
             "applied": {},
         }
 
     def _stored(self, state: dict[str, Any], *, current: bool, buckets: list[int]) -> DataFrame:
-        columns = StructType.fromJson(state["columns"]).fieldNames()
-        live = self._live(state)
         side = F.col(CURRENT) if current else ~F.col(CURRENT)
-        return live.filter(side & F.col(BUCKET).isin(buckets)).select(*columns, BUCKET)
+        return self._live(state).filter(side & F.col(BUCKET).isin(buckets))
+
+    def _payload(self, state: dict[str, Any]) -> list[str]:
+        return [*StructType.fromJson(state["columns"]).fieldNames(), BUCKET]
 
     def _merge_type1(
         self, state: dict[str, Any], rows: DataFrame, version: int
@@ -233,9 +241,9 @@ class KeyedTable:
         touched = sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
         if not touched:
             return None
-        stored = self._stored(state, current=True, buckets=touched)
+        stored = self._stored(state, current=True, buckets=touched).select(*self._payload(state))
         for bucket in touched:
-            state["current_since"][bucket] = version
+            state["current"][bucket] = [version]
         merged = latest(
             fan_in([stored, rows]), self.keys, self.sequence_by, [*self.compare_last, BUCKET]
         )
@@ -244,37 +252,54 @@ class KeyedTable:
     def _merge_type2(
         self, state: dict[str, Any], rows: DataFrame, version: int
     ) -> DataFrame | None:
-        touched, late, most = self._touched(state, rows)
-        if not touched:
+        by_bucket = self._compare_with_current(state, rows)
+        found = by_bucket.collect()
+        if not found:
             return None
-        # Before floors move: what is live now.
-        pools = [rows, self._stored(state, current=True, buckets=touched)]
-        if late:
-            history = self._stored(state, current=False, buckets=late)
-            pools.append(history)
-            # Counted from file footers: no column is read.
+        touched = sorted(r[BUCKET] for r in found)
+        late = sorted(r[BUCKET] for r in found if r["_late"])
+        most = max(r["_rows"] for r in found) + 1  # of one key, its current row included
+        stale = self._stale_history(state, touched, late, by_bucket)
+
+        # A row of history keeps its known end: later changes can only bring it forward,
+        # so the true end is the smaller of that and the next version among these rows.
+        payload = self._payload(state)
+        stored = self._stored(state, current=True, buckets=touched).select(*payload)
+        pools = [stored, rows]
+        if any(stale.values()):
+            pairs = [f"{b}:{v}" for b, versions_ in stale.items() for v in versions_]
+            history = self._stored(state, current=False, buckets=sorted(stale)).filter(
+                F.concat_ws(":", BUCKET, VERSION).isin(pairs)
+            )
+            pools.append(history.select(*payload, F.col(VALID_TO).alias("_known_end")))
+            # Counted from file footers: no other column is read.
             most += max((r[1] for r in history.groupBy(BUCKET).count().collect()), default=0)
+        else:
+            pools[0] = stored.withColumn(
+                "_known_end", F.lit(None).cast(self._sequence_type(state))
+            )
         for bucket in touched:
-            state["current_since"][bucket] = version
-        for bucket in late:
-            state["history_since"][bucket] = version
-        return versions(
-            fan_in([pools[1], pools[0], *pools[2:]]),
+            state["current"][bucket] = [version]
+            kept = [v for v in state["history"][bucket] if v not in stale.get(bucket, ())]
+            state["history"][bucket] = [*kept, version]
+        ordered = versions(
+            fan_in(pools),
             self.keys,
             self.sequence_by,
-            [*self.compare_last, BUCKET],
+            [*self.compare_last, BUCKET, "_known_end"],
             # No key can be hot when its whole bucket is small.
             self.hot_key_rows if most >= self.hot_key_rows else None,
         )
+        end = F.least(F.col(VALID_TO), F.col("_known_end"))
+        return ordered.withColumns({VALID_TO: end, CURRENT: end.isNull()}).drop("_known_end")
 
-    def _touched(
-        self, state: dict[str, Any], rows: DataFrame
-    ) -> tuple[list[int], list[int], int]:
-        """Buckets that get rows, those of them whose history must be re-cut, and the
-        most rows any key of the batch can have, its current row included.
+    def _compare_with_current(self, state: dict[str, Any], rows: DataFrame) -> DataFrame:
+        """Per bucket of the batch: the most rows of one key, whether a change is older
+        than its key's current row, and the earliest such change.
 
         The batch is first reduced to one row per key, so neither the join nor the
-        result (at most one row per bucket) grows with a hot key.
+        result (at most one row per bucket) grows with a hot key. The bucket is a join
+        key too, so that only touched buckets need to be scanned.
         """
         earliest = rows.groupBy(*self.keys, BUCKET).agg(
             F.min(self.sequence_by).alias("_first"), F.count(F.lit(1)).alias("_rows")
@@ -282,22 +307,44 @@ class KeyedTable:
         known = self._live(state).filter(F.col(CURRENT)).select(
             *self.keys, BUCKET, F.col(self.sequence_by).alias("_stored")
         )
-        is_late = F.coalesce(F.bool_or(F.col("_first") < F.col("_stored")), F.lit(False))
-        # The bucket is a join key too, so that only touched buckets need to be scanned.
-        found = (
+        late = F.min(F.when(F.col("_first") < F.col("_stored"), F.col("_first")))
+        return (
             earliest.join(known, [*self.keys, BUCKET], "left")
             .groupBy(BUCKET)
-            .agg(is_late.alias("late"), F.max("_rows").alias("most"))
-            .collect()
+            .agg(F.max("_rows").alias("_rows"), late.alias("_since"))
+            .withColumn("_late", F.col("_since").isNotNull())
         )
-        touched = sorted(r[0] for r in found)
-        grown = {
-            b
+
+    def _stale_history(
+        self, state: dict[str, Any], touched: list[int], late: list[int], by_bucket: DataFrame
+    ) -> dict[int, list[int]]:
+        """Versions of history that must be rewritten, by bucket.
+
+        For a bucket with a late change, those with an interval that ends after it. Only
+        the end column is scanned, and row groups that end before the earliest late
+        change of all are skipped by their statistics.
+        """
+        stale = {
+            b: list(state["history"][b])
             for b in touched
-            if state["version"] - state["history_since"][b] >= self.compact_after
+            if len(state["history"][b]) >= self.compact_after
         }
-        most = max((r[2] for r in found), default=0) + 1
-        return touched, sorted({r[0] for r in found if r[1]} | grown), most
+        late = [b for b in late if b not in stale and state["history"][b]]
+        if late:
+            kind = self._sequence_type(state)
+            since = by_bucket.filter(F.col(BUCKET).isin(late)).select(BUCKET, "_since")
+            oldest = since.agg(_as_text(F.min("_since"), kind)).first()[0]
+            ends = (
+                self._stored(state, current=False, buckets=late)
+                .filter(F.col(VALID_TO) > _from_text(oldest, kind))
+                .join(F.broadcast(since), BUCKET)  # at most one row per bucket
+                .filter(F.col(VALID_TO) > F.col("_since"))
+                .select(BUCKET, VERSION)
+                .distinct()
+            )
+            for bucket, version in ends.collect():
+                stale.setdefault(bucket, []).append(version)
+        return stale
 
     # -- housekeeping ------------------------------------------------------------
 
@@ -311,15 +358,37 @@ class KeyedTable:
             if version > states[-1]["version"]:
                 continue  # being written
             folder = f"{self.path}/data/{VERSION}={version}"
-            for side, floors in (("true", "current_since"), ("false", "history_since")):
+            for side, name in (("true", "current"), ("false", "history")):
                 buckets = f"{folder}/{CURRENT}={side}"
-                for name in children(self.spark, buckets):
-                    number = int(name.split("=")[1])
-                    if not any(s[floors][number] <= version <= s["version"] for s in states):
-                        delete(self.spark, f"{buckets}/{name}")
+                for child in children(self.spark, buckets):
+                    number = int(child.split("=")[1])
+                    if not any(version in s[name][number] for s in states):
+                        delete(self.spark, f"{buckets}/{child}")
                 if not children(self.spark, buckets):
                     delete(self.spark, buckets)
             if not any(n.startswith(CURRENT) for n in children(self.spark, folder)):
                 delete(self.spark, folder)
         self.log.forget_before(numbers[0])
 
+
+def _listed(live: list[list[int]]) -> Column:
+    """Whether a file's version is among those listed for its bucket. The lists travel as
+    one literal, which the optimizer splits once."""
+    text = ";".join(",".join(str(v) for v in versions_) for versions_ in live)
+    lists = F.split(F.lit(text), ";")
+    return F.array_contains(
+        F.split(F.get(lists, F.col(BUCKET)), ","), F.col(VERSION).cast("string")
+    )
+
+
+def _as_text(value: Column, kind: DataType) -> Column:
+    """A sequence value as text that :func:`_from_text` turns back exactly."""
+    if isinstance(kind, TimestampType):
+        value = F.unix_micros(value)  # local times are ambiguous once a year
+    return value.cast("string")
+
+
+def _from_text(text: str, kind: DataType) -> Column:
+    if isinstance(kind, TimestampType):
+        return F.timestamp_micros(F.lit(int(text)))
+    return F.lit(text).cast(kind)

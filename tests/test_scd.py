@@ -134,11 +134,13 @@ def test_type1_batches_equal_one_pass(spark, folder, parts):
     assert plain(table.read()) == brute_latest(rows)
 
 
-@pytest.mark.parametrize("hot_key_rows", [1, 1_000_000])
-@pytest.mark.parametrize("parts", [1, 3])
-def test_type2_batches_equal_one_pass(spark, folder, parts, hot_key_rows):
+@pytest.mark.parametrize("hot_key_rows, compact_after", [(1, 32), (1_000_000, 32), (1_000_000, 2)])
+@pytest.mark.parametrize("parts", [1, 5])
+def test_type2_batches_equal_one_pass(spark, folder, parts, hot_key_rows, compact_after):
     rows = changes(6)
-    table = keyed(spark, f"{folder}/t", 2, hot_key_rows=hot_key_rows)
+    table = keyed(
+        spark, f"{folder}/t", 2, hot_key_rows=hot_key_rows, compact_after=compact_after
+    )
     for number, part in enumerate(split(rows, parts, parts)):
         table.apply(spark.createDataFrame(part, SCHEMA), "s", number)
     stored = table.read()
@@ -153,11 +155,30 @@ def test_type2_in_order_only_appends_history(spark, folder):
         rows = [(f"k{i}", seq, "x") for i in range(6)]
         table.apply(spark.createDataFrame(rows, SCHEMA), "s", seq)
     state = table.log.latest()
-    assert state["history_since"] == [0, 0, 0]
-    assert max(state["current_since"]) == 2
+    assert all(live == [0, 1, 2] for live in state["history"] if live)
+    assert all(live == [2] for live in state["current"] if live)
     assert table.read().count() == 18
 
 
+@pytest.mark.parametrize("kind", ["long", "string", "timestamp", "timestamp_ntz", "date"])
+def test_type2_late_change_rewrites_recent_history_only(spark, folder, kind):
+    def batch(*rows):
+        frame = spark.createDataFrame(rows, SCHEMA)
+        days = F.expr("date_add(date'2025-01-01', cast(seq as int))")
+        return frame.withColumn("seq", F.col("seq") if kind == "long" else days.cast(kind))
+
+    table = keyed(spark, f"{folder}/t", 2)
+    for seq in range(6):
+        table.apply(batch(("a", 10 * seq, "x"), ("b", 10 * seq, "x")))
+    table.apply(batch(("a", 35, "late")))
+    state = table.log.latest()
+    lists = [live for live in state["history"] if 6 in live]
+    assert len(lists) == 1 and {0, 1, 2, 3} <= set(lists[0]) and not {4, 5} & set(lists[0])
+    rows = [("a", 10 * s, "x") for s in range(6)] + [("b", 10 * s, "x") for s in range(6)]
+    expected = versions(batch(*rows, ("a", 35, "late")), ["k"], "seq")
+    assert plain(table.read()) == plain(expected)
+
+
 def test_type2_late_row_splits_an_interval(spark, folder):
     table = keyed(spark, f"{folder}/t", 2)
     for number, part in enumerate([[("a", 1, "x"), ("a", 9, "y")], [("a", 5, "late")]]):

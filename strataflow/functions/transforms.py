@@ -10,6 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 AES_KEY_CONF = "spark.strataflow.aes.secretKey"
 
 
+WHOLE_NUMBER_TYPES = {
+    "tinyint", "byte", "smallint", "short", "int", "integer", "bigint", "long"
+}
+WHOLE_NUMBER = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
+
+
 def _aes_key(key: str | None) -> Column:
     if key is None:
         spark = SparkSession.getActiveSession()
@@ -40,6 +46,18 @@ def _literal(value: Any) -> Column:
     return F.lit(None).cast("string") if value is None else F.lit(value)
 
 
+def _lenient_cast(source: Column, target: str) -> Column:
+    """``try_cast``, without its cost on text that is no whole number.
+
+    For such text Spark raises and catches an error per row, so rows are looked at with
+    a pattern first. The type test is a constant that the optimizer folds.
+    """
+    if target.strip().lower() not in WHOLE_NUMBER_TYPES:
+        return source.try_cast(target)
+    is_text = F.typeof(source) == "string"
+    return F.when(~is_text | source.cast("string").rlike(WHOLE_NUMBER), source.try_cast(target))
+
+
 def transformation(
     kind: str, params: Any, on_error: str = "fail", aes_key: str | None = None
 ) -> Column:
@@ -60,7 +78,8 @@ def transformation(
             return _literal(params)
         case "cast":
             source = F.col(params["col"])
-            return source.try_cast(params["type"]) if lenient else source.cast(params["type"])
+            target = params["type"]
+            return _lenient_cast(source, target) if lenient else source.cast(target)
         case "to_date":
             return F.col(params).try_cast("date") if lenient else F.to_date(F.col(params))
         case "hash_md5":

@@ -33,7 +33,8 @@ def rejected_rows(routed: DataFrame, rules: Mapping[str, str]) -> DataFrame:
 
 def write_routed(routed: DataFrame, path: str) -> None:
     """Store routed rows split by verdict, so each consumer reads its side only."""
-    routed.write.mode("overwrite").partitionBy(VERDICT).parquet(path)
+    writer = routed.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(VERDICT).parquet(path)
 
 
 def read_routed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -21,6 +21,7 @@ from strataflow.plans.config import Document, Gold, Silver, load_document, parse
 from strataflow.sources.audit import audit_sources
 from strataflow.sources.files import read_batch
 from strataflow.sources.schema import union_schema
+from strataflow.storage import make_folder
 from strataflow.streaming.ingest import Flow, flows_of, start_ingest
 from strataflow.streaming.silver import (
     EXPECTATION,
@@ -222,8 +223,9 @@ class Pipeline:
 
     def expectations(self) -> DataFrame:
         """Rule metrics of every silver table over all batches."""
+        folder = make_folder(self.spark, f"{self._root()}/expectations")
         reader = self.spark.read.schema(EXPECTATION).option("recursiveFileLookup", "true")
-        return expectation_totals(reader.json(f"{self._root()}/expectations"))
+        return expectation_totals(reader.json(folder))
 
     # -- around the tables -----------------------------------------------------------
 

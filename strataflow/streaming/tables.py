@@ -203,9 +203,9 @@ class KeyedTable:
         if merged is not None:
             folder = f"{self.path}/data/{VERSION}={version}"
             # Rebalancing gathers a bucket's rows into few files and splits large ones.
-            merged.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(
-                CURRENT, BUCKET
-            ).parquet(folder)
+            writer = merged.hint("rebalance", BUCKET).write.mode("overwrite")
+            writer = writer.option("partitionOverwriteMode", "static")
+            writer.partitionBy(CURRENT, BUCKET).parquet(folder)
             hidden = {BUCKET, CURRENT, *(HISTORY_COLUMNS if self.scd_type == 2 else ())}
             kept = [f for f in merged.schema if f.name not in hidden]
             state["columns"] = json.loads(StructType(kept).json())

@@ -68,6 +68,19 @@ def test_bad_input_fails_or_is_null(spark):
         transformation_map([item("d", "to_date", "name", on_error="skip")])
 
 
+@pytest.mark.parametrize("target", ["int", "BIGINT", "smallint"])
+def test_lenient_whole_numbers_equal_try_cast(spark, target):
+    texts = ["1", " 2\t", "+3", "-4", "5.0", "6e1", "", " ", "x", "7 8", "-", "99999999999", None, "1\n"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr(
+        "t", "try_cast(try_cast(t AS double) AS double) AS d", "true AS b", "2.5BD AS n"
+    )
+    for column in ("t", "d", "b", "n"):
+        params = {"col": column, "type": target}
+        made = transform(rows, [item("x", "cast", params, on_error="null")])
+        both = made.selectExpr("x", f"try_cast({column} AS {target}) AS y").collect()
+        assert [r.x for r in both] == [r.y for r in both]
+
+
 def test_replacing_a_column_shows_siblings_the_old_value(spark):
     row = one(spark, [item("name", "sql_expr", "upper(name)"), item("b", "sql_expr", "name || '!'")])
     assert (row.name, row.b) == ("ANN", "ann!")

@@ -252,14 +252,13 @@ class KeyedTable:
     def _merge_type2(
         self, state: dict[str, Any], rows: DataFrame, version: int
     ) -> DataFrame | None:
-        by_bucket = self._compare_with_current(state, rows)
-        found = by_bucket.collect()
+        found = self._compare_with_current(state, rows).collect()
         if not found:
             return None
         touched = sorted(r[BUCKET] for r in found)
-        late = sorted(r[BUCKET] for r in found if r["_late"])
+        late = {r[BUCKET]: r["_since"] for r in found if r["_since"] is not None}
         most = max(r["_rows"] for r in found) + 1  # of one key, its current row included
-        stale = self._stale_history(state, touched, late, by_bucket)
+        stale = self._stale_history(state, touched, late)
 
         # A row of history keeps its known end: later changes can only bring it forward,
         # so the true end is the smaller of that and the next version among these rows.
@@ -294,8 +293,8 @@ class KeyedTable:
         return ordered.withColumns({VALID_TO: end, CURRENT: end.isNull()}).drop("_known_end")
 
     def _compare_with_current(self, state: dict[str, Any], rows: DataFrame) -> DataFrame:
-        """Per bucket of the batch: the most rows of one key, whether a change is older
-        than its key's current row, and the earliest such change.
+        """Per bucket of the batch: the most rows of one key, and as text the earliest
+        change that is older than its key's current row.
 
         The batch is first reduced to one row per key, so neither the join nor the
         result (at most one row per bucket) grows with a hot key. The bucket is a join
@@ -311,12 +310,14 @@ class KeyedTable:
         return (
             earliest.join(known, [*self.keys, BUCKET], "left")
             .groupBy(BUCKET)
-            .agg(F.max("_rows").alias("_rows"), late.alias("_since"))
-            .withColumn("_late", F.col("_since").isNotNull())
+            .agg(
+                F.max("_rows").alias("_rows"),
+                _as_text(late, self._sequence_type(state)).alias("_since"),
+            )
         )
 
     def _stale_history(
-        self, state: dict[str, Any], touched: list[int], late: list[int], by_bucket: DataFrame
+        self, state: dict[str, Any], touched: list[int], late: dict[int, str]
     ) -> dict[int, list[int]]:
         """Versions of history that must be rewritten, by bucket.
 
@@ -329,14 +330,15 @@ class KeyedTable:
             for b in touched
             if len(state["history"][b]) >= self.compact_after
         }
-        late = [b for b in late if b not in stale and state["history"][b]]
+        late = {b: t for b, t in late.items() if b not in stale and state["history"][b]}
         if late:
             kind = self._sequence_type(state)
-            since = by_bucket.filter(F.col(BUCKET).isin(late)).select(BUCKET, "_since")
+            texts = self.spark.createDataFrame(list(late.items()), f"{BUCKET} int, _text string")
+            since = texts.select(BUCKET, _from_text(F.col("_text"), kind).alias("_since"))
             oldest = since.agg(_as_text(F.min("_since"), kind)).first()[0]
             ends = (
-                self._stored(state, current=False, buckets=late)
-                .filter(F.col(VALID_TO) > _from_text(oldest, kind))
+                self._stored(state, current=False, buckets=list(late))
+                .filter(F.col(VALID_TO) > _from_text(F.lit(oldest), kind))
                 .join(F.broadcast(since), BUCKET)  # at most one row per bucket
                 .filter(F.col(VALID_TO) > F.col("_since"))
                 .select(BUCKET, VERSION)
@@ -388,7 +390,7 @@ def _as_text(value: Column, kind: DataType) -> Column:
     return value.cast("string")
 
 
-def _from_text(text: str, kind: DataType) -> Column:
+def _from_text(text: Column, kind: DataType) -> Column:
     if isinstance(kind, TimestampType):
-        return F.timestamp_micros(F.lit(int(text)))
-    return F.lit(text).cast(kind)
+        return F.timestamp_micros(text.cast("bigint"))
+    return text.cast(kind)

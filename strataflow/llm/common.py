@@ -63,3 +63,21 @@ def ranked(
         .withColumn(name, (F.col("_start") + F.col("_at")).cast("long"))
         .drop("_coarse", "_salt", "_start", "_at")
     )
+
+
+def picked(docs: DataFrame, chosen: DataFrame, content: Column) -> DataFrame:
+    """The rows of ``docs`` named in ``chosen`` (``doc_id``, ``content``, number of ``rows``), one each.
+
+    Where several rows have that ``doc_id`` and content, one of them stays.
+    """
+    marked = docs.withColumn("_content", content)
+
+    def among(part: DataFrame) -> DataFrame:
+        names = part.select(F.col("doc_id").alias("_id"), F.col("content").alias("_same"))
+        same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_content") == F.col("_same"))
+        return marked.join(names, same, "left_semi")
+
+    rows, repeated = among(chosen.where("rows = 1")), chosen.where("rows > 1")
+    if not repeated.isEmpty():
+        rows = rows.unionByName(among(repeated).dropDuplicates(["doc_id", "_content"]))
+    return rows.select(*docs.columns)

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strataflow.llm.common import settings, stored, whole_text
+from strataflow.llm.common import picked, settings, stored, whole_text
 from strataflow.session import scratch_folder
 
 #: State lives in RocksDB, within a fixed share of an executor's memory outside the heap.
@@ -16,6 +16,8 @@ DISK_STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    # An executor holds the stores it is working on, not all it ever worked on.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 #: Digests of groups of copies that are broadcast to pick the texts to compare.
 BROADCAST_GROUPS = 200_000
@@ -142,20 +144,7 @@ def _by_text(docs: DataFrame, found: DataFrame, clashes: DataFrame, digest) -> D
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns as they were."""
-    told = deduplicate(docs).groupBy("doc_id", "text_sha256").agg(
-        F.max("kept").alias("stays"), F.count(F.lit(1)).alias("rows")
+    told = deduplicate(docs).groupBy("doc_id", F.col("text_sha256").alias("content")).agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")
     )
-    stays = stored(told.where("stays"), "kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_digest"), F.col("rows").alias("_rows")
-    )
-    marked = docs.withColumn("_digest", sha256(whole_text()))
-
-    def among(chosen: DataFrame) -> DataFrame:
-        same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
-        return marked.join(chosen, same, "left_semi")
-
-    once, repeated = stays.where("_rows = 1"), stays.where("_rows > 1")
-    rows = among(once)
-    if not repeated.isEmpty():
-        rows = rows.unionByName(among(repeated).dropDuplicates(["doc_id", "_digest"]))
-    return rows.select(*docs.columns)
+    return picked(docs, stored(told.where("kept").drop("kept"), "kept"), sha256(whole_text()))

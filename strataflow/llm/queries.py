@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import exact
+from strataflow.llm import exact, sharding, simhash
 from strataflow.registry.tables import table
 
 
@@ -12,8 +12,18 @@ def op2_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact.deduplicate(table(spark, sf, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+def op9_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op8_simhash": op8_simhash,
+    "op9_sharding": op9_sharding,
 }
 SQL = {
     "op2_exact_dedup": """

@@ -2,16 +2,44 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import exact, sharding, simhash
+from strataflow.llm import ann, bpe, exact, language, packing, secrets, sharding, simhash
 from strataflow.registry.tables import table
 
 
+def op10_ann(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.nearest(table(spark, sf, "embeddings"))
+
+
+#: The same vocabulary as ``byte_bpe_50k.json``, as ranks.
+RANKS = "byte_bpe_50k.tiktoken"
+
+
 def op2_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact.deduplicate(table(spark, sf, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
+    return packing.pack(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op4_language(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = language.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return language.predict(table(spark, sf, "documents"), pieces)
+
+
+def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
+    return bpe.round_trips(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.scan(table(spark, sf, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
@@ -22,8 +50,13 @@ def op9_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_packing": op3_packing,
+    "op4_language": op4_language,
+    "op5_bpe": op5_bpe,
+    "op7_secrets": op7_secrets,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
+    "op10_ann": op10_ann,
 }
 SQL = {
     "op2_exact_dedup": """

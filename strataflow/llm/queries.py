@@ -5,16 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import ann, bpe, exact, language, packing, secrets, sharding, simhash
+from strataflow.llm import ann, bpe, exact, html, language, lm, packing, secrets, sharding, simhash
 from strataflow.registry.tables import table
 
 
+def op1_lm(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score(table(spark, sf, "documents"))
+
+
 def op10_ann(spark: SparkSession, sf: str) -> DataFrame:
     return ann.nearest(table(spark, sf, "embeddings"))
 
 
 #: The same vocabulary as ``byte_bpe_50k.json``, as ranks.
 RANKS = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def op2_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -27,7 +32,7 @@ def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_language(spark: SparkSession, sf: str) -> DataFrame:
-    pieces = language.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    pieces = language.read_pieces(public_tokenizers.path(PIECES))
     return language.predict(table(spark, sf, "documents"), pieces)
 
 
@@ -36,6 +41,10 @@ def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trips(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op6_html(spark: SparkSession, sf: str) -> DataFrame:
+    return html.main_texts(table(spark, sf, "pages"))
+
+
 def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(table(spark, sf, "documents"))
 
@@ -49,10 +58,12 @@ def op9_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm": op1_lm,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_packing": op3_packing,
     "op4_language": op4_language,
     "op5_bpe": op5_bpe,
+    "op6_html": op6_html,
     "op7_secrets": op7_secrets,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,

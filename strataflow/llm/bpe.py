@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 import struct
@@ -46,9 +47,15 @@ def pieces(text: str) -> list[str] | None:
 
 
 class State(dict):
-    """Transitions by byte, and what they are built from."""
+    """Transitions by byte, and what they are built from. A byte seen once maps to None.
 
-    __slots__ = ("last", "pending", "opens", "back")
+    ``last``: the token written last. ``opens``: positions in the bytes since then where
+    a token may still start, with the node of the tokens' tree reached from there.
+    ``starts``, ``tokens``: of each position, where the token that ends there starts, and
+    the token; entry 0 is ``last``.
+    """
+
+    __slots__ = ("opens", "starts", "tokens")
 
 
 class Transducer:
@@ -57,26 +64,43 @@ class Transducer:
     After each byte the last token of the prefix is the one that makes a valid pair with
     the last token before it; it is unique. Positions where a longer token could still
     start stay open. What all open positions have in common is written, so a state is the
-    last written token and the bytes after it, and those are a prefix of some token: the
-    lookahead is bounded by the longest token. States and transitions are built when they
-    are first reached, and thrown away together when there are ``most_states``.
+    last written token and the bytes after it: the lookahead is bounded by the longest
+    token. A transition is built when a byte follows a state for the second time; at the
+    first, the rest of the input is read by the same rules without keeping states. All
+    are thrown away together when there are ``most_states``.
     """
 
     END = 256
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 150_000):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 100_000, most_pairs: int = 600_000):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.open = {token[:k] for token in ranks for k in range(1, len(token))}
-        self.most_states = most_states
+        self.most_states, self.most_pairs = most_states, most_pairs
+        # The tree of all tokens: child of node and byte, token of a node or -1, whether it has children.
+        self.child: dict[int, int] = {}
+        self.token_at, self.more = [-1], [False]
+        for token, rank in ranks.items():
+            node = 0
+            for byte in token:
+                self.more[node] = True
+                key = node << 8 | byte
+                node = self.child.get(key, 0)
+                if not node:
+                    node = self.child[key] = len(self.token_at)
+                    self.token_at.append(-1)
+                    self.more.append(False)
+            self.token_at[node] = rank
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.states: dict[tuple[int, bytes], State] = {}
         self.reset()
 
     def reset(self) -> None:
-        self.states: dict[tuple[int, bytes], State] = {}
+        for state in self.states.values():
+            state.clear()  # states refer to one another
+        self.states = {}
         self.start = self.states[-1, b""] = State()
-        self.start.last, self.start.pending, self.start.opens, self.start.back = -1, b"", [0], {}
+        self.start.opens, self.start.starts, self.start.tokens = [(0, 0)], [0], [-1]
 
     def halves_of(self, token: int) -> tuple[int, int] | None:
         """The two tokens that this one is joined from; None for a single byte."""
@@ -97,92 +121,115 @@ class Transducer:
         in turn each token of its right spine, until the join that takes it up; b alike on
         the left. A join across happens if its rank comes before those of both.
         """
-        answer = self.pairs.get((a, b))
-        if answer is None:
-            if len(self.pairs) > 4 * self.most_states:
-                self.pairs.clear()
-            x, taken_x = a, len(self.ranks)
-            y, taken_y = b, len(self.ranks)
-            answer = True
-            while True:
-                across = self.ranks.get(self.bytes_of[x] + self.bytes_of[y])
-                if across is not None and across < taken_x and across <= taken_y:
-                    answer = False
-                    break
-                # Step back to the state before the later of the two last joins.
-                left, right = self.halves_of(x), self.halves_of(y)
-                if left is None and right is None:
-                    break
-                if right is None or (left is not None and x > y):
-                    x, taken_x = left[1], x
-                else:
-                    y, taken_y = right[0], y
-            self.pairs[a, b] = answer
+        if len(self.pairs) > self.most_pairs:
+            self.pairs.clear()
+        x = a
+        y = b
+        taken_x = taken_y = len(self.ranks)
+        answer = True
+        while True:
+            across = self.ranks.get(self.bytes_of[x] + self.bytes_of[y])
+            if across is not None and across < taken_x and across <= taken_y:
+                answer = False
+                break
+            # Step back to the state before the later of the two last joins.
+            left, right = self.halves_of(x), self.halves_of(y)
+            if left is None and right is None:
+                break
+            if right is None or (left is not None and x > y):
+                x, taken_x = left[1], x
+            else:
+                y, taken_y = right[0], y
+        self.pairs[a << 20 | b] = answer
         return answer
 
-    def step(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
-        """The transition of a state on a byte, built and kept."""
-        ranks, last, back = self.ranks, state.last, state.back
-        seen = state.pending + byte.to_bytes()
-        end = len(seen)
-        for start in state.opens:
-            token = ranks.get(seen[start:])
-            if token is not None:
-                before = back[start][1] if start else last
-                if before < 0 or self.valid(before, token):
-                    break
-        else:
-            raise ValueError("the ranks lack single bytes")
-        chain = [end]  # starts of the tokens from the end back to the last written one
-        p = start
+    def read(self, opens: list, starts: list[int], tokens: list[int], data: bytes) -> list:
+        """Read bytes from a position on: extends ``starts`` and ``tokens``, returns the open positions."""
+        child, token_at, more, pairs = self.child, self.token_at, self.more, self.pairs
+        for byte in data:
+            end = len(starts)
+            still = []
+            wanted = True
+            for start, node in opens:
+                node = child.get(node << 8 | byte)
+                if node is None:
+                    continue
+                if wanted:
+                    token = token_at[node]
+                    if token >= 0:
+                        before = tokens[start]
+                        fits = before < 0 or pairs.get(before << 20 | token)
+                        if fits is None:
+                            fits = self.valid(before, token)
+                        if fits:
+                            starts.append(start)
+                            tokens.append(token)
+                            wanted = False
+                if more[node]:
+                    still.append((start, node))
+            if wanted:
+                raise ValueError("the ranks lack single bytes")
+            still.append((end, 0))
+            opens = still
+        return opens
+
+    def step(self, state: State, key: tuple[int, bytes], byte: int) -> tuple:
+        """The transition of a state on a byte, built and kept: next state, its key, tokens written."""
+        starts, tokens = list(state.starts), list(state.tokens)
+        opens = self.read(state.opens, starts, tokens, (byte,))
+        chain = {len(starts) - 1}
+        p = len(starts) - 1
         while p:
-            chain.append(p)
-            p = back[p][0]
-        chain.append(0)
-        still = [p for p in state.opens if seen[p:] in self.open]
-        common = end
-        for p in still:
+            p = starts[p]
+            chain.add(p)
+        common = len(starts) - 1
+        for p, _ in opens:
             while p not in chain:
-                p = back[p][0]
+                p = starts[p]
             common = min(common, p)
-        written = [token if p == end else back[p][1] for p in chain if 0 < p <= common][::-1]
-        key = (written[-1] if written else last, seen[common:])
-        following = self.states.get(key)
+        written, p = [], common
+        while p:
+            written.append(tokens[p])
+            p = starts[p]
+        seen = key[1] + bytes((byte,))
+        name = (tokens[common], seen[common:])
+        following = self.states.get(name)
         if following is None:
-            following = self.states[key] = State()
-            following.last, following.pending = key
-            following.opens = [*(p - common for p in still), end - common]
-            kept = {}
-            for p in (*still, end):
-                while p > common:
-                    q, t = (start, token) if p == end else back[p]
-                    kept[p - common] = (q - common, t)
-                    p = q
-            following.back = kept
-        state[byte] = (following, tuple(written))
+            following = self.states[name] = State()
+            following.opens = [(p - common, node) for p, node in opens]
+            following.starts = [max(0, p - common) for p in starts[common:]]
+            following.tokens = tokens[common:]
+        state[byte] = (following, name, tuple(written[::-1]))
         return state[byte]
 
-    def finish(self, state: State) -> tuple[int, ...]:
-        """The tokens of the bytes that are pending at the end."""
-        out, p = [], len(state.pending)
+    def rest(self, state: State, data: bytes) -> list[int]:
+        """Tokens of the bytes that are pending in a state and of those to come, to the end."""
+        starts, tokens = list(state.starts), list(state.tokens)
+        self.read(state.opens, starts, tokens, data)
+        out, p = [], len(starts) - 1
         while p:
-            p, token = state.back[p]
-            out.append(token)
-        state[self.END] = tuple(out[::-1])
-        return state[self.END]
+            out.append(tokens[p])
+            p = starts[p]
+        return out[::-1]
 
     def encode(self, data: bytes) -> list[int]:
         if len(self.states) > self.most_states:
             self.reset()
-        state, out = self.start, []
-        for byte in data:
+        state, key, out = self.start, (-1, b""), []
+        for at, byte in enumerate(data):
             found = state.get(byte)
-            state, tokens = found if found is not None else self.step(state, byte)
+            if found is None:
+                if byte not in state:
+                    state[byte] = None
+                    return out + self.rest(state, data[at:])
+                found = self.step(state, key, byte)
+            state, key, tokens = found
             if tokens:
                 out += tokens
         tokens = state.get(self.END)
-        out += self.finish(state) if tokens is None else tokens
-        return out
+        if tokens is None:
+            tokens = state[self.END] = tuple(self.rest(state, b""))
+        return [*out, *tokens]
 
 
 class Cache:
@@ -336,6 +383,7 @@ def round_trips(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(shared.value, "encoder", lambda: Encoder(shared.value["ranks"], pattern))
         token_bytes = encoder.transducer.bytes_of
+        gc.disable()  # caches hold no cycles, and collecting them again and again takes long
         for batch in batches:
             counts, of_ids, of_bytes, same = [], [], [], []
             for value in batch["text"]:
@@ -356,6 +404,7 @@ def round_trips(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataF
                 "ids_sha256": pa.array(of_ids, pa.string()), "decoded_sha256": pa.array(of_bytes, pa.string()),
                 "same": pa.array(same, pa.bool_()),
             })
+        gc.enable()
 
     return _texts(docs).mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import importlib
 import re
 from collections.abc import Iterator
 
@@ -30,11 +31,21 @@ CODES = np.zeros(256, dtype=np.int64)
 for _place, _character in enumerate(ALPHABET, 1):
     CODES[ord(_character)] = _place
 SIZE = len(ALPHABET) + 1
-#: A run is a secret if its log-likelihood ratio is at least this, in total and per character.
-LEAST_TOTAL, LEAST_MEAN = 20.0, 1.0
+#: A run is a secret if its log-likelihood ratio is at least this, in total and per
+#: character, and if it is no repetition: it has so many different characters.
+LEAST_TOTAL, LEAST_MEAN, LEAST_DIFFERENT = 8.0, 0.2, 8
 #: Added to each pair count: of ordinary strings evenly, of random ones as if drawn at random.
 PRIOR = 1.0
 
+#: Standard modules whose names are the labelled sample of ordinary identifiers.
+NAMED = (
+    "argparse", "ast", "asyncio", "builtins", "calendar", "collections", "concurrent.futures", "configparser", "csv",
+    "datetime", "decimal", "email.message", "errno", "html.parser", "http.client", "inspect", "io", "json", "locale",
+    "logging", "math", "os", "pathlib", "random", "re", "shutil", "signal", "socket", "ssl", "statistics", "string",
+    "subprocess", "tarfile", "threading", "time", "token", "typing", "unittest", "urllib.parse", "urllib.request",
+    "uuid", "xml.dom.minidom", "zipfile",
+)
+
 MASK = "[secret]"
 
 
@@ -92,24 +103,36 @@ def labelled_counts(docs: DataFrame) -> DataFrame:
     return counts.groupBy("random", "pair").agg(F.sum("n").alias("n"))
 
 
+def identifiers() -> list[str]:
+    """Labelled ordinary identifiers: names in modules of the standard library, as they are,
+    in camel case and with hyphens, and rulers as people draw them."""
+    names = sorted({n for m in NAMED for n in dir(importlib.import_module(m)) if not n.startswith("__")})
+    camel = [n[:1].lower() + n.title().replace("_", "")[1:] for n in names if "_" in n.strip("_")]
+    return [*names, *camel, *(n.replace("_", "-").lower() for n in names), *(c * 60 for c in "-=_+/")]
+
+
 def log_ratio(counts: list[tuple[int, int, int]]) -> np.ndarray:
-    """Log of the chance of each next character in random over ordinary strings.
+    """[ordinary model, character, next]: log of the chance in random over ordinary strings.
 
-    A character at the boundary or another than the alphabet's tells nothing.
+    There are two models of ordinary strings: of the texts, and of identifiers. A
+    character at the boundary or another than the alphabet's tells nothing.
     """
-    tables = np.full((2, SIZE, SIZE), PRIOR)
+    tables = np.full((3, SIZE, SIZE), PRIOR)
     for label, pair, n in counts:
         tables[label, pair // SIZE, pair % SIZE] += n
+    for name in identifiers():
+        tables[2] += pair_counts(codes_of(name)).reshape(SIZE, SIZE)
     tables[:, :, 0] = 0
-    chances = tables / tables.sum(2, keepdims=True)
-    ratio = np.zeros((SIZE, SIZE))
-    ratio[1:, 1:] = np.log(chances[1, 1:, 1:]) - np.log(chances[0, 1:, 1:])
+    logs = np.log(tables[:, 1:, 1:] / tables[:, 1:].sum(2, keepdims=True))
+    ratio = np.zeros((2, SIZE, SIZE))
+    ratio[0, 1:, 1:], ratio[1, 1:, 1:] = logs[1] - logs[0], logs[1] - logs[2]
     return ratio
 
 
 def score(run: str, ratio: np.ndarray) -> float:
+    """Log-likelihood ratio of random over the likelier model of ordinary strings."""
     codes = codes_of(run)
-    return float(ratio[codes[:-1], codes[1:]].sum())
+    return float(ratio[:, codes[:-1], codes[1:]].sum(1).min())
 
 
 def all_spans(text: str, ratio: np.ndarray) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -120,6 +143,8 @@ def all_spans(text: str, ratio: np.ndarray) -> tuple[list[tuple[int, int, int]],
         a, b = m.span()
         if any(s < b and a < e for _, s, e in base):
             continue
+        if len(set(m[0])) < LEAST_DIFFERENT:
+            continue
         value = score(m[0], ratio)
         if value >= LEAST_TOTAL and value >= LEAST_MEAN * (b - a - 1):
             added.append((3, a, b))

@@ -23,10 +23,10 @@ from strataflow.llm.common import stored, whole_text
 
 END = b""  # no word is empty
 #: Words of the network, words in a class, sizes of embeddings and state.
-HEAD, CLASS_WORDS, EMBEDDING, STATE = 4_096, 64, 24, 32
+HEAD, CLASS_WORDS, EMBEDDING, STATE = 4_096, 64, 24, 24
 #: Words whose counts every task holds, and the longest of them in bytes: what is
 #: broadcast is bounded. Counts of all others are joined.
-HELD_WORDS, HELD_BYTES = 200_000, 64
+HELD_WORDS, HELD_BYTES = 100_000, 64
 SHAPES = 32
 PUNCTUATION = frozenset(b".,;:!?|)\"'")
 #: Every training text gives one stretch of so many tokens, from a place its hash names;
@@ -36,8 +36,8 @@ STRETCH, WINDOW, LANES = 64, 16, 128
 TRAINER_TEXTS, ROUNDS, RATE = 16_384, 3, 0.008
 #: Tokens of a window and texts side by side when scoring.
 SCORE_WINDOW, SCORE_LANES = 32, 256
-#: Numbers of a model that travel in one row.
-CHUNK = 4_096
+#: Numbers of a model that travel in one row, and words without held counts in one batch.
+CHUNK, RARE_ROWS = 4_096, 20_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -103,8 +103,15 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, head: int = HEAD, held: int = HELD_WORDS) -> Vocabulary:
+    # Only words about as frequent as the last one held are sorted.
+    order = F.floor(F.log2("n") * 8).cast("int")
+    least, found = 0, 0
+    for bucket, n in sorted((tuple(r) for r in counts.groupBy(order).count().collect()), reverse=True):
+        least, found = bucket, found + n
+        if found > held:
+            break
     top = (
-        counts.where(F.octet_length("word") <= HELD_BYTES).orderBy(F.desc("n"), "word").limit(held)
+        counts.where(order >= least).where(F.octet_length("word").between(1, HELD_BYTES)).orderBy(F.desc("n"), "word").limit(held)
         .select("word", "n").collect()
     )
     words, numbers = [bytes(r["word"]) for r in top], [r["n"] for r in top]
@@ -114,10 +121,9 @@ def vocabulary(counts: DataFrame, head: int = HEAD, held: int = HELD_WORDS) -> V
     for r in by_shape:
         if r["shape"] >= 0:
             shape_tokens[r["shape"]], shape_words[r["shape"]] = r["n"], r["words"]
-    if END in words:  # the network always knows the end
-        k = words.index(END)
-        words.insert(0, words.pop(k))
-        numbers.insert(0, numbers.pop(k))
+    ends = sum(r["n"] for r in by_shape if r["shape"] < 0)
+    words.insert(0, END)  # the network always knows the end
+    numbers.insert(0, ends)
     own = min(head, len(words))
     for word, n in zip(words[:own], numbers[:own]):
         if word:
@@ -166,7 +172,12 @@ def first_weights(v: Vocabulary) -> dict[str, np.ndarray]:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1.0)
+    """In place. Where the exponential overflows, the result is 0 as it should be."""
+    with np.errstate(over="ignore"):
+        np.negative(x, out=x)
+        np.exp(x, out=x)
+    x += 1.0
+    return np.reciprocal(x, out=x)
 
 
 def gru(w: dict, inputs: np.ndarray, state: np.ndarray, fresh: np.ndarray | None, projected: np.ndarray | None = None):
@@ -214,18 +225,27 @@ def class_of(targets: np.ndarray, head: int, classes: int) -> np.ndarray:
     return np.where(targets < head, targets // CLASS_WORDS, classes + targets - head)
 
 
+def log_chosen(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log-softmax of each row's chosen entry; ``x`` is used up."""
+    x -= x.max(1)[:, None]
+    found = x[np.arange(len(x)), chosen]
+    np.exp(x, out=x)
+    return found - np.log(x @ np.ones(x.shape[1], dtype=x.dtype))
+
+
 def log_chances(w: dict, states: np.ndarray, targets: np.ndarray, head: int) -> np.ndarray:
     """Natural log of the network's chance of each target: its class and, of its own words,
     the word in the class. Targets below 0 are none."""
     classes = len(w["class_bias"]) - SHAPES
-    logs = log_softmax(states @ w["class"] + w["class_bias"])
     here = targets >= 0
-    chosen = np.where(here, class_of(targets, head, classes), 0)
-    found = np.where(here, logs[np.arange(len(targets)), chosen], 0.0)
+    logits = states @ w["class"]
+    logits += w["class_bias"]
+    found = np.where(here, log_chosen(logits, np.where(here, class_of(targets, head, classes), 0)), 0.0)
     for k, part in by_class(targets, head):
         own = slice(k * CLASS_WORDS, (k + 1) * CLASS_WORDS)
-        inner = log_softmax(states[part] @ w["word"][own].T + w["word_bias"][own])
-        found[part] += inner[np.arange(len(part)), targets[part] - k * CLASS_WORDS]
+        logits = states[part] @ w["word"][own].T
+        logits += w["word_bias"][own]
+        found[part] += log_chosen(logits, targets[part] - k * CLASS_WORDS)
     return found
 
 
@@ -434,7 +454,7 @@ def network_scores(w: dict, projected: np.ndarray, numbers: list[np.ndarray], he
         wanted = np.concatenate([numbers[i] for i in texts])
         starts = np.zeros(len(wanted), dtype=bool)
         starts[np.cumsum([0, *sizes[:-1]])] = True
-        flat.append((wanted, np.repeat(texts, sizes), starts))
+        flat.append((wanted, np.repeat(np.array(texts, dtype=np.int32), sizes), starts))
     flat.sort(key=lambda lane: -len(lane[0]))
     state = np.zeros((len(flat), STATE), dtype=np.float32)
     last = np.zeros(len(flat), dtype=np.int32)  # a text begins after an end, number 0
@@ -445,7 +465,7 @@ def network_scores(w: dict, projected: np.ndarray, numbers: list[np.ndarray], he
             active -= 1
         steps = min(SCORE_WINDOW, len(flat[0][0]) - t)
         targets = np.full((steps, active), -1, dtype=np.int32)
-        owner = np.zeros((steps, active), dtype=np.int64)
+        owner = np.zeros((steps, active), dtype=np.int32)
         fresh = np.zeros((steps, active), dtype=bool)
         for lane in range(active):
             wanted, texts, starts = flat[lane]
@@ -461,15 +481,23 @@ def network_scores(w: dict, projected: np.ndarray, numbers: list[np.ndarray], he
     return scores
 
 
-def score_parts(texts: DataFrame, shared) -> DataFrame:
+def score_parts(texts: DataFrame, coded, weights: dict) -> DataFrame:
     """Two kinds of rows. Without ``word``: a text with its sums over the words whose counts
     are held. With it: a word that is not, how often the text has it, and its shape."""
+    given = texts.sparkSession.sparkContext.broadcast({"weights": weights})
+    schema = pa.schema([
+        ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("word", pa.binary()), ("n", pa.int64()),
+        ("shape", pa.int32()), ("known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()),
+    ])
+
+    def batch_of(rows: int, **columns) -> pa.RecordBatch:
+        arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in schema]
+        return pa.record_batch(arrays, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
-        v = Vocabulary(**held["vocabulary"])
-        coder = kept(held, "coder", lambda: Coder(v))
-        w = held["weights"]
+        v = Vocabulary(**coded.value["vocabulary"])
+        coder = kept(coded.value, "coder", lambda: Coder(v))
+        w = given.value["weights"]
         projected = w["embed"] @ w["input"] + w["gates"]
         c = np.array(v.counts, dtype=float)
         base_of = np.append(np.log10((c + 1) / (v.tokens + v.distinct + 1)), 0.0)
@@ -483,7 +511,7 @@ def score_parts(texts: DataFrame, shared) -> DataFrame:
         none = len(c)
         for batch in batches:
             numbers, sizes, known, base, model = [], [], [], [], []
-            rare: list[tuple[int, bytes, int, int]] = []
+            rare: dict[str, list] = {"row": [], "word": [], "n": [], "shape": []}
             for row, text in zip(batch["row"].to_pylist(), batch["text"]):
                 words = words_of(text.as_py())
                 words.append(END)
@@ -492,29 +520,27 @@ def score_parts(texts: DataFrame, shared) -> DataFrame:
                 lost = np.flatnonzero(places == none)
                 if len(lost):
                     seen = Counter(words[i] for i in lost.tolist())
-                    shape = {x: shape_of(x) if x else 0 for x in seen}
+                    shape = {x: shape_of(x) for x in seen}
                     own[lost] = [v.head + shape[words[i]] for i in lost.tolist()]
-                    rare += [(row, x, n, shape[x]) for x, n in seen.items()]
+                    rare["row"] += [row] * len(seen)
+                    rare["word"] += seen.keys()
+                    rare["n"] += seen.values()
+                    rare["shape"] += shape.values()
+                    if len(rare["row"]) > RARE_ROWS:
+                        yield batch_of(len(rare["row"]), **rare)
+                        rare = {name: [] for name in rare}
                 numbers.append(own)
                 sizes.append(len(words))
                 known.append(int(known_of[places].sum()))
                 base.append(float(base_of[places].sum()))
                 model.append(float(inner_of[places].sum()))
+            if rare["row"]:
+                yield batch_of(len(rare["row"]), **rare)
             scores = network_scores(w, projected, numbers, v.head) / math.log(10) if numbers else np.zeros(0)
-            none_of = lambda kind: pa.nulls(len(rare), kind)
-            count = batch.num_rows
-            yield pa.record_batch({
-                "row": batch["row"], "doc_id": batch["doc_id"], "held_out": batch["held_out"], "word": pa.nulls(count, pa.binary()),
-                "n": pa.array(sizes, pa.int64()), "shape": pa.nulls(count, pa.int32()), "known": pa.array(known, pa.int64()),
-                "base": pa.array(base, pa.float64()), "model": pa.array(np.array(model) + scores, pa.float64()),
-            })
-            if rare:
-                yield pa.record_batch({
-                    "row": pa.array([r[0] for r in rare], pa.int64()), "doc_id": none_of(pa.int64()), "held_out": none_of(pa.bool_()),
-                    "word": pa.array([r[1] for r in rare], pa.binary()), "n": pa.array([r[2] for r in rare], pa.int64()),
-                    "shape": pa.array([r[3] for r in rare], pa.int32()), "known": none_of(pa.int64()),
-                    "base": none_of(pa.float64()), "model": none_of(pa.float64()),
-                })
+            yield batch_of(
+                batch.num_rows, row=batch["row"], doc_id=batch["doc_id"], held_out=batch["held_out"], n=sizes, known=known,
+                base=base, model=np.array(model) + scores,
+            )
 
     return texts.select("row", "doc_id", "held_out", "text").mapInArrow(
         run, "row long, doc_id long, held_out boolean, word binary, n long, shape int, known long, base double, model double"
@@ -537,14 +563,9 @@ def score(docs: DataFrame, head: int = HEAD, held: int = HELD_WORDS) -> DataFram
     training = texts.where(~F.col("held_out"))
     counts = stored(word_counts(training), "counts")
     v = vocabulary(counts, head, held)
-    if END not in v.words[:1]:
-        v.words.insert(0, END)
-        v.counts.insert(0, 0)
-        v.head += 1
     coded = spark.sparkContext.broadcast({"vocabulary": vars(v)})
     weights = train(training, v, coded)
-    shared = spark.sparkContext.broadcast({"vocabulary": vars(v), "weights": weights})
-    parts = stored(score_parts(texts, shared), "parts")
+    parts = stored(score_parts(texts, coded, weights), "parts")
     rooms = spark.createDataFrame(
         [(k, float(a + b + 1)) for k, (a, b) in enumerate(zip(v.shape_tokens, v.shape_words))], "shape int, room double"
     )

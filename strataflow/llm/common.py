@@ -39,6 +39,14 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the rows do not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def ranked(
     df: DataFrame, groups: list[str], order: list[Column], coarse: Column, name: str, salts: int = 256
 ) -> DataFrame:
@@ -70,14 +78,15 @@ def picked(docs: DataFrame, chosen: DataFrame, content: Column) -> DataFrame:
 
     Where several rows have that ``doc_id`` and content, one of them stays.
     """
-    marked = docs.withColumn("_content", content)
+    name = unused(docs, "_content")
+    marked = docs.withColumn(name, content)
 
     def among(part: DataFrame) -> DataFrame:
-        names = part.select(F.col("doc_id").alias("_id"), F.col("content").alias("_same"))
-        same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_content") == F.col("_same"))
-        return marked.join(names, same, "left_semi")
+        names = part.select(F.col("doc_id").alias("id"), F.col("content").alias("same")).alias("chosen")
+        same = F.col("rows.doc_id").cast("long").eqNullSafe(F.col("chosen.id")) & (F.col(f"rows.{name}") == F.col("chosen.same"))
+        return marked.alias("rows").join(names, same, "left_semi")
 
     rows, repeated = among(chosen.where("rows = 1")), chosen.where("rows > 1")
     if not repeated.isEmpty():
-        rows = rows.unionByName(among(repeated).dropDuplicates(["doc_id", "_content"]))
+        rows = rows.unionByName(among(repeated).dropDuplicates(["doc_id", name]))
     return rows.select(*docs.columns)

@@ -15,10 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from strataflow.llm.bpe import Cache, kept
-from strataflow.llm.common import stored, whole_text
+from strataflow.llm.common import stored, unused, whole_text
 
 #: What the vocabulary marks the start of a word with.
 START = "▁"
@@ -268,18 +268,19 @@ class Scorer:
         return names, scores
 
 
-def scored(docs: DataFrame, model: Model, columns: list[str], schema: str) -> DataFrame:
-    """The given columns of the documents with ``lang_pred`` and ``score``; reads only the text."""
+def scored(docs: DataFrame, model: Model, language: str, score: str) -> DataFrame:
+    """The documents with the predicted language and its score; reads only the text."""
     shared = docs.sparkSession.sparkContext.broadcast({"model": vars(model)})
+    schema = T.StructType([*docs.schema, T.StructField(language, T.StringType()), T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = kept(shared.value, "scorer", lambda: Scorer(shared.value["model"]))
         for batch in batches:
             names, scores = scorer.texts([t or "" for t in batch["text"].to_pylist()])
-            arrays = [batch[c] for c in columns] + [pa.array(names, pa.string()), pa.array(scores)]
-            yield pa.record_batch(arrays, names=[*columns, "_lang_pred", "_score"])
+            arrays = [*batch.columns, pa.array(names, pa.string()), pa.array(scores)]
+            yield pa.record_batch(arrays, names=[*batch.schema.names, language, score])
 
-    return docs.mapInArrow(run, f"{schema}_lang_pred string, _score double")
+    return docs.mapInArrow(run, schema)
 
 
 def fold() -> Column:
@@ -297,9 +298,7 @@ def predict(docs: DataFrame, vocabulary: list[str], folds: int = 4, held: int =
     out = fold() % folds == held
     model = train(docs, ~out, vocabulary)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), out.alias("held_out"), whole_text().alias("text"))
-    return scored(rows, model, ["doc_id", "held_out"], "doc_id long, held_out boolean, ").withColumnsRenamed(
-        {"_lang_pred": "lang_pred", "_score": "score"}
-    )
+    return scored(rows, model, "lang_pred", "score").drop("text")
 
 
 def identified(docs: DataFrame, vocabulary: list[str], least_score: float = 0.5) -> DataFrame:
@@ -308,6 +307,6 @@ def identified(docs: DataFrame, vocabulary: list[str], least_score: float = 0.5)
     Those without letters go, and those where no language has at least ``least_score``.
     """
     model = train(docs, F.lit(True), vocabulary)
-    schema = "".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}, " for f in docs.schema)
-    rows = scored(docs, model, docs.columns, schema)
-    return rows.where((F.col("_lang_pred") != UNDETERMINED) & (F.col("_score") >= least_score)).select(*docs.columns)
+    found, score = unused(docs, "_found"), unused(docs, "_score")
+    rows = scored(docs, model, found, score)
+    return rows.where((F.col(found) != UNDETERMINED) & (F.col(score) >= least_score)).select(*docs.columns)

@@ -17,7 +17,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from strataflow.llm.bpe import Cache, kept
+from strataflow.llm.bpe import kept
 from strataflow.llm.common import stored, unused, whole_text
 
 #: What the vocabulary marks the start of a word with.
@@ -31,6 +31,8 @@ DOCS_PER_LANGUAGE, ROUNDS = 1_000, 3
 UNKNOWN = 1e-7
 #: Expected counts that each piece starts from.
 PRIOR = 0.05
+#: Words whose log-probabilities a worker holds, and texts whose new words it computes together.
+HELD_WORDS, TOGETHER = 200_000, 32
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -47,62 +49,79 @@ def read_pieces(path: str) -> list[str]:
 
 
 class Segments:
-    """Words as arrays of the pieces that can end at each character."""
+    """Words as arrays of the pieces that can end at each character.
+
+    The pieces are a tree, kept as sorted keys of node and character; all places of all
+    words walk down it together.
+    """
 
     def __init__(self, vocabulary: list[str]):
-        self.index = {piece: i for i, piece in enumerate(vocabulary)}
         self.none = len(vocabulary)
+        child: dict[tuple[int, int], int] = {}
+        pieces = [self.none]
+        for number, piece in enumerate(vocabulary):
+            node = 0
+            for character in map(ord, piece):
+                found = child.get((node, character))
+                if found is None:
+                    found = child[node, character] = len(pieces)
+                    pieces.append(self.none)
+                node = found
+            pieces[node] = number
+        keys = np.array([node << 21 | c for node, c in child], dtype=np.int64)
+        order = np.argsort(keys)
+        self.keys, self.nodes = keys[order], np.array(list(child.values()), dtype=np.int64)[order]
+        self.pieces = np.array(pieces, dtype=np.int32)
 
     def table(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """[word, end, length - 1] of piece numbers (``none`` where no piece fits), and lengths of words."""
         marked = [START + w for w in words]
         sizes = np.array([len(w) for w in marked])
-        found = np.full((len(marked), sizes.max(), LONGEST_PIECE), self.none, dtype=np.int32)
-        get = self.index.get
-        rows, ends, lengths, numbers = [], [], [], []
-        for row, word in enumerate(marked):
-            size = len(word)
-            for start in range(size):
-                for end in range(start + 1, min(start + LONGEST_PIECE, size) + 1):
-                    number = get(word[start:end])
-                    if number is not None:
-                        rows.append(row)
-                        ends.append(end - 1)
-                        lengths.append(end - start - 1)
-                        numbers.append(number)
-        found[rows, ends, lengths] = numbers
+        longest = int(sizes.max())
+        letters = np.frombuffer("".join(w.ljust(longest, "\0") for w in marked).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        letters = letters.reshape(len(marked), longest).astype(np.int64)
+        found = np.full((len(marked), longest, LONGEST_PIECE), self.none, dtype=np.int32)
+        rows, starts = np.nonzero(letters)
+        nodes = np.zeros(len(rows), dtype=np.int64)
+        for length in range(LONGEST_PIECE):
+            ends = starts + length
+            here = ends < longest
+            rows, starts, nodes, ends = rows[here], starts[here], nodes[here], ends[here]
+            keys = nodes << 21 | letters[rows, ends]
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            here = self.keys[at] == keys
+            rows, starts, nodes, ends = rows[here], starts[here], self.nodes[at[here]], ends[here]
+            if not len(rows):
+                break
+            found[rows, ends, length] = self.pieces[nodes]
         return found, sizes
 
 
-def forward(table: np.ndarray, sizes: np.ndarray, chances: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log-probability of each word in each language, with scaled forward sums and their scales.
+def forward(table: np.ndarray, sizes: np.ndarray, chances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of each word in each language, and the log of the forward sums
+    [word, end, language].
 
     ``chances`` is [piece, language] with a last row of zeros for no piece. A character
     on its own always has at least the chance ``UNKNOWN``.
     """
     words, longest, _ = table.shape
-    languages = chances.shape[1]
-    sums = np.zeros((words, longest + 1, languages))
-    scale = np.zeros((words, longest + 1, languages))  # log of what was divided out up to here
-    sums[:, 0] = 1.0
+    logs = np.zeros((words, longest + 1, chances.shape[1]))
     for end in range(1, longest + 1):
         reach = min(end, LONGEST_PIECE)
         piece = chances[table[:, end - 1, :reach]]  # [word, length, language]
-        piece[:, 0] = np.maximum(piece[:, 0], UNKNOWN)
-        before = sums[:, end - reach : end][:, ::-1]
-        drop = np.exp(scale[:, end - reach : end][:, ::-1] - scale[:, end - 1 : end])
-        total = (piece * before * drop).sum(1)
-        sums[:, end] = 1.0
-        scale[:, end] = scale[:, end - 1] + np.log(total)
-    at = np.arange(words)
-    return scale[at, sizes], sums, scale
+        np.maximum(piece[:, 0], UNKNOWN, out=piece[:, 0])
+        # Relative to the sum one character before, so that nothing underflows to no way at all.
+        near = logs[:, end - 1]
+        drop = np.exp(logs[:, end - reach : end][:, ::-1] - near[:, None])
+        logs[:, end] = near + np.log((piece * drop).sum(1))
+    return logs[np.arange(words), sizes], logs
 
 
 def expected(table: np.ndarray, sizes: np.ndarray, chances: np.ndarray, language: int, weights: np.ndarray) -> np.ndarray:
     """Expected number of uses of each piece in the words of one language."""
     own = chances[:, language : language + 1]
-    _, _, scale = forward(table, sizes, own)
-    ahead = scale[:, :, 0]  # log of forward sums
+    _, logs = forward(table, sizes, own)
+    ahead = logs[:, :, 0]
     words, longest, _ = table.shape
     behind = np.full((words, longest + 1), -np.inf)
     behind[np.arange(words), sizes] = 0.0
@@ -124,15 +143,15 @@ def expected(table: np.ndarray, sizes: np.ndarray, chances: np.ndarray, language
         behind[:, start] = np.where(start < sizes, total, behind[:, start])
         share = np.exp(through + ahead[:, start : start + 1] - whole[:, None]) * weights[:, None]
         share[start >= sizes] = 0
-        np.add.at(uses, piece.ravel(), share.ravel())
+        uses += np.bincount(piece.ravel(), weights=share.ravel(), minlength=len(uses))
     uses[-1] = 0
     return uses
 
 
 def words_of(text: str) -> list[str]:
     """Words between white space that have a letter, the longest in parts."""
-    found = [w for w in text.split() if LETTER.search(w)]
-    if all(len(w) <= LONGEST_WORD for w in found):
+    found = [w for w in text.split() if w.isalpha() or LETTER.search(w)]
+    if not found or max(map(len, found)) <= LONGEST_WORD:
         return found
     return [w[k : k + LONGEST_WORD] for w in found for k in range(0, len(w), LONGEST_WORD)]
 
@@ -203,7 +222,8 @@ def train(
                 langs, texts = np.array(batch["lang"].to_pylist()), batch["word"].to_pylist()
                 n = batch["n"].to_numpy(zero_copy_only=False).astype(float)
                 for k, lang in enumerate(languages):
-                    for some in in_blocks(np.flatnonzero(langs == lang).tolist()):
+                    own = sorted(np.flatnonzero(langs == lang).tolist(), key=lambda i: len(texts[i]))
+                    for some in in_blocks(own):
                         table, sizes = segments.table([texts[i] for i in some])
                         # A word counts by the root of how often it occurs: common ones say little more.
                         uses[k] += expected(table, sizes, chances, k, np.sqrt(n[some]))
@@ -223,48 +243,56 @@ def train(
 
 
 class Scorer:
-    """Log-probabilities of whole texts; each word's are computed once while they are cached."""
+    """Log-probabilities of whole texts; each word's are computed once while they are held.
+
+    Rows of words are held in two halves, the older one is dropped in turn.
+    """
 
     def __init__(self, model: dict):
         self.languages = model["languages"]
         self.segments = Segments(model["vocabulary"])
         self.chances = model["chances"]
         self.priors = np.log(model["priors"])
-        self.known = Cache(None)
-
-    def learn(self, words: list[str]) -> None:
-        for some in in_blocks(words):
-            table, sizes = self.segments.table(some)
-            logs, _, _ = forward(table, sizes, self.chances)
-            for word, row in zip(some, logs):
-                self.known.new[word] = row
+        self.place: dict[str, int] = {}
+        self.rows = np.zeros((HELD_WORDS, self.chances.shape[1]))
+        self.old_place: dict[str, int] = {}
+        self.old_rows = self.rows
+
+    def hold(self, words: set[str]) -> None:
+        """Make sure that the words have rows."""
+        fresh = [w for w in words if w not in self.place]
+        if len(self.place) + len(fresh) > len(self.rows):
+            self.old_place, self.old_rows = self.place, self.rows
+            fresh = list(words)
+            self.place, self.rows = {}, np.zeros((max(HELD_WORDS, len(fresh)), self.chances.shape[1]))
+        known = [w for w in fresh if w in self.old_place]
+        self.put(known, self.old_rows[[self.old_place[w] for w in known]] if known else None)
+        unknown = sorted((w for w in fresh if w not in self.old_place), key=len)
+        for some in in_blocks(unknown):
+            self.put(some, forward(*self.segments.table(some), self.chances)[0])
+
+    def put(self, words: list[str], rows: np.ndarray | None) -> None:
+        if words:
+            start = len(self.place)
+            self.rows[start : start + len(words)] = rows
+            self.place.update(zip(words, range(start, start + len(words))))
 
     def texts(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Predicted language and its posterior; ``und`` without letters."""
-        split = [words_of(t) if t and LETTER.search(t) else [] for t in texts]
-        cache = self.known
         names, scores = [], np.zeros(len(texts))
-        for words, i in zip(split, range(len(texts))):
-            if not words or not self.languages:
-                names.append(UNDETERMINED)
-                continue
-            fresh = []
-            for word in set(words):
-                if word not in cache.new:
-                    row = cache.old.get(word)
-                    if row is None:
-                        fresh.append(word)
-                    else:
-                        cache.new[word] = row
-            if fresh:
-                self.learn(sorted(fresh, key=len))
-            known = cache.new
-            logs = np.array([known[w] for w in words]).sum(0) + self.priors
-            if len(known) > 100_000:
-                cache.old, cache.new = known, {}
-            top = int(np.argmax(logs))
-            names.append(self.languages[top])
-            scores[i] = 1.0 / np.exp(logs - logs[top]).sum()
+        for first in range(0, len(texts), TOGETHER):
+            split = [words_of(t) if t else [] for t in texts[first : first + TOGETHER]]
+            if self.languages:
+                self.hold(set().union(*split))
+            for i, words in enumerate(split, first):
+                if not words or not self.languages:
+                    names.append(UNDETERMINED)
+                    continue
+                places = np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
+                logs = self.rows[places].sum(0) + self.priors
+                top = int(np.argmax(logs))
+                names.append(self.languages[top])
+                scores[i] = 1.0 / np.exp(logs - logs[top]).sum()
         return names, scores
 
 

@@ -226,8 +226,11 @@ def near_links(marks: DataFrame, radius: int = 3, bucket_rows: int = BUCKET_ROWS
     """Links ``a, b`` that connect all distinct fingerprints at ``radius`` or fewer bits.
 
     Not every such pair is a row: of a bucket, only links enough to connect it.
-    ``marks`` has distinct rows and is read several times: store it first.
+    ``marks`` has distinct rows and is read several times: store it first. A bucket may
+    always hold ``2 ** radius`` rows: with more, so many bits are free that each part
+    of a cut has one.
     """
+    bucket_rows = max(bucket_rows, 1 << radius)
     rows, table = bit_table(marks)
     masks, _, _ = allocate(list(range(BITS)), table, rows, radius)
     probes = probe(marks, masks, shared=False)

@@ -23,7 +23,7 @@ from strataflow.llm.common import stored, unused, whole_text
 #: What the vocabulary marks the start of a word with.
 START = "▁"
 #: Longest piece looked at, in characters; longer words are cut into so many.
-LONGEST_PIECE, LONGEST_WORD = 12, 48
+LONGEST_PIECE, LONGEST_WORD = 12, 40
 #: Labelled documents per language (expected) that the classifier is fitted on, a bounded sample,
 #: and rounds of expectation maximisation.
 DOCS_PER_LANGUAGE, ROUNDS = 1_000, 3
@@ -32,7 +32,7 @@ UNKNOWN = 1e-7
 #: Expected counts that each piece starts from.
 PRIOR = 0.05
 #: Words whose log-probabilities a worker holds, and texts whose new words it computes together.
-HELD_WORDS, TOGETHER = 200_000, 32
+HELD_WORDS, TOGETHER = 300_000, 64
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -98,30 +98,29 @@ class Segments:
 
 
 def forward(table: np.ndarray, sizes: np.ndarray, chances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-probability of each word in each language, and the log of the forward sums
-    [word, end, language].
+    """Log-probability of each word in each language, and the forward sums [word, end, language].
 
     ``chances`` is [piece, language] with a last row of zeros for no piece. A character
-    on its own always has at least the chance ``UNKNOWN``.
+    on its own always has at least the chance ``UNKNOWN``, and a word is so short that
+    not even its power underflows.
     """
     words, longest, _ = table.shape
-    logs = np.zeros((words, longest + 1, chances.shape[1]))
+    sums = np.zeros((words, longest + 1, chances.shape[1]))
+    sums[:, 0] = 1.0
     for end in range(1, longest + 1):
         reach = min(end, LONGEST_PIECE)
         piece = chances[table[:, end - 1, :reach]]  # [word, length, language]
         np.maximum(piece[:, 0], UNKNOWN, out=piece[:, 0])
-        # Relative to the sum one character before, so that nothing underflows to no way at all.
-        near = logs[:, end - 1]
-        drop = np.exp(logs[:, end - reach : end][:, ::-1] - near[:, None])
-        logs[:, end] = near + np.log((piece * drop).sum(1))
-    return logs[np.arange(words), sizes], logs
+        piece *= sums[:, end - reach : end][:, ::-1]
+        sums[:, end] = piece.sum(1)
+    return np.log(sums[np.arange(words), sizes]), sums
 
 
 def expected(table: np.ndarray, sizes: np.ndarray, chances: np.ndarray, language: int, weights: np.ndarray) -> np.ndarray:
     """Expected number of uses of each piece in the words of one language."""
     own = chances[:, language : language + 1]
-    _, logs = forward(table, sizes, own)
-    ahead = logs[:, :, 0]
+    _, sums = forward(table, sizes, own)
+    ahead = np.log(sums[:, :, 0])
     words, longest, _ = table.shape
     behind = np.full((words, longest + 1), -np.inf)
     behind[np.arange(words), sizes] = 0.0

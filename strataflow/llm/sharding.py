@@ -24,7 +24,13 @@ def flows_within(moves: dict[tuple[int, int], int], loads: list[int], capacity:
             wanted = sum(into.values())
             if wanted > room:
                 tight = True
-                flows.update({pair: n * room // wanted for pair, n in into.items()})
+                shares = {pair: n * room // wanted for pair, n in into.items()}
+                left = room - sum(shares.values())
+                for pair in sorted(into):
+                    more = min(left, into[pair] - shares[pair])
+                    shares[pair] += more
+                    left -= more
+                flows.update(shares)
         if not tight:
             return flows
 

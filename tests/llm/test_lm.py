@@ -1,0 +1,110 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from strataflow.llm import lm
+
+from .conftest import ODD
+
+
+def small(head=70, seed=1):
+    words = [b"", *(f"w{i}".encode() for i in range(head - 1))]
+    v = lm.Vocabulary(words, list(range(head, 0, -1)), head, 5_000, 300, [7] * lm.SHAPES, [3] * lm.SHAPES)
+    rng = np.random.default_rng(seed)
+    return v, {n: (x + rng.normal(0, 0.1, x.shape)).astype(np.float64) for n, x in lm.first_weights(v).items()}
+
+
+def test_chances_sum_to_one():
+    v, w = small()
+    states = np.random.default_rng(2).normal(size=(4, lm.STATE))
+    total = np.zeros(4)
+    for target in range(v.head + lm.SHAPES):
+        total += np.exp(lm.log_chances(w, states, np.full(4, target), v.head))
+    assert total == pytest.approx(np.ones(4), abs=1e-6)
+
+
+def test_gradients_match_differences():
+    v, w = small()
+    rng = np.random.default_rng(4)
+    inputs, targets = rng.integers(0, v.head + lm.SHAPES, (2, 5, 3))
+    targets[4, 1] = -1
+    state = rng.normal(size=(3, lm.STATE))
+    slopes, _ = lm.gradients(w, inputs, targets, state, v.head)
+
+    def loss():
+        # In double precision throughout: the states are computed step by step here.
+        h, total = state, 0.0
+        for t in range(len(inputs)):
+            into = w["embed"][inputs[t]] @ w["input"] + w["gates"]
+            held = h @ w["recur"]
+            z, r = (lm.sigmoid(into[:, k * lm.STATE : (k + 1) * lm.STATE] + held[:, k * lm.STATE : (k + 1) * lm.STATE]) for k in (0, 1))
+            n = np.tanh(into[:, 2 * lm.STATE :] + r * held[:, 2 * lm.STATE :])
+            h = (1 - z) * n + z * h
+            total -= lm.log_chances(w, h, targets[t], v.head).sum()
+        return total / (targets >= 0).sum()
+
+    for name, x in w.items():
+        for _ in range(6):
+            at = tuple(rng.integers(0, s) for s in x.shape)
+            keep = x[at]
+            x[at] = keep + 1e-5
+            up = loss()
+            x[at] = keep - 1e-5
+            down = loss()
+            x[at] = keep
+            assert slopes[name][at] == pytest.approx((up - down) / 2e-5, abs=2e-5), name
+
+
+def test_state_is_carried_over_windows():
+    """Lanes, windows and text boundaries give what reading each text alone gives."""
+    v, w = small()
+    w = {n: x.astype(np.float32) for n, x in w.items()}
+    rng = np.random.default_rng(6)
+    numbers = [np.append(rng.integers(1, v.head + lm.SHAPES, n), 0).astype(np.int32) for n in (0, 1, 3, 31, 32, 33, 400, 7)]
+    projected = w["embed"] @ w["input"] + w["gates"]
+    together = lm.network_scores(w, projected, numbers * 40, v.head)
+    for k, x in enumerate(numbers):
+        states, _, _ = lm.gru(w, np.append([0], x[:-1])[:, None], np.zeros((1, lm.STATE), dtype=np.float32), None)
+        alone = lm.log_chances(w, states[:, 0], x, v.head).sum()
+        assert together[k :: len(numbers)] == pytest.approx(np.full(40, alone), rel=1e-4)
+
+
+def test_lanes_hold_every_text_once():
+    lanes = lm.lanes_of([5, 1, 9, 2, 2], 3)
+    assert sorted(i for lane in lanes for i in lane) == [0, 1, 2, 3, 4] and len(lanes) == 3
+
+
+def corpus():
+    first, second = "the cat sat on the mat and then".split(), "eine katze lag auf dem kissen und".split()
+    rows = []
+    for k in range(160):
+        words = first if k % 2 else second
+        rows.append((k, " ".join(words[(k // 2 + i) % len(words)] for i in range(10 + k % 50)) + f" Rare{k % 23}"))
+    return [*rows, *((1_000 + i, t) if d is not None else (None, t) for i, (d, t) in enumerate(ODD))]
+
+
+def test_counts_and_base_are_exact_and_the_model_is_better(docs):
+    rows = corpus()
+    # So few words are held that most counts come from the join.
+    found = lm.score(docs(rows), head=8, held=12).collect()
+    held = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2
+    tokens = lambda t: [*(t or "").encode().lower().split(), b""]
+    counts = Counter(x for d, t in rows if not held(d) for x in tokens(t))
+    n, v = sum(counts.values()), len(counts)
+    want = sorted(
+        (str(d), held(d), len(tokens(t)), sum(counts[x] > 0 for x in tokens(t)), n, round(sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in tokens(t)), 6))
+        for d, t in rows
+    )
+    assert sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in found) == want
+    assert sum(r["score"] for r in found) > sum(r["base_score"] for r in found)
+
+
+def test_empty_and_untrained(docs):
+    assert lm.score(docs([])).collect() == []
+    held = next(d for d in range(100) if zlib.crc32(str(d).encode()) % 7 == 2)
+    row = lm.score(docs([(held, "a b")])).collect()[0]
+    assert (row["n_tokens"], row["n_known"], row["train_tokens"]) == (3, 0, 0)
+    assert row["base_score"] == 0.0 and math.isfinite(row["score"])

@@ -134,11 +134,11 @@ def policy_functions(
     for policy in policies:
         table = policy["table_name"]
         for column, group, value in _filters(policy):
-            body = f"CASE WHEN {is_member(group)} THEN true ELSE dept_val = {_quoted(value)} END"
-            filters.append((add(table, DEPARTMENT_FILTER, "dept_val", "BOOLEAN", body), column))
+            body = f"{is_member(group)} OR cell = {_quoted(value)}"
+            filters.append((add(table, DEPARTMENT_FILTER, "cell", "BOOLEAN", body), column))
         for column, group in _masks(policy):
-            body = f"CASE WHEN {is_member(group)} THEN val ELSE {_quoted(MASKED_TEXT)} END"
-            masks.append((add(table, EMAIL_MASK, "val", "STRING", body), column))
+            body = f"if({is_member(group)}, cell, {_quoted(MASKED_TEXT)})"
+            masks.append((add(table, EMAIL_MASK, "cell", "STRING", body), column))
     return statements, filters, masks
 
 

@@ -102,7 +102,7 @@ class Pipeline:
         routed, rules = route_silver(tables[silver.source], silver, self.aes_key)
         helpers = [c for c in routed.columns if c.startswith("_has_")]
         tables[silver.quarantine] = rejected_rows(routed, rules).drop(*helpers)
-        prepared = prepare(clean_rows(routed), silver, self.aes_key)
+        prepared = prepare(clean_rows(routed, rules), silver, self.aes_key)
         apply = latest if silver.scd_type == 1 else versions
         tables[silver.target] = apply(
             prepared, silver.keys, silver.sequence_by, silver.clock_columns
@@ -114,21 +114,47 @@ class Pipeline:
     # -- incremental --------------------------------------------------------------
 
     def run(self) -> None:
-        """One update: new files to bronze, new rows to silver, gold from silver."""
+        """One update: new files to bronze, new rows to silver, gold from silver.
+
+        A table that fails stops only what reads it; all failures are reported at the end.
+        """
         root = self._root()
-        flows = [f for group in self._flows().values() for f in group]
-        _drain(partial(start_ingest, self.spark, flow) for flow in flows)
+        failed: dict[str, Exception] = {}
+        _drain(
+            ((name, partial(start_ingest, self.spark, flow)) for name, flows in self._flows().items() for flow in flows),
+            failed,
+        )
         for stage in self._silver_stages():
             # A source without a schema has not seen a file yet.
-            ready = [s for s in stage if self._append_schema(s.source) is not None]
-            _drain(partial(self._start_silver, silver) for silver in ready)
+            ready = [s for s in stage if s.source not in failed and self._append_schema(s.source) is not None]
+            for silver in stage:
+                if silver.source in failed:
+                    failed[silver.target] = failed[silver.source]
+            _drain(((silver.target, partial(self._start_silver, silver)) for silver in ready), failed)
             for silver in ready:
-                self.keyed(silver).vacuum()
+                if silver.target not in failed:
+                    self.keyed(silver).vacuum()
+            for silver in stage:
+                if silver.target in failed:
+                    failed[silver.quarantine] = failed[silver.target]
         golds = {g.target: g for g in self.document.golds}
         for name in self.order:
-            if name in golds and self._exists(golds[name].source):
-                result = self._gold(golds[name], self.table(golds[name].source))
-                SnapshotTable(self.spark, f"{root}/gold/{name}").write(result)
+            if name not in golds:
+                continue
+            source = golds[name].source
+            if source in failed:
+                failed[name] = failed[source]
+            elif self._exists(source):
+                try:
+                    result = self._gold(golds[name], self.table(source))
+                    SnapshotTable(self.spark, f"{root}/gold/{name}").write(result)
+                except Exception as error:  # noqa: BLE001 - the others still run
+                    failed[name] = error
+        errors = list({id(e): e for e in failed.values()}.values())
+        if len(errors) == 1:
+            raise errors[0]
+        if errors:
+            raise ExceptionGroup(f"failed tables: {sorted(failed)}", errors)
 
     def _start_silver(self, silver: Silver) -> StreamingQuery:
         source = stream_appended(
@@ -282,18 +308,16 @@ class Pipeline:
         )
 
 
-def _drain(starters: Iterable[Callable[[], StreamingQuery]]) -> None:
-    """Start all queries, wait for each, then report the first failure."""
-    started, failures = [], []
-    for start in starters:
+def _drain(starters: Iterable[tuple[str, Callable[[], StreamingQuery]]], failed: dict[str, Exception]) -> None:
+    """Start all queries and wait for each; the first failure of each name goes to ``failed``."""
+    started = []
+    for name, start in starters:
         try:
-            started.append(start())
+            started.append((name, start()))
         except Exception as error:  # noqa: BLE001 - the others still run
-            failures.append(error)
-    for query in started:
+            failed.setdefault(name, error)
+    for name, query in started:
         try:
             query.awaitTermination()
         except Exception as error:  # noqa: BLE001 - the others still finish
-            failures.append(error)
-    if failures:
-        raise failures[0]
+            failed.setdefault(name, error)

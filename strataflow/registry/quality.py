@@ -44,7 +44,7 @@ def quarantine_codes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_branch(spark: SparkSession, sf: str) -> DataFrame:
-    return clean_rows(route(events_with_gaps(spark, sf), EVENT_RULES))
+    return clean_rows(route(events_with_gaps(spark, sf), EVENT_RULES), EVENT_RULES)
 
 
 def null_verdict(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,15 +5,19 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strataflow.plans.config import Source
-from strataflow.sources.schema import apply_hints, from_ddl
+from strataflow.sources.schema import apply_hints, from_ddl, widest
 
 # Discovery options, which a document may write with a dotted prefix.
 DISCOVERY_OPTIONS = ("schemaHints", "inferColumnTypes", "schemaEvolutionMode", "schemaLocation")
 
+LISTING_OPTIONS = (
+    "maxFilesPerTrigger", "maxBytesPerTrigger", "maxFileAge", "recursiveFileLookup", "pathGlobFilter"
+)
+
 FILES_PER_BATCH = 10_000
 
 # Spark's file source forgets, and then ignores, files a week older than the newest one.
@@ -34,24 +38,54 @@ def reader_options(source: Source) -> dict[str, str]:
     """Options for Spark's readers; those of the document come last and win."""
     options = {"multiLine": str(source.multi_line).lower()}
     own = {k: v for k, v in source.options.items() if k.rsplit(".", 1)[-1] not in DISCOVERY_OPTIONS}
-    if source.format.lower() == "csv":
-        headed = str(own.get("header", "false")).lower() == "true"
-        if source.schema and headed:
-            # Compare the header with the schema instead of binding by position alone.
-            options["enforceSchema"] = "false"
     return {**options, **own}
 
 
+def has_header(source: Source) -> bool:
+    """Whether the files name their columns in a first line."""
+    header = str(reader_options(source).get("header", "false")).lower()
+    return source.format.lower() == "csv" and header == "true"
+
+
+def by_header(spark: SparkSession, source: Source, paths: Sequence[str]) -> list[tuple[list[str], list[str]]]:
+    """Column names and files, for each different header among the files.
+
+    First lines are found in one distributed read; what comes back is a line for each file.
+    """
+    lines = spark.read.text(list(paths)).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("nth"),
+    )
+    first = lines.where("start = 0 AND value <> ''").groupBy("path").agg(F.min_by("value", "nth").alias("header"))
+    files: dict[str, list[str]] = {}
+    for row in first.orderBy("path").collect():
+        files.setdefault(row["header"], []).append(literal_path(row["path"]))
+    reader = spark.read.format(source.format).options(**reader_options(source))
+    return [(reader.load(names[0]).columns, names) for names in files.values()]
+
+
 def infer_schema(spark: SparkSession, source: Source, paths: Sequence[str]) -> StructType:
-    """Types from all rows of the given files, then the hints."""
+    """Types from all rows of the given files, then the hints.
+
+    A column that is NULL throughout is kept as text. With ``inferColumnTypes`` set to
+    false every column of a JSON or CSV file is.
+    """
     reader = spark.read.format(source.format).options(**reader_options(source))
     kind = source.format.lower()
+    typed = str(discovery_option(source, "inferColumnTypes", "true")).lower() == "true"
     if kind == "csv":
-        reader = reader.option("inferSchema", "true")
+        reader = reader.option("inferSchema", str(typed).lower())
     elif kind == "json":
-        # A column that is NULL throughout says nothing about its type yet.
-        reader = reader.option("dropFieldIfAllNull", "true")
-    return apply_hints(reader.load(list(paths)).schema, discovery_option(source, "schemaHints"))
+        reader = reader.option("primitivesAsString", str(not typed).lower())
+    elif kind in ("parquet", "orc"):
+        reader = reader.option("mergeSchema", "true")
+    if has_header(source):
+        found = widest([reader.load(files).schema for _, files in by_header(spark, source, paths)])
+    else:
+        found = reader.load(list(paths)).schema
+    return apply_hints(found, discovery_option(source, "schemaHints"))
 
 
 def declared_schema(source: Source) -> StructType | None:
@@ -64,11 +98,20 @@ def read_batch(
     schema: StructType | None = None,
     paths: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All files of a source, or the given ones."""
+    """All files of a source, or the given ones. Columns are bound by name."""
     paths = list(paths or source.paths)
     schema = schema or declared_schema(source) or infer_schema(spark, source, paths)
-    reader = spark.read.format(source.format).schema(schema)
-    return reader.options(**reader_options(source)).load(paths)
+    reader = spark.read.format(source.format).options(**reader_options(source))
+    if not has_header(source):
+        return reader.schema(schema).load(paths)
+    rows = spark.createDataFrame([], schema)
+    known = {f.name: f for f in schema}
+    for names, files in by_header(spark, source, paths):
+        # In the order of this header; what the schema does not know is read as text and left out.
+        here = StructType([known.get(name, StructField(name, StringType())) for name in names])
+        part = reader.schema(here).load(files).select(*[name for name in names if name in known])
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows.select(*schema.names)
 
 
 def read_stream(spark: SparkSession, source: Source, path: str, schema: StructType) -> DataFrame:
@@ -79,16 +122,11 @@ def read_stream(spark: SparkSession, source: Source, path: str, schema: StructTy
 
 def discover_stream(spark: SparkSession, source: Source, path: str) -> DataFrame:
     """Names of new files under one path; their content is not read."""
-    limits = (
-        "maxFilesPerTrigger",
-        "maxBytesPerTrigger",
-        "maxFileAge",
-        "recursiveFileLookup",
-        "pathGlobFilter",
-    )
-    # The names of one batch pass through the driver, so their number has a limit.
-    options = {**KEEP_OLD_FILES, "maxFilesPerTrigger": str(FILES_PER_BATCH)}
-    options.update({k: v for k, v in source.options.items() if k in limits})
+    own = {k.rsplit(".", 1)[-1]: v for k, v in source.options.items()}
+    options = {**KEEP_OLD_FILES, **{k: own[k] for k in LISTING_OPTIONS if k in own}}
+    if "maxFilesPerTrigger" not in own and "maxBytesPerTrigger" not in own:
+        # The names of one batch pass through the driver, so their number has a limit.
+        options["maxFilesPerTrigger"] = str(FILES_PER_BATCH)
     reader = spark.readStream.format("binaryFile").schema(_LISTING).options(**options)
     return reader.load(path).select("path")
 

@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import (
+    ArrayType,
     ByteType,
     DataType,
     DateType,
@@ -53,21 +54,59 @@ def _readable_as(found: DataType, stored: DataType) -> bool:
     return isinstance(stored, DateType) and isinstance(found, StringType)
 
 
+def _merged(stored: DataType, found: DataType) -> DataType | None:
+    """The stored type with the fields that are new in it; None if values would be lost."""
+    if isinstance(stored, StructType) and isinstance(found, StructType):
+        return _with_new_fields(stored, found)[0]
+    if isinstance(stored, ArrayType) and isinstance(found, ArrayType):
+        element = _merged(stored.elementType, found.elementType)
+        return ArrayType(element, True) if element is not None else None
+    return stored if _readable_as(found, stored) else None
+
+
+def _with_new_fields(stored: StructType, found: StructType) -> tuple[StructType | None, str, DataType | None]:
+    """Merged fields, or None with the name and found type of the first that does not fit."""
+    by_name = {f.name: f for f in found}
+    fields = []
+    for field in stored:
+        new = by_name.pop(field.name, None)
+        kind = field.dataType if new is None else _merged(field.dataType, new.dataType)
+        if kind is None:
+            return None, field.name, new.dataType
+        fields.append(StructField(field.name, kind, True))
+    fields += [StructField(f.name, f.dataType, True) for f in by_name.values()]
+    return StructType(fields), "", None
+
+
 def merge(stored: StructType, found: StructType) -> StructType:
-    """Stored columns with their types, then new columns at the end.
+    """Stored columns with their types, then new columns at the end; in structs and arrays alike.
 
     A value that the stored type could not hold would be read as NULL, so such a
     change is an error and asks for a hint instead.
     """
-    by_name = {f.name: f for f in found}
-    for field in stored:
-        new = by_name.pop(field.name, None)
-        if new is not None and not _readable_as(new.dataType, field.dataType):
-            raise ValueError(
-                f"column {field.name!r} was {field.dataType.simpleString()} and now looks like "
-                f"{new.dataType.simpleString()}; state its type in schemaHints"
-            )
-    return StructType([*stored, *(StructField(f.name, f.dataType, True) for f in by_name.values())])
+    merged, name, kind = _with_new_fields(stored, found)
+    if merged is None:
+        raise ValueError(
+            f"column {name!r} was {stored[name].dataType.simpleString()} and now looks like "
+            f"{kind.simpleString()}; state its type in schemaHints"
+        )
+    return merged
+
+
+def widest(schemas: list[StructType]) -> StructType:
+    """All columns of files read together; where types differ, the wider number or else text."""
+    kinds: dict[str, DataType] = {}
+    for schema in schemas:
+        for field in schema:
+            known = kinds.setdefault(field.name, field.dataType)
+            if known != field.dataType:
+                numbers = isinstance(known, _NUMBERS) and isinstance(field.dataType, _NUMBERS)
+                kinds[field.name] = max(known, field.dataType, key=_rank) if numbers else StringType()
+    return StructType([StructField(name, kind, True) for name, kind in kinds.items()])
+
+
+def _rank(kind: DataType) -> int:
+    return _NUMBERS.index(type(kind))
 
 
 def union_schema(schemas: list[StructType]) -> StructType:

@@ -14,6 +14,7 @@ from strataflow.sources.files import (
     declared_schema,
     discover_stream,
     discovery_option,
+    has_header,
     infer_schema,
     literal_path,
     read_batch,
@@ -67,7 +68,8 @@ def flows_of(table: str, sources: list[Source], root: str) -> list[Flow]:
 
 
 def _write_evolving(flow: Flow, names: DataFrame, batch_id: int) -> None:
-    """Infer over exactly this batch's files, widen the kept schema, then store them.
+    """Store exactly this batch's files, read with the declared schema or with the kept one,
+    which is first widened by what they bring.
 
     The collected list is the micro-batch's file list, which ``maxFilesPerTrigger``
     bounds and the file source holds on the driver anyway.
@@ -77,9 +79,10 @@ def _write_evolving(flow: Flow, names: DataFrame, batch_id: int) -> None:
     if not paths:
         return
     store = SchemaStore(spark, flow.schema_path)
-    kept = store.load()
+    declared = declared_schema(flow.source)
+    kept = declared or store.load()
     mode = discovery_option(flow.source, "schemaEvolutionMode", "addNewColumns")
-    if kept is None or mode == "addNewColumns":
+    if kept is None or (declared is None and mode == "addNewColumns"):
         found = infer_schema(spark, flow.source, paths)
         kept = found if kept is None else merge(kept, found)
         store.save(kept)
@@ -90,7 +93,7 @@ def _write_evolving(flow: Flow, names: DataFrame, batch_id: int) -> None:
 def start_ingest(spark: SparkSession, flow: Flow) -> StreamingQuery:
     """Ingest the files that arrived since the last run, then stop."""
     schema = declared_schema(flow.source)
-    if schema is not None:
+    if schema is not None and not has_header(flow.source):
         rows = read_stream(spark, flow.source, flow.path, schema)
 
         def store(batch: DataFrame, batch_id: int) -> None:

@@ -3,6 +3,7 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strataflow.plans.config import Source
@@ -11,7 +12,7 @@ from strataflow.sources.audit import audit_sources
 from strataflow.sources.files import infer_schema, read_batch, reader_options
 from strataflow.sources.schema import SchemaStore, apply_hints, from_ddl, merge, union_schema
 
-DDL = "id STRING, ts TIMESTAMP, name STRING, office STRING, age LONG"
+DDL = "parcel STRING, scanned TIMESTAMP, depot STRING, grams LONG"
 
 
 def put(path, name, value):
@@ -25,7 +26,7 @@ def bronze(spark, tmp_path, *sources):
     return Pipeline(spark, document, f"file://{tmp_path}/lake")
 
 
-def test_schema_operations():
+def test_schema_operations(spark):
     hinted = apply_hints(from_ddl("a INT, b STRING"), "b DATE, c DOUBLE")
     assert hinted.simpleString() == "struct<a:int,b:date,c:double>"
     merged = merge(from_ddl("a DOUBLE, b STRING"), from_ddl("c INT, a LONG"))
@@ -53,37 +54,109 @@ def test_options_of_the_document_win():
 
 
 def test_multi_line_array_and_fixed_schema(spark, tmp_path):
-    rows = [{"id": "1", "ts": "2025-01-01T10:00:00Z", "age": 3, "email": "x@y.zz"}, {"id": "2"}]
+    rows = [{"parcel": "P1", "scanned": "2024-06-30T23:59:00Z", "grams": 250, "note": "fragile"}, {"parcel": "P2"}]
     put(tmp_path / "in", "a.json", rows)
     source = Source("s", (f"file://{tmp_path}/in/*",), schema=DDL, multi_line=True)
     frame = read_batch(spark, source)
-    assert frame.columns == ["id", "ts", "name", "office", "age"]
-    assert sorted((r.id, r.age) for r in frame.collect()) == [("1", 3), ("2", None)]
+    assert frame.columns == ["parcel", "scanned", "depot", "grams"]
+    assert sorted((r.parcel, r.grams) for r in frame.collect()) == [("P1", 250), ("P2", None)]
 
 
-def test_csv_empty_field_is_null_and_header_is_checked(spark, tmp_path):
-    put(tmp_path / "in", "a.csv", "id;age\nx;\n")
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", "parcel;grams\nx;\n")
+    put(tmp_path / "in", "b.csv", "grams;extra;parcel\n1;e;y\n")
+    put(tmp_path / "in", "c.csv", "grams\n2\n")
     options = {"header": "true", "delimiter": ";"}
-    source = Source("s", (f"file://{tmp_path}/in",), "CSV", "id STRING, age LONG", None, options)
-    assert [tuple(r) for r in read_batch(spark, source).collect()] == [("x", None)]
-    put(tmp_path / "swapped", "a.csv", "age;id\n1;x\n")
-    swapped = Source("s", (f"file://{tmp_path}/swapped",), "CSV", "id STRING, age LONG", None, options)
-    with pytest.raises(Exception, match="header"):
-        read_batch(spark, swapped).collect()
+    source = Source("s", (f"file://{tmp_path}/in",), "CSV", "parcel STRING, grams LONG", None, options)
+    found = sorted((tuple(r) for r in read_batch(spark, source).collect()), key=str)
+    assert found == [("x", None), ("y", 1), (None, 2)]
 
 
 def test_inferred_types(spark, tmp_path):
     put(tmp_path / "in", "a.json", '{"a": 1, "t": "2025-01-01T00:00:00Z", "n": null}\n')
     source = Source("s", (f"file://{tmp_path}/in",))
-    assert infer_schema(spark, source, source.paths).simpleString() == "struct<a:bigint,t:string>"
+    assert infer_schema(spark, source, source.paths).simpleString() == "struct<a:bigint,n:string,t:string>"
+    untyped = Source("s", source.paths, options={"pre.inferColumnTypes": "false"})
+    assert infer_schema(spark, untyped, source.paths).simpleString() == "struct<a:string,n:string,t:string>"
     put(tmp_path / "csv", "a.csv", "a,t\n1,2025-01-01T00:00:00Z\n")
     csv = Source("s", (f"file://{tmp_path}/csv",), "CSV", options={"header": "true"})
     assert infer_schema(spark, csv, csv.paths).simpleString() == "struct<a:int,t:timestamp>"
+    put(tmp_path / "csv", "b.csv", "t,a,c\nlater,2.5,x\n")
+    assert infer_schema(spark, csv, csv.paths).simpleString() == "struct<a:double,t:string,c:string>"
+
+
+CSV = {"header": "true", "delimiter": ";"}
+HEADERS = ["a;b\n1;10\n", "b;a\n20;2\n", "a;c;b\n3;300;30\n"]
+
+
+@pytest.mark.parametrize("per_batch", [1, 2, 3])
+@pytest.mark.parametrize("schema", [None, "a INT, b INT, c INT"])
+def test_headers_in_any_order_and_any_batches(spark, tmp_path, per_batch, schema):
+    for k, text in enumerate(HEADERS):
+        put(tmp_path / "in", f"{k}.csv", text)
+    options = {**CSV, "pre.maxFilesPerTrigger": str(per_batch)}
+    source = {"name": "b", "path": f"file://{tmp_path}/in", "format": "CSV", "schema": schema, "options": options}
+    update = bronze(spark, tmp_path, source)
+    update.run()
+    found = sorted(tuple(r) for r in update.table("b").select("a", "b", "c").fillna(0).collect())
+    assert found == [(1, 10, 0), (2, 20, 0), (3, 30, 300)]
+
+
+def test_parquet_files_of_two_layouts(spark, tmp_path):
+    spark.range(1).write.parquet(f"{tmp_path}/in/x")
+    spark.sql("SELECT 5L AS id, 'more' AS b").write.parquet(f"{tmp_path}/in/y")
+    update = bronze(spark, tmp_path, {"name": "b", "path": f"file://{tmp_path}/in/*", "format": "parquet"})
+    update.run()
+    assert sorted(tuple(r) for r in update.table("b").fillna("-").collect()) == [(0, "-"), (5, "more")]
+
+
+def test_fields_are_added_inside_structs_and_arrays(spark, tmp_path):
+    source = {"name": "b", "path": f"file://{tmp_path}/in"}
+    for k, row in enumerate([{"s": {"x": 1}, "l": [{"u": 1}]}, {"s": {"x": 2, "y": 3}, "l": [{"u": 2, "w": "z"}]}, {"s": {"y": 4}}]):
+        put(tmp_path / "in", f"{k}.json", [row])
+        update = bronze(spark, tmp_path, source)
+        update.run()
+    found = update.table("b").select("s.x", "s.y", F.element_at("l", 1)["w"].alias("w")).collect()
+    assert sorted((tuple(r) for r in found), key=str) == [(1, None, None), (2, 3, "z"), (None, 4, None)]
+
+
+def test_limit_by_bytes(spark, tmp_path):
+    put(tmp_path / "in", "1.json", [{"id": 1}])
+    put(tmp_path / "in", "2.json", [{"id": 2}])
+    update = bronze(spark, tmp_path, {"name": "b", "path": f"file://{tmp_path}/in", "options": {"maxBytesPerTrigger": "1"}})
+    update.run()
+    assert sorted(r.id for r in update.table("b").collect()) == [1, 2]
+
+
+def test_one_broken_source_stops_only_its_readers(spark, tmp_path):
+    here = f"file://{tmp_path}"
+    keyed = {"keys": ["id"], "sequence_by": "n", "stored_as_scd_type": 1}
+    flows = [
+        {
+            "name": side,
+            "sources": [{"name": f"{side}_in", "path": f"{here}/{side}"}],
+            "transformations_silver": [
+                {"target_silver_table": f"{side}_rows", "source_bronze": f"{side}_in", "validations": [], "transformations": [], "scd_config": keyed}
+            ],
+        }
+        for side in ("good", "bad")
+    ]
+    update = Pipeline(spark, {"dataflows": flows}, f"{here}/lake")
+    for side in ("good", "bad"):
+        put(tmp_path / side, "1.json", [{"id": 1, "n": 1}])
+    update.run()
+    put(tmp_path / "bad", "2.json", [{"id": "text", "n": 2}])
+    put(tmp_path / "good", "2.json", [{"id": 2, "n": 2}])
+    for _ in range(2):
+        with pytest.raises(Exception, match="schemaHints"):
+            update.run()
+    assert sorted(r.id for r in update.table("good_rows").collect()) == [1, 2]
+    assert update.table("bad_rows").count() == 1
 
 
 def test_only_new_files_and_fan_in(spark, tmp_path):
-    put(tmp_path / "json", "1.json", [{"id": "1", "age": 1}])
-    put(tmp_path / "csv", "1.csv", "id;ts;name;office;age\n2;2025-01-01T00:00:00Z;n;o;2\n")
+    put(tmp_path / "json", "1.json", [{"parcel": "1", "grams": 1}])
+    put(tmp_path / "csv", "1.csv", "parcel;scanned;depot;grams\n2;2024-06-30T00:00:00Z;north;2\n")
     csv = {"header": "true", "delimiter": ";"}
     update = bronze(
         spark,
@@ -93,10 +166,10 @@ def test_only_new_files_and_fan_in(spark, tmp_path):
     )
     update.run()
     update.run()
-    assert sorted(r.id for r in update.table("b").collect()) == ["1", "2"]
-    put(tmp_path / "json", "2.json", [{"id": "3"}, {"id": "3"}])
+    assert sorted(r.parcel for r in update.table("b").collect()) == ["1", "2"]
+    put(tmp_path / "json", "2.json", [{"parcel": "3"}, {"parcel": "3"}])
     update.run()
-    assert sorted(r.id for r in update.table("b").collect()) == ["1", "2", "3", "3"]
+    assert sorted(r.parcel for r in update.table("b").collect()) == ["1", "2", "3", "3"]
 
 
 @pytest.mark.parametrize("schema", [None, "id STRING"])
@@ -159,7 +232,7 @@ def test_inferred_once_without_evolution(spark, tmp_path):
 
 def test_repeated_bronze_batch_is_not_doubled(spark, tmp_path):
     """A run that died after storing a batch writes the same folder again."""
-    put(tmp_path / "in", "1.json", [{"id": "1"}])
+    put(tmp_path / "in", "1.json", [{"parcel": "1"}])
     update = bronze(spark, tmp_path, {"name": "b", "path": f"file://{tmp_path}/in", "schema": DDL})
     update.run()
     commits = list((tmp_path / "lake" / "checkpoints").rglob("commits/0"))
@@ -171,15 +244,15 @@ def test_repeated_bronze_batch_is_not_doubled(spark, tmp_path):
 
 
 def test_audit(spark, tmp_path):
-    put(tmp_path / "in", "1.json", '{"id": "1", "ts": 1, "extra": 1}\n{broken\n')
-    put(tmp_path / "in", "2.json", '{"id": "2"}\n')
+    put(tmp_path / "in", "1.json", '{"parcel": "1", "scanned": 1, "extra": 1}\n{broken\n')
+    put(tmp_path / "in", "2.json", '{"parcel": "2"}\n')
     sources = [
-        Source("a", (f"file://{tmp_path}/in/*",), schema="id STRING, ts LONG, age LONG"),
+        Source("a", (f"file://{tmp_path}/in/*",), schema="parcel STRING, scanned LONG, grams LONG"),
         Source("b", (f"file://{tmp_path}/none/*",), schema="id STRING"),
     ]
     a, b = sorted(audit_sources(spark, sources).collect(), key=lambda r: r.source)
     assert (a.file_count, a.row_count, a.corrupt_rows) == (2, 3, 1)
-    assert (a.missing_cols, a.extra_cols, a.error) == (["age"], ["extra"], None)
+    assert (a.missing_cols, a.extra_cols, a.error) == (["grams"], ["extra"], None)
     assert b.file_count == 0 and "none" in b.error
     with pytest.raises(FileNotFoundError, match="b: "):
         audit_sources(spark, sources, raise_on_error=True)

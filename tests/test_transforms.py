@@ -114,11 +114,11 @@ def test_aes_key_comes_from_the_session(spark):
         spark.conf.unset(AES_KEY_CONF)
 
 
-def test_case_with_null_age(spark):
-    rows = spark.sql("SELECT * FROM VALUES (19), (18), (NULL) t(age)")
-    case = "CASE WHEN age > 18 THEN 'Adult' ELSE 'Minor' END"
-    made = transform(rows, [item("g", "sql_expr", case)]).collect()
-    assert [r.g for r in made] == ["Adult", "Minor", "Minor"]
+def test_case_with_null_input(spark):
+    rows = spark.sql("SELECT * FROM VALUES (900), (120), (NULL) t(grams)")
+    size = "CASE WHEN grams >= 500 THEN 'crate' WHEN grams < 500 THEN 'letter' ELSE 'unweighed' END"
+    made = transform(rows, [item("size", "sql_expr", size)]).collect()
+    assert [r["size"] for r in made] == ["crate", "letter", "unweighed"]
 
 
 def test_aggregate_in_expression_is_an_error(spark):

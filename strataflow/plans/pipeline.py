@@ -154,7 +154,7 @@ class Pipeline:
         if len(errors) == 1:
             raise errors[0]
         if errors:
-            raise ExceptionGroup(f"failed tables: {sorted(failed)}", errors)
+            raise RuntimeError("\n".join(f"{name}: {error}" for name, error in failed.items())) from errors[0]
 
     def _start_silver(self, silver: Silver) -> StreamingQuery:
         source = stream_appended(

@@ -114,7 +114,62 @@ def source_audit(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def csv_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """No schema, one update, two headers: other order, and a column that one of them lacks."""
+    folder = scratch_folder(spark, "headers")
+    events = table(spark, sf, "events")
+    clicks = events.filter("event_type = 'click'").select("event_id", "value", "event_type")
+    others = events.filter("event_type <> 'click'").select("event_type", "user_id", "value", "event_id")
+    for part in (clicks, others):
+        export(part, f"{folder}/csv", "csv", header="true", delimiter=";")
+    options = {**LINES, "header": "true", "delimiter": ";", "schemaHints": "event_id BIGINT, user_id BIGINT"}
+    document = _document({"name": "events_in", "path": f"{folder}/csv", "format": "CSV", "options": options})
+    update = Pipeline(spark, document, f"{folder}/lake")
+    update.run()
+    return update.table("events_in").select("event_id", "user_id", "event_type", "value")
+
+
+def parquet_layouts(spark: SparkSession, sf: str) -> DataFrame:
+    """Parquet files of two layouts, named by a list of a folder and a glob."""
+    folder = scratch_folder(spark, "layouts")
+    events = table(spark, sf, "events")
+    events.filter("event_type = 'click'").select("event_id", "value").write.parquet(f"{folder}/first")
+    events.filter("event_type <> 'click'").select("event_id", "props").write.parquet(f"{folder}/more_1")
+    paths = [f"{folder}/first", f"{folder}/more_*"]
+    document = _document({"name": "events_in", "paths": paths, "format": "parquet"})
+    update = Pipeline(spark, document, f"{folder}/lake")
+    update.run()
+    return update.table("events_in").select("event_id", "value", "props")
+
+
+def multi_line_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrays over many lines, one to a file, in two flows that feed two tables; a nested
+    field appears in the second update."""
+    folder = scratch_folder(spark, "multi-line")
+    customer = table(spark, sf, "customer")
+
+    def files(rows: DataFrame, label: str, *fields: str) -> None:
+        entry = F.struct("c_custkey", F.struct(*fields).alias("about"))
+        array = F.to_json(F.collect_list(entry), {"pretty": "true"})
+        rows.groupBy("c_nationkey").agg(array.alias("value")).write.partitionBy("c_nationkey").mode("append").text(f"{folder}/{label}")
+
+    flows = [
+        {"name": side, "sources": [{"name": f"{side}_in", "paths": f"{folder}/{side}/*"}]} for side in ("low", "high")
+    ]
+    update = Pipeline(spark, {"dataflows": flows}, f"{folder}/lake")
+    files(customer.filter("c_custkey % 2 = 0 AND c_acctbal < 0"), "low", "c_name")
+    files(customer.filter("c_acctbal >= 0"), "high", "c_name", "c_mktsegment")
+    update.run()
+    files(customer.filter("c_custkey % 2 = 1 AND c_acctbal < 0"), "low", "c_name", "c_mktsegment")
+    update.run()
+    both = update.table("low_in").select("c_custkey", "about").unionByName(update.table("high_in").select("c_custkey", "about"))
+    return both.select("c_custkey", "about.c_name", "about.c_mktsegment")
+
+
 QUERIES = {
+    "csv_headers": csv_headers,
+    "parquet_layouts": parquet_layouts,
+    "multi_line_json": multi_line_json,
     "bronze_fan_in": bronze_fan_in,
     "schema_evolution": schema_evolution,
     "schema_hints": schema_hints,
@@ -122,6 +177,20 @@ QUERIES = {
 }
 
 SQL = {
+    "csv_headers": """
+        SELECT event_id, CASE WHEN event_type = 'click' THEN NULL ELSE user_id END AS user_id, event_type, value
+        FROM events WHERE event_type IS NOT NULL
+    """,
+    "parquet_layouts": """
+        SELECT event_id, CASE WHEN event_type = 'click' THEN value END AS value,
+               CASE WHEN event_type <> 'click' THEN props END AS props
+        FROM events WHERE event_type IS NOT NULL
+    """,
+    "multi_line_json": """
+        SELECT c_custkey, c_name,
+               CASE WHEN c_custkey % 2 = 0 AND c_acctbal < 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment
+        FROM customer WHERE c_acctbal IS NOT NULL
+    """,
     "bronze_fan_in": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "schema_evolution": """
         SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value,

@@ -15,34 +15,34 @@ from strataflow.operators.governance import (
 )
 
 POLICY = {
-    "table_name": "staff",
+    "table_name": "vans",
     "comment": "not read",
     "masking_functions": [
-        {"target_col": "email", "type": "mask_email_dynamic", "params": {"allowed_group": "admins"}}
+        {"target_col": "plate", "type": "mask_email_dynamic", "params": {"allowed_group": "dispatch"}}
     ],
     "row_filters": [
         {
             "type": "filter_dept_dynamic",
             "params": {
-                "col_dept": "department",
-                "allowed_group": "admins",
-                "restrict_to_dept": "HR",
+                "col_dept": "zone",
+                "allowed_group": "dispatch",
+                "restrict_to_dept": "south",
             },
         }
     ],
 }
-MEMBER = [("1", "a@x.yy", "HR"), ("2", None, "IT"), ("3", "c@x.yy", None)]
-OTHER = [("1", "***@****", "HR")]
+MEMBER = [("1", "KX 41", "south"), ("2", None, "north"), ("3", "QT 77", None)]
+OTHER = [("1", "***@****", "south")]
 
 
 @pytest.fixture(scope="module")
-def staff(spark):
-    return spark.createDataFrame(MEMBER, "id string, email string, department string")
+def vans(spark):
+    return spark.createDataFrame(MEMBER, "id string, plate string, zone string")
 
 
 @pytest.fixture(scope="module")
 def people(spark):
-    rows = [("ann", "admins"), ("bob", "readers")]
+    rows = [("ann", "dispatch"), ("bob", "readers")]
     frame = spark.createDataFrame(rows, "principal string, `group` string")
     frame.createOrReplaceTempView("people_groups")
     return frame
@@ -52,10 +52,10 @@ def rows(frame):
     return sorted(tuple(r) for r in frame.collect())
 
 
-def test_mask_hides_null_too(staff):
-    hidden = mask(staff, "email", member_of([])("admins"))
-    assert {r.email for r in hidden.collect()} == {"***@****"}
-    shown = mask(staff, "email", member_of(["admins"])("admins"))
+def test_mask_hides_null_too(vans):
+    hidden = mask(vans, "plate", member_of([])("dispatch"))
+    assert {r.plate for r in hidden.collect()} == {"***@****"}
+    shown = mask(vans, "plate", member_of(["dispatch"])("dispatch"))
     assert sorted(map(repr, rows_of(shown))) == sorted(map(repr, MEMBER))
 
 
@@ -63,54 +63,54 @@ def rows_of(frame):
     return [tuple(r) for r in frame.collect()]
 
 
-def test_row_filter_hides_null(staff):
-    member = member_of([])("admins")
-    assert [r.id for r in filter_rows(staff, "department", "HR", member).collect()] == ["1"]
+def test_row_filter_hides_null(vans):
+    member = member_of([])("dispatch")
+    assert [r.id for r in filter_rows(vans, "zone", "south", member).collect()] == ["1"]
 
 
-def test_governed(staff):
-    assert rows(governed(staff, [POLICY], member_of([]))) == OTHER
-    assert governed(staff, [POLICY], member_of(["admins"])).count() == 3
+def test_governed(vans):
+    assert rows(governed(vans, [POLICY], member_of([]))) == OTHER
+    assert governed(vans, [POLICY], member_of(["dispatch"])).count() == 3
 
 
-def test_filter_sees_unmasked_values(staff):
+def test_filter_sees_unmasked_values(vans):
     policy = copy.deepcopy(POLICY)
-    policy["masking_functions"][0]["target_col"] = "department"
-    assert rows(governed(staff, [policy], member_of([]))) == [("1", "a@x.yy", "***@****")]
+    policy["masking_functions"][0]["target_col"] = "zone"
+    assert rows(governed(vans, [policy], member_of([]))) == [("1", "KX 41", "***@****")]
 
 
-def test_several_policies_and_repeated_use(staff):
+def test_several_policies_and_repeated_use(vans):
     second = copy.deepcopy(POLICY)
-    second["row_filters"][0]["params"]["restrict_to_dept"] = "IT"
+    second["row_filters"][0]["params"]["restrict_to_dept"] = "north"
     policies = [POLICY, second]
     before = copy.deepcopy(policies)
-    assert governed(staff, policies, member_of([])).count() == 0
-    assert governed(staff, policies, member_of([])).count() == 0
+    assert governed(vans, policies, member_of([])).count() == 0
+    assert governed(vans, policies, member_of([])).count() == 0
     assert policies == before
 
 
-def test_membership_table(staff, people):
-    assert governed(staff, [POLICY], membership_table(people, "ann")).count() == 3
-    assert rows(governed(staff, [POLICY], membership_table(people, "bob"))) == OTHER
-    assert rows(governed(staff, [POLICY], membership_table(people))) == OTHER
+def test_membership_table(vans, people):
+    assert governed(vans, [POLICY], membership_table(people, "ann")).count() == 3
+    assert rows(governed(vans, [POLICY], membership_table(people, "bob"))) == OTHER
+    assert rows(governed(vans, [POLICY], membership_table(people))) == OTHER
 
 
-def test_temp_view_with_functions(spark, staff, people):
-    view = governed_temp_view(staff, "staff_v", [POLICY], member_sql("people_groups", "bob"))
-    assert rows(view) == OTHER and rows(spark.sql("SELECT * FROM staff_v")) == OTHER
-    governed_temp_view(staff, "staff_v", [POLICY], member_sql("people_groups", "ann"))
-    assert spark.table("staff_v").count() == 3
+def test_temp_view_with_functions(spark, vans, people):
+    view = governed_temp_view(vans, "vans_v", [POLICY], member_sql("people_groups", "bob"))
+    assert rows(view) == OTHER and rows(spark.sql("SELECT * FROM vans_v")) == OTHER
+    governed_temp_view(vans, "vans_v", [POLICY], member_sql("people_groups", "ann"))
+    assert spark.table("vans_v").count() == 3
 
 
-def test_stored_view(spark, staff, folder):
+def test_stored_view(spark, vans, folder):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS gov LOCATION '{folder}/gov'")
-    staff.write.saveAsTable("gov.staff")
+    vans.write.saveAsTable("gov.vans")
     spark.createDataFrame([("bob", "readers")], "principal string, `group` string").write.saveAsTable(
         "gov.members"
     )
     try:
         view = governed_view(
-            spark, "gov.staff", "gov.staff_v", [POLICY], member_sql("gov.members", "bob"), "gov"
+            spark, "gov.vans", "gov.vans_v", [POLICY], member_sql("gov.members", "bob"), "gov"
         )
         assert rows(view) == OTHER
     finally:
@@ -122,19 +122,19 @@ def test_function_names_and_quoting():
     policy["row_filters"][0]["params"]["restrict_to_dept"] = "O'Hara"
     statements, filters, masks = policy_functions([policy, POLICY], lambda g: "false")
     assert [n for n, _ in filters] == [
-        "sec_staff_filter_dept_dynamic",
-        "sec_staff_filter_dept_dynamic_1",
+        "sec_vans_filter_dept_dynamic",
+        "sec_vans_filter_dept_dynamic_1",
     ]
-    assert [n for n, _ in masks] == ["sec_staff_mask_email_dynamic", "sec_staff_mask_email_dynamic_1"]
+    assert [n for n, _ in masks] == ["sec_vans_mask_email_dynamic", "sec_vans_mask_email_dynamic_1"]
     assert "O\\'Hara" in statements[0]
 
 
 @pytest.mark.parametrize("section", ["masking_functions", "row_filters"])
-def test_unknown_policy(staff, section):
+def test_unknown_policy(vans, section):
     policy = copy.deepcopy(POLICY)
     policy[section][0]["type"] = "invented"
     with pytest.raises(ValueError, match="unknown policy 'invented'"):
-        governed(staff, [policy], member_of([]))
+        governed(vans, [policy], member_of([]))
 
 
 def test_only_strings_can_be_masked(spark):
@@ -142,6 +142,6 @@ def test_only_strings_can_be_masked(spark):
         mask(spark.range(1), "id", member_of([])("g"))
 
 
-def test_known_membership_folds_away(staff):
-    frame = filter_rows(staff, "department", "HR", member_of(["admins"])("admins"))
+def test_known_membership_folds_away(vans):
+    frame = filter_rows(vans, "zone", "south", member_of(["dispatch"])("dispatch"))
     assert "Filter" not in frame._jdf.queryExecution().optimizedPlan().toString()

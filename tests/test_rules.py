@@ -11,8 +11,8 @@ from strataflow.operators.quality import (
 )
 
 RULES = [
-    {"field": "office", "validations": ["notEmpty"]},
-    {"field": "age", "validations": ["notNull", "positive"]},
+    {"field": "depot", "validations": ["notEmpty"]},
+    {"field": "grams", "validations": ["notNull", "positive"]},
 ]
 
 
@@ -27,11 +27,11 @@ def people(spark):
         (6, "Lima", -1),
         (7, "Lima", 0),
     ]
-    return spark.createDataFrame(rows, "id int, office string, age long")
+    return spark.createDataFrame(rows, "id int, depot string, grams long")
 
 
 def test_rule_text():
-    assert rule_sql("age", "positive") == "age > 0"
+    assert rule_sql("grams", "positive") == "grams > 0"
     assert rule_sql("id", "notNull") == "id IS NOT NULL"
     assert rule_sql("a.b", "notEmpty") == "length(a.b) > 0"
 
@@ -43,9 +43,9 @@ def test_unknown_rule():
 
 def test_rule_names_in_order():
     assert list(compile_rules(RULES)) == [
-        "valid_office_notEmpty",
-        "valid_age_notNull",
-        "valid_age_positive",
+        "valid_depot_notEmpty",
+        "valid_grams_notNull",
+        "valid_grams_positive",
     ]
 
 
@@ -60,12 +60,12 @@ def test_codes(people):
     rejected = rejected_rows(route(people, rules), rules)
     codes = {r.id: r.arrayCodeByField for r in rejected.collect()}
     assert codes == {
-        2: ["valid_office_notEmpty"],
-        3: ["valid_office_notEmpty"],
-        4: ["valid_age_notNull", "valid_age_positive"],
-        5: ["valid_office_notEmpty", "valid_age_notNull", "valid_age_positive"],
-        6: ["valid_age_positive"],
-        7: ["valid_age_positive"],
+        2: ["valid_depot_notEmpty"],
+        3: ["valid_depot_notEmpty"],
+        4: ["valid_grams_notNull", "valid_grams_positive"],
+        5: ["valid_depot_notEmpty", "valid_grams_notNull", "valid_grams_positive"],
+        6: ["valid_grams_positive"],
+        7: ["valid_grams_positive"],
     }
     assert rejected.columns[-3:] == ["is_quarantined", "arrayCodeByField", "quarantined_at"]
     assert rejected.filter("quarantined_at is null").count() == 0
@@ -96,9 +96,9 @@ def test_email(spark):
 def test_expectations(people):
     found = {r.rule: (r.passed, r.failed) for r in expectations(people, compile_rules(RULES)).collect()}
     assert found == {
-        "valid_office_notEmpty": (4, 3),
-        "valid_age_notNull": (5, 2),
-        "valid_age_positive": (3, 4),
+        "valid_depot_notEmpty": (4, 3),
+        "valid_grams_notNull": (5, 2),
+        "valid_grams_positive": (3, 4),
     }
     assert expectations(people, {}).count() == 0
 

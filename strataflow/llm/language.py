@@ -32,7 +32,7 @@ UNKNOWN = 1e-7
 #: Expected counts that each piece starts from.
 PRIOR = 0.05
 #: Words whose log-probabilities a worker holds, and texts whose new words it computes together.
-HELD_WORDS, TOGETHER = 300_000, 64
+HELD_WORDS, TOGETHER = 150_000, 32
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 

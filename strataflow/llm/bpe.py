@@ -76,20 +76,16 @@ class Transducer:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.most_states, self.most_pairs = most_states, most_pairs
-        # The tree of all tokens: child of node and byte, token of a node or -1, whether it has children.
-        self.child: dict[int, int] = {}
-        self.token_at, self.more = [-1], [False]
-        for token, rank in ranks.items():
-            node = 0
-            for byte in token:
-                self.more[node] = True
-                key = node << 8 | byte
-                node = self.child.get(key, 0)
-                if not node:
-                    node = self.child[key] = len(self.token_at)
-                    self.token_at.append(-1)
-                    self.more.append(False)
-            self.token_at[node] = rank
+        # The tree of all tokens: node and byte to the node reached (shifted, to add a byte to),
+        # the token that ends there or -1, and whether there are longer ones.
+        nodes: dict[bytes, int] = {b"": 0}
+        for token in ranks:
+            for k in range(1, len(token) + 1):
+                nodes.setdefault(token[:k], len(nodes) << 8)
+        inner = {name[:-1] for name in nodes if name}
+        self.child = {
+            nodes[name[:-1]] | name[-1]: (node, ranks.get(name, -1), name in inner) for name, node in nodes.items() if name
+        }
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[int, bool] = {}
         self.states: dict[tuple[int, bytes], State] = {}
@@ -145,27 +141,26 @@ class Transducer:
 
     def read(self, opens: list, starts: list[int], tokens: list[int], data: bytes) -> list:
         """Read bytes from a position on: extends ``starts`` and ``tokens``, returns the open positions."""
-        child, token_at, more, pairs = self.child, self.token_at, self.more, self.pairs
+        child, pairs = self.child.get, self.pairs.get
         for byte in data:
             end = len(starts)
             still = []
             wanted = True
             for start, node in opens:
-                node = child.get(node << 8 | byte)
-                if node is None:
+                found = child(node | byte)
+                if found is None:
                     continue
-                if wanted:
-                    token = token_at[node]
-                    if token >= 0:
-                        before = tokens[start]
-                        fits = before < 0 or pairs.get(before << 20 | token)
-                        if fits is None:
-                            fits = self.valid(before, token)
-                        if fits:
-                            starts.append(start)
-                            tokens.append(token)
-                            wanted = False
-                if more[node]:
+                node, token, more = found
+                if wanted and token >= 0:
+                    before = tokens[start]
+                    fits = before < 0 or pairs(before << 20 | token)
+                    if fits is None:
+                        fits = self.valid(before, token)
+                    if fits:
+                        starts.append(start)
+                        tokens.append(token)
+                        wanted = False
+                if more:
                     still.append((start, node))
             if wanted:
                 raise ValueError("the ranks lack single bytes")
@@ -235,8 +230,8 @@ class Transducer:
 class Cache:
     """What was computed for recent keys: two halves, the older one is dropped in turn."""
 
-    def __init__(self, compute):
-        self.compute = compute
+    def __init__(self, compute, most: int = CACHE):
+        self.compute, self.most = compute, most
         self.new: dict = {}
         self.old: dict = {}
 
@@ -246,7 +241,7 @@ class Cache:
             found = self.old.get(key)
             if found is None:
                 found = self.compute(key)
-            if len(self.new) >= CACHE:
+            if len(self.new) >= self.most:
                 self.old, self.new = self.new, {}
             self.new[key] = found
         return found
@@ -262,8 +257,8 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
         self.split = space_exact(pattern)
-        self.matches = Cache(lambda match: self.transducer.encode(match.encode("utf-8")))
-        self.known = Cache(lambda piece: self.both_forms(self.ids(piece)))
+        self.matches = Cache(lambda match: self.transducer.encode(match.encode("utf-8")), 250_000)
+        self.known = Cache(lambda piece: self.both_forms(self.ids(piece)), 250_000)
 
     def ids(self, text: str) -> list[int]:
         return [i for match in self.split.findall(text) for i in self.matches[match]]

@@ -333,11 +333,16 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFra
     )
 
 
-def distinct_documents(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
-    """The document with the smallest ``doc_id`` of each component, with all its columns."""
+def first_of_each(docs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The row of ``docs`` with the smallest ``doc_id`` of each ``root`` (``rooted``: ``root, doc_id, content``)."""
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")
-    per_row = classes(docs, width, radius).groupBy("root", "doc_id", "content").agg(F.count(F.lit(1)).alias("rows"))
+    per_row = rooted.groupBy("root", "doc_id", "content").agg(F.count(F.lit(1)).alias("rows"))
     stays = per_row.groupBy("root").agg(F.min(F.struct(first.alias("of"), "rows")).alias("s")).select(
         "s.of.doc_id", "s.of.content", "s.rows"
     )
     return picked(docs, stored(stays, "stays"), content_of())
+
+
+def distinct_documents(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
+    """The document with the smallest ``doc_id`` of each component, with all its columns."""
+    return first_of_each(docs, classes(docs, width, radius))

@@ -1,0 +1,86 @@
+import os
+from collections import defaultdict
+
+import pytest
+
+import corpus_pipeline
+from strataflow.llm import near, simhash
+
+from .conftest import ODD
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def shingles(text, width=5):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
+
+
+def first_ids(rows):
+    """Smallest ids of the components by brute force over all pairs that share a shingle."""
+    sets = [shingles(t) for _, t in rows]
+    holders = defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            holders[x].append(i)
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, s in enumerate(sets):
+        common = defaultdict(int)
+        for x in s:
+            for j in holders[x]:
+                if j < i:
+                    common[j] += 1
+        for j, n in common.items():
+            if 9 * n >= 4 * (len(s) + len(sets[j])):
+                root[find(i)] = find(j)
+    best = {}
+    for i, (doc_id, _) in enumerate(rows):
+        best[find(i)] = min(best.get(find(i), doc_id), doc_id)
+    return sorted(best.values())
+
+
+def edited(k, edits, words=200):
+    """Text k with every so-many-th word changed: each edit takes five shingles."""
+    text = [f"w{k}x{i}" for i in range(words)]
+    for e in range(edits):
+        text[10 + e * 20] = f"changed{k}x{edits}x{e}"
+    return " ".join(text)
+
+
+def test_stage_takes_what_three_bits_leave(spark, docs):
+    # 4 edits of 196 shingles: 176 / 216 = 0.81 from the text; 5 edits: 171 / 221 = 0.77.
+    rows = [(10 * k + e, edited(k, e)) for k in range(30) for e in (0, 4)] + [(10_000, edited(50, 0)), (10_001, edited(50, 5))]
+    marks = {d: simhash.fingerprint_of(t) for d, t in rows}
+    assert any((marks[10 * k] ^ marks[10 * k + 4]).bit_count() > 3 for k in range(30))
+    kept = corpus_pipeline.near_dedup(spark, docs(rows), "").collect()
+    assert sorted(r["doc_id"] for r in kept) == [10 * k for k in range(30)] + [10_000, 10_001]
+
+
+def test_band_with_several_components(spark, docs):
+    """Chains, and bands whose first text is near to none or few of the others."""
+    rows = [(k, " ".join([f"c{i}" for i in range(100)] + [f"d{i + 6 * (k % 9)}" for i in range(40 + k % 3)])) for k in range(40)]
+    kept = near.distinct_documents(docs(rows)).collect()
+    assert sorted(r["doc_id"] for r in kept) == first_ids(rows)
+
+
+def test_odd_rows(docs):
+    frame = docs([r for r in ODD if r[0] is not None])
+    kept = near.distinct_documents(frame)
+    assert kept.schema == frame.schema
+    assert sorted(r["doc_id"] for r in kept.collect()) == first_ids([r for r in ODD if r[0] is not None])
+    assert near.distinct_documents(docs([])).collect() == []
+    assert near.distinct_documents(docs([(None, None), (None, "")])).count() == 1
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+def test_brute_force_on_documents(spark):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
+    assert sorted(r["doc_id"] for r in near.distinct_documents(documents).collect()) == first_ids(rows)

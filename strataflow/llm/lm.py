@@ -13,6 +13,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,13 @@ HEAD, CLASS_WORDS, EMBEDDING, STATE = 4_096, 64, 24, 24
 HELD_WORDS, HELD_BYTES = 100_000, 64
 SHAPES = 32
 PUNCTUATION = frozenset(b".,;:!?|)\"'")
-#: Every training text gives one stretch of so many tokens, from a place its hash names;
+#: Training texts are cut into stretches of up to so many tokens that cover them whole;
 #: gradients reach back over a window, the state is carried from window to window.
-STRETCH, WINDOW, LANES = 64, 16, 128
-#: Texts that one trainer takes, rounds of training and averaging, step size.
-TRAINER_TEXTS, ROUNDS, RATE = 16_384, 3, 0.008
+STRETCH, WINDOW, LANES = 512, 16, 128
+#: Tokens that one trainer takes, rounds of training and averaging, step size.
+TRAINER_TOKENS, ROUNDS, RATE = 1 << 22, 3, 0.008
+#: Numbers of stretches that a task gathers before it passes them on.
+PASSED_ON = 1 << 20
 #: Tokens of a window and texts side by side when scoring.
 SCORE_WINDOW, SCORE_LANES = 32, 256
 #: Numbers of a model that travel in one row, and words without held counts in one batch.
@@ -314,27 +317,22 @@ class Adam:
 def train_on(w: dict, stretches: Iterator[np.ndarray], head: int, optimizer: Adam) -> int:
     """Truncated backpropagation over stretches of numbers; how many tokens it took."""
     tokens = 0
-    block: list[np.ndarray] = []
-
-    def learn() -> int:
-        grid = np.full((STRETCH + 1, len(block)), -1, dtype=np.int64)
-        for lane, s in enumerate(block):
-            grid[: len(s), lane] = s
-        state = np.zeros((len(block), STATE), dtype=np.float32)
-        for t in range(0, STRETCH, WINDOW):
-            targets = grid[t + 1 : t + WINDOW + 1]
-            if not (targets >= 0).any():
-                break
-            slopes, state = gradients(w, np.maximum(grid[t : t + WINDOW], 0), targets, state, head)
-            optimizer.update(w, slopes)
-        return int((grid[1:] >= 0).sum())
-
-    for stretch in stretches:
-        block.append(stretch)
-        if len(block) == LANES:
-            tokens += learn()
-            block.clear()
-    return tokens + (learn() if block else 0)
+    block: list[np.ndarray] = []  # what each lane has still to read, with the number before it
+    state = np.zeros((0, STATE), dtype=np.float32)
+    while True:
+        stay = [lane for lane, left in enumerate(block) if len(left) > 1]
+        fresh = [s for s in islice(stretches, LANES - len(stay)) if len(s) > 1]
+        block = [block[lane] for lane in stay] + fresh
+        if not block:
+            return tokens
+        state = np.concatenate([state[stay], np.zeros((len(fresh), STATE), dtype=np.float32)])
+        grid = np.full((WINDOW + 1, len(block)), -1, dtype=np.int64)
+        for lane, left in enumerate(block):
+            grid[: len(left), lane] = left[: WINDOW + 1]
+            block[lane] = left[WINDOW:]
+        slopes, state = gradients(w, np.maximum(grid[:-1], 0), grid[1:], state, head)
+        optimizer.update(w, slopes)
+        tokens += int((grid[1:] >= 0).sum())
 
 
 def packed(w: dict) -> np.ndarray:
@@ -350,21 +348,33 @@ def unpacked(flat: np.ndarray, like: dict) -> dict:
 
 
 def stretches_of(texts: DataFrame, shared, trainers: int) -> DataFrame:
-    """``trainer, turn, numbers``: of each text one stretch, with the number before it."""
+    """``trainer, turn, numbers``: of each text all its stretches, each with the number before it.
+
+    Stretches are dealt one by one, so that a long text is no single trainer's load.
+    """
+
+    def rows(numbers: list, turns: list) -> pa.RecordBatch:
+        dealt = np.array(turns, dtype=np.int64)
+        return pa.record_batch({
+            "trainer": pa.array((dealt % trainers).astype(np.int32)), "turn": pa.array(dealt // trainers % ROUNDS),
+            "numbers": pa.array(numbers, pa.list_(pa.int32())),
+        })
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = kept(shared.value, "coder", lambda: Coder(Vocabulary(**shared.value["vocabulary"])))
         for batch in batches:
-            numbers = []
+            numbers, turns, held = [], [], 0
             for text, turn in zip(batch["text"], batch["turn"].to_pylist()):
                 words = [END, *words_of(text.as_py()), END]
-                start = turn // 7 % max(1, len(words) - STRETCH)
-                numbers.append([coder.number(x) for x in words[start : start + STRETCH + 1]])
-            turns = batch["turn"].to_numpy()
-            yield pa.record_batch({
-                "trainer": pa.array((turns % trainers).astype(np.int32)), "turn": pa.array(turns // trainers % ROUNDS),
-                "numbers": pa.array(numbers, pa.list_(pa.int32())),
-            })
+                whole = np.fromiter(map(coder.number, words), dtype=np.int32, count=len(words))
+                for k, start in enumerate(range(0, len(words) - 1, STRETCH)):
+                    numbers.append(whole[start : start + STRETCH + 1])
+                    turns.append(turn + k)
+                    held += len(numbers[-1])
+                    if held > PASSED_ON:
+                        yield rows(numbers, turns)
+                        numbers, turns, held = [], [], 0
+            yield rows(numbers, turns)
 
     turned = texts.select("text", F.pmod(F.xxhash64("row"), F.lit(1 << 40)).alias("turn"))
     return turned.mapInArrow(run, "trainer int, turn long, numbers array<int>")
@@ -374,11 +384,11 @@ def train(texts: DataFrame, v: Vocabulary, shared) -> dict:
     """Weights, by rounds in which trainers learn apart and are then averaged.
 
     Each trainer takes a share of bounded size of every round's stretches; trainers grow
-    with the texts. Averages are formed in Spark, chunk by chunk of the weights.
+    with the tokens, and every token is learned from once. Averages are formed in Spark, chunk by chunk of the weights.
     """
     spark = texts.sparkSession
     w = first_weights(v)
-    trainers = max(1, -(-texts.count() // TRAINER_TEXTS))
+    trainers = max(1, -(-v.tokens // TRAINER_TOKENS))
     stretches = stored(stretches_of(texts, shared, trainers), "stretches")
     for turn in range(ROUNDS):
         given = spark.sparkContext.broadcast({"weights": w})
@@ -395,7 +405,7 @@ def train(texts: DataFrame, v: Vocabulary, shared) -> dict:
                         done[trainer] = 0
                     mine, optimizer, _ = own[trainer]
                     rows = batch["numbers"].filter(pa.array(who == trainer))
-                    done[trainer] += train_on(mine, (np.array(r.as_py()) for r in rows), v.head, optimizer)
+                    done[trainer] += train_on(mine, (r.values.to_numpy() for r in rows), v.head, optimizer)
             for trainer, (mine, _, _) in own.items():
                 flat = packed(mine) * done[trainer]
                 starts = range(0, len(flat), CHUNK)
@@ -553,7 +563,7 @@ def score(docs: DataFrame, head: int = HEAD, held: int = HELD_WORDS) -> DataFram
     A null text is empty: its only token is the end. Null and repeated ``doc_id`` are
     documents like any other; other columns are ignored; an empty table gives no rows. If
     no document is outside the held-out fold, all words are unseen. Counts cover all
-    training texts; the network learns from one stretch of each.
+    training texts, and the network learns from every token of them.
     """
     spark = docs.sparkSession
     texts = docs.select(

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strataflow.llm import lm
 
@@ -108,3 +109,38 @@ def test_empty_and_untrained(docs):
     row = lm.score(docs([(held, "a b")])).collect()[0]
     assert (row["n_tokens"], row["n_known"], row["train_tokens"]) == (3, 0, 0)
     assert row["base_score"] == 0.0 and math.isfinite(row["score"])
+
+
+def test_network_learns_from_every_token(spark, docs):
+    """Stretches cover each training text from end to end, and training takes all of them."""
+    texts = [(k, " ".join(f"w{(i * 7 + k) % 60}" for i in range(n))) for k, n in enumerate((0, 1, 63, 64, 65, 511, 512, 513, 2_000))]
+    v, w = small()
+    shared = spark.sparkContext.broadcast({"vocabulary": vars(v)})
+    frame = docs(texts, extra=False).withColumn("row", F.col("doc_id"))
+    rows = lm.stretches_of(frame, shared, 2).collect()
+    coder = lm.Coder(v)
+    whole = [[coder.number(x) for x in [b"", *t.encode().split(), b""]] for _, t in texts]
+    pairs = lambda s: Counter(zip(s, s[1:]))
+    assert sum((pairs(list(r["numbers"])) for r in rows), Counter()) == sum(map(pairs, whole), Counter())
+    taken = lm.train_on(w, (np.array(r["numbers"]) for r in rows), v.head, lm.Adam(w, lm.RATE))
+    assert taken == sum(len(x) - 1 for x in whole)
+
+
+def test_training_carries_the_state_and_begins_anew_with_a_stretch(monkeypatch):
+    v, w = small()
+    rng = np.random.default_rng(9)
+    stretches = [rng.integers(0, v.head, n) for n in (40, 17, 2, 90, 33, 5)]
+    begun, inner = [], lm.gradients
+
+    def watched(w, inputs, targets, state, head):
+        begun.append((inputs.copy(), state.copy()))
+        return inner(w, inputs, targets, state, head)
+
+    monkeypatch.setattr(lm, "gradients", watched)
+    monkeypatch.setattr(lm, "LANES", 2)
+    lm.train_on(w, iter(stretches), v.head, lm.Adam(w, 0.0))
+    starts = {tuple(s[: lm.WINDOW][: len(s) - 1]) for s in stretches}
+    for inputs, state in begun:
+        for lane in range(inputs.shape[1]):
+            first = any(tuple(inputs[: len(s), lane]) == s for s in starts)
+            assert (state[lane] == 0).all() == first

@@ -160,7 +160,7 @@ def pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
         .join(first, ["lang", "source", "item_none"], "left")
         .join(second, ["lang", "item", "none"], "left")
         .na.fill(0, ["common", "together", "first", "second"])
-        .withColumn("value", F.col("together") + F.col("first") + F.col("second") + rest * F.coalesce(gap(none, item_none), F.lit(0)))
+        .withColumn("value", F.col("together") + F.col("first") + F.col("second") + F.when(F.col("kinds") > 0, rest * gap(none, item_none)).otherwise(0))
     )
     each = valued.select("lang", F.explode(F.array(
         F.struct("source", "item", "value"), F.struct(F.col("item").alias("source"), F.col("source").alias("item"), "value"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import ann, bpe, divergence, exact, html, language, lm, packing, repair, secrets, sharding, simhash
+from strataflow.llm import ann, bpe, divergence, exact, html, language, lm, packing, repair, secrets, sharding, simhash, toxicity
 from strataflow.registry.tables import table
 
 
@@ -61,6 +61,10 @@ def op11_repair(spark: SparkSession, sf: str) -> DataFrame:
     return repair.repair(table(spark, sf, "conversations"))
 
 
+def op12_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op13_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return divergence.divergence(table(spark, sf, "documents"))
 
@@ -77,6 +81,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_ann": op10_ann,
     "op11_repair": op11_repair,
+    "op12_toxicity": op12_toxicity,
     "op13_divergence": op13_divergence,
 }
 SQL = {

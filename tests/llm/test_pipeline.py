@@ -17,7 +17,7 @@ def test_stages():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "exact", "near", "secrets", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" in corpus_pipeline.QUERIES
     assert sorted(queries.QUERIES) == sorted(n for n in corpus_pipeline.QUERIES if n != "pipeline")
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
 
 
 @needs_tables

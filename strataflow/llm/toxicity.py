@@ -125,7 +125,7 @@ def sums(emit: np.ndarray, first: np.ndarray, trans: np.ndarray, pairs: bool = F
     blocks = -(-n // BLOCK)
     weight = np.ones((blocks * BLOCK, TAGS))
     weight[:n] = np.exp(np.clip(emit - emit.max(1, keepdims=True), -LIMIT, 0))
-    starts = np.zeros(blocks * BLOCK, bool)
+    starts = np.ones(blocks * BLOCK, bool)  # what fills the last block begins anew, too
     starts[:n] = first
     weight, starts = weight.reshape(blocks, BLOCK, TAGS), starts.reshape(blocks, BLOCK)
     step = np.exp(np.clip(trans, -LIMIT, LIMIT))

@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import bpe, exact, language, near, packing, queries, secrets
+from strataflow.llm import bpe, exact, language, packing, queries, secrets, simhash
 from strataflow.llm.common import stored
 
 
@@ -23,8 +23,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies (five-word Jaccard 0.8) the document with the smallest id stays."""
-    return near.distinct_documents(docs)
+    """Of each component of near copies (fingerprints of three-word shingles at three or fewer
+    differing bits) the document with the smallest id stays."""
+    return simhash.distinct_documents(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

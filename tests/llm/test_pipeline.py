@@ -49,6 +49,44 @@ def test_decisions_take_effect(spark):
     assert all(0 < r["length"] <= 1024 for r in pieces)
 
 
+@needs_tables
+def test_near_stage_keeps_what_brute_force_keeps(spark):
+    """One document of each component of fingerprints at three or fewer bits, ties by the smallest id."""
+    from strataflow.llm import simhash
+
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = [(r["doc_id"], simhash.fingerprint_of(r["text"])) for r in documents.collect()]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, (_, a) in enumerate(rows):
+        for j, (_, b) in enumerate(rows[:i]):
+            if (a ^ b).bit_count() <= 3:
+                root[find(i)] = find(j)
+    first = {}
+    for i, (doc_id, _) in enumerate(rows):
+        first[find(i)] = min(first.get(find(i), doc_id), doc_id)
+    kept = corpus_pipeline.near_dedup(spark, documents, FOLDER)
+    assert kept.schema == documents.schema
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(first.values())
+
+
+def test_near_stage_odd_rows(docs):
+    """Nulls and empty texts are one component; ids may be null or repeated, columns may clash."""
+    from .conftest import ODD
+
+    kept = corpus_pipeline.near_dedup(None, docs(ODD), "")
+    assert kept.columns == docs(ODD).columns
+    rows = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert len({r["doc_id"] for r in kept.collect()}) == len(rows)
+    assert sum(not (t or "").strip() for _, t in rows) == 1
+    assert corpus_pipeline.near_dedup(None, docs([]), "").collect() == []
+
+
 def test_the_rest_works_without_it():
     """The entry imports and lists the other queries where this package is missing."""
     code = (

@@ -19,7 +19,8 @@ METRICS = {
 ORDERED = {"first": F.min_by, "last": F.max_by}
 
 
-def _ordering(order_by: str | Sequence[str]) -> Column:
+def ordering(order_by: str | Sequence[str]) -> Column:
+    """What ``first`` and ``last`` go by."""
     names = [order_by] if isinstance(order_by, str) else list(order_by)
     return F.col(names[0]) if len(names) == 1 else F.struct(*names)
 
@@ -41,7 +42,7 @@ def metric(spec: Mapping[str, Any]) -> Column:
         return METRICS[kind](F.col(column)).alias(alias)
     if kind not in ORDERED:
         raise ValueError(f"order_by applies to {sorted(ORDERED)}, not to {kind!r}")
-    return ORDERED[kind](F.col(column), _ordering(order_by)).alias(alias)
+    return ORDERED[kind](F.col(column), ordering(order_by)).alias(alias)
 
 
 def aggregate(df: DataFrame, config: Mapping[str, Any] | None) -> DataFrame:

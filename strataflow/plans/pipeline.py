@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 from graphlib import TopologicalSorter
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from strataflow.operators.fan_in import fan_in
-from strataflow.operators.gold import gold
+from strataflow.operators.gold import (
+    SIGN,
+    can_be_kept,
+    changed_states,
+    contributions,
+    derived,
+    from_states,
+    gold,
+    of_groups,
+    states,
+)
 from strataflow.operators.governance import Membership, governed, member_of
 from strataflow.operators.quality import clean_rows, rejected_rows
 from strataflow.operators.scd import latest, versions
@@ -20,23 +32,18 @@ from strataflow.operators.sinks import run_sinks
 from strataflow.plans.config import Document, Gold, Silver, load_document, parse_document
 from strataflow.sources.audit import audit_sources
 from strataflow.sources.files import read_batch
-from strataflow.sources.schema import union_schema
+from strataflow.sources.schema import read_as, union_schema
 from strataflow.storage import make_folder
 from strataflow.streaming.ingest import Flow, flows_of, start_ingest
 from strataflow.streaming.silver import (
     EXPECTATION,
     expectation_totals,
     prepare,
-    quarantine_schema,
+    quarantine_table,
     route_silver,
-    start_silver,
-)
-from strataflow.streaming.tables import (
-    KeyedTable,
-    SnapshotTable,
-    read_appended,
-    stream_appended,
+    update_silver,
 )
+from strataflow.streaming.tables import AppendTable, KeyedTable, SnapshotTable
 
 
 class Pipeline:
@@ -64,6 +71,7 @@ class Pipeline:
         self.aes_key = aes_key
         self.max_bytes_per_batch = max_bytes_per_batch
         self.order = self._order()
+        self._registered: tuple[Membership | None, str | None] | None = None
 
     def _order(self) -> list[str]:
         """Table names so that each comes after what it reads; a cycle is an error."""
@@ -114,9 +122,10 @@ class Pipeline:
     # -- incremental --------------------------------------------------------------
 
     def run(self) -> None:
-        """One update: new files to bronze, new rows to silver, gold from silver.
+        """One update: new files to bronze, new batches to silver, gold from silver.
 
-        A table that fails stops only what reads it; all failures are reported at the end.
+        A table that fails stops only what reads it; all failures are reported at the
+        end. Names that were registered then show the new state.
         """
         root = self._root()
         failed: dict[str, Exception] = {}
@@ -125,15 +134,11 @@ class Pipeline:
             failed,
         )
         for stage in self._silver_stages():
-            # A source without a schema has not seen a file yet.
-            ready = [s for s in stage if s.source not in failed and self._append_schema(s.source) is not None]
             for silver in stage:
                 if silver.source in failed:
                     failed[silver.target] = failed[silver.source]
-            _drain(((silver.target, partial(self._start_silver, silver)) for silver in ready), failed)
-            for silver in ready:
-                if silver.target not in failed:
-                    self.keyed(silver).vacuum()
+            ready = [s for s in stage if s.target not in failed]
+            _together(((silver.target, partial(self._update_silver, silver)) for silver in ready), failed)
             for silver in stage:
                 if silver.target in failed:
                     failed[silver.quarantine] = failed[silver.target]
@@ -144,26 +149,90 @@ class Pipeline:
             source = golds[name].source
             if source in failed:
                 failed[name] = failed[source]
-            elif self._exists(source):
-                try:
-                    result = self._gold(golds[name], self.table(source))
-                    SnapshotTable(self.spark, f"{root}/gold/{name}").write(result)
-                except Exception as error:  # noqa: BLE001 - the others still run
-                    failed[name] = error
+                continue
+            try:
+                if self._exists(source):
+                    self._update_gold(golds[name])
+            except Exception as error:  # noqa: BLE001 - the others still run
+                failed[name] = error
+        for silver in self.document.silvers:
+            if silver.target not in failed:
+                # Only now: gold tables read what changed between two manifests.
+                self.keyed(silver).vacuum()
+        if self._registered is not None:
+            try:
+                self.register(*self._registered)
+            except Exception as error:  # noqa: BLE001 - the tables themselves are up to date
+                failed.setdefault("register", error)
         errors = list({id(e): e for e in failed.values()}.values())
         if len(errors) == 1:
             raise errors[0]
         if errors:
             raise RuntimeError("\n".join(f"{name}: {error}" for name, error in failed.items())) from errors[0]
 
-    def _start_silver(self, silver: Silver) -> StreamingQuery:
-        source = stream_appended(
-            self.spark,
-            self._append_path(silver.source),
-            self._append_schema(silver.source),
-            self.max_bytes_per_batch,
-        )
-        return start_silver(source, silver, self.keyed(silver), self._root(), self.aes_key)
+    def _update_silver(self, silver: Silver) -> None:
+        schema = self._append_schema(silver.source)
+        if schema is None:
+            return  # a source without a schema has not seen a file yet
+        table = self.keyed(silver)
+        inputs = self._append_tables(silver.source)
+        update_silver(inputs, schema, silver, table, self._root(), self.aes_key, self.max_bytes_per_batch)
+
+    def _gold_table(self, name: str) -> SnapshotTable:
+        return SnapshotTable(self.spark, f"{self._root()}/gold/{name}")
+
+    def _update_gold(self, table: Gold) -> None:
+        """Bring a gold table up to date: from what changed in its source since it was last
+        computed, where the aggregate allows that and that state is still known; else as a whole."""
+        target = self._gold_table(table.target)
+        silver = next((s for s in self.document.silvers if s.target == table.source), None)
+        source = self.table(table.source)
+        if silver is None or not can_be_kept(source, table.transformations, table.aggregation):
+            target.write(self._gold(table, source))
+            return
+        keyed = self.keyed(silver)
+        now, notes = keyed.log.latest(), target.notes()
+        spec = json.dumps([table.transformations, table.aggregation, table.history], sort_keys=True, default=str)
+        known = notes.get("source_version") if notes.get("spec") == spec else None
+        if known == now["version"]:
+            return
+        rows = partial(derived, transformations=table.transformations, history=table.history, aes_key=self.aes_key)
+        if known is None or known not in keyed.log.versions():
+            result = states(rows(keyed.read(now)), table.aggregation)
+        else:
+            result = self._changed_states(table, silver, keyed, keyed.log.read(known), now, rows)
+        target.write(result, {"spec": spec, "source_version": now["version"]})
+
+    def _changed_states(
+        self, table: Gold, silver: Silver, keyed: KeyedTable, before: dict[str, Any], now: dict[str, Any],
+        rows: Callable[[DataFrame], DataFrame],
+    ) -> DataFrame:
+        """The states of a gold table after the batches that its source took in the meantime."""
+        keys = self._changed_keys(silver, before, now)
+        came = keyed.read_keys(now, keys)
+        left = read_as(keyed.read_keys(before, keys), came.schema)
+        signed = [rows(part).withColumn(SIGN, F.lit(sign).cast("long")) for part, sign in ((came, 1), (left, -1))]
+        change = contributions(fan_in(signed), table.aggregation)
+        kept = self._gold_table(table.target).read()
+        # States are few, one a group; they are needed twice.
+        draft = f"{self._root()}/router/{table.target}"
+        changed_states(kept, change, table.aggregation).write.mode("overwrite").parquet(draft)
+        merged = self.spark.read.parquet(draft)
+        good, lost = merged.where("NOT _lost").drop("_lost"), merged.where("_lost").drop("_lost")
+        if lost.isEmpty():
+            return good
+        again = of_groups(rows(keyed.read(now)), lost, table.aggregation.get("group_by") or [])
+        return fan_in([good, states(again, table.aggregation)])
+
+    def _changed_keys(self, silver: Silver, before: dict[str, Any], now: dict[str, Any]) -> DataFrame:
+        """Keys in the batches that a silver table took between two of its manifests."""
+        schema, parts = self._append_schema(silver.source), []
+        for name, table in self._append_tables(silver.source).items():
+            first, last = before["applied"].get(name, -1), now["applied"].get(name, -1)
+            if last > first:
+                parts.append(table.rows(table.committed(first, last - first), schema))
+        routed, rules = route_silver(fan_in(parts), silver, self.aes_key)
+        return prepare(clean_rows(routed, rules), silver, self.aes_key).select(*silver.keys).distinct()
 
     def _silver_stages(self) -> list[list[Silver]]:
         """Silver tables that can be updated together; one may read another's rejects."""
@@ -200,25 +269,20 @@ class Pipeline:
             silver.clock_columns,
         )
 
-    def _append_path(self, name: str) -> str:
-        """Folder of a table that only grows: bronze, or a quarantine table."""
-        if name in self.document.bronze_tables:
-            return f"{self._root()}/bronze/{name}"
-        if any(name == s.quarantine for s in self.document.silvers):
-            return f"{self._root()}/quarantine/{name}"
-        raise ValueError(f"{name} is not append-only, so it cannot be read as a stream")
-
-    def _append_schema(self, name: str) -> StructType | None:
+    def _append_tables(self, name: str) -> dict[str, AppendTable]:
+        """What a table that only grows is made of: a part for each bronze flow, or a quarantine table."""
         flows = self._flows().get(name)
         if flows is not None:
-            known = [f.schema(self.spark) for f in flows]
-            found = [schema for schema in known if schema is not None]
-            return union_schema(found) if found else None
+            return {f.folder.rsplit("/", 1)[-1]: f.table(self.spark) for f in flows}
         owner = next((s for s in self.document.silvers if s.quarantine == name), None)
         if owner is None:
-            raise ValueError(f"{name} is not append-only, so it cannot be read as a stream")
-        source = self._append_schema(owner.source)
-        return None if source is None else quarantine_schema(source)
+            raise ValueError(f"{name} is not append-only, so it cannot be read batch by batch")
+        return {name: quarantine_table(self.spark, self._root(), owner)}
+
+    def _append_schema(self, name: str) -> StructType | None:
+        known = [table.schema() for table in self._append_tables(name).values()]
+        found = [schema for schema in known if schema is not None]
+        return union_schema(found) if found else None
 
     def _exists(self, name: str) -> bool:
         for silver in self.document.silvers:
@@ -226,10 +290,7 @@ class Pipeline:
                 return self.keyed(silver).log.latest() is not None
         for table in self.document.golds:
             if name == table.target:
-                return (
-                    SnapshotTable(self.spark, f"{self._root()}/gold/{name}").log.latest()
-                    is not None
-                )
+                return self._gold_table(name).log.latest() is not None
         return self._append_schema(name) is not None
 
     def table(self, name: str) -> DataFrame:
@@ -237,15 +298,20 @@ class Pipeline:
         for silver in self.document.silvers:
             if name == silver.target:
                 return self.keyed(silver).read()
-        if any(name == table.target for table in self.document.golds):
-            return SnapshotTable(self.spark, f"{self._root()}/gold/{name}").read()
+        for table in self.document.golds:
+            if name == table.target:
+                stored = self._gold_table(name)
+                if "source_version" not in stored.notes():
+                    return stored.read()
+                whole = self._gold(table, self.table(table.source))  # for its columns; it is not run
+                return from_states(stored.read(), table.aggregation, whole.schema)
         known = {s.quarantine for s in self.document.silvers} | set(self.document.bronze_tables)
         if name not in known:
             raise KeyError(f"no table {name!r}; known: {self.order}")
         schema = self._append_schema(name)
         if schema is None:
             raise FileNotFoundError(f"{name} has no rows yet")
-        return read_appended(self.spark, self._append_path(name), schema)
+        return fan_in([table.read(schema) for table in self._append_tables(name).values()])
 
     def expectations(self) -> DataFrame:
         """Rule metrics of every silver table over all batches."""
@@ -273,9 +339,11 @@ class Pipeline:
     ) -> list[str]:
         """Make every stored table readable by name in SQL, under its policies.
 
-        Views are temporary and show the state of the last update. With a database,
-        bronze tables are also declared there, as catalog tables over their folders.
+        Views are temporary and show the state of the last update; ``run`` registers them
+        anew. With a database, bronze tables are also declared there, as catalog tables
+        over their folders.
         """
+        self._registered = (membership, database)
         names = [n for n in self.order if self._exists(n)]
         for name in names:
             self.governed(name, membership).createOrReplaceTempView(name)
@@ -289,7 +357,7 @@ class Pipeline:
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         self.spark.sql(
             f"CREATE TABLE {table} ({columns}) USING parquet "
-            f"OPTIONS (path '{self._append_path(name)}', recursiveFileLookup 'true') "
+            f"OPTIONS (path '{self._root()}/bronze/{name}', recursiveFileLookup 'true') "
             f"COMMENT 'Raw rows of {name}' TBLPROPERTIES ('quality' = 'bronze')"
         )
 
@@ -308,6 +376,18 @@ class Pipeline:
         )
 
 
+def _together(steps: Iterable[tuple[str, Callable[[], None]]], failed: dict[str, Exception]) -> None:
+    """Run all steps at the same time; the failure of each goes to ``failed``."""
+    named = list(steps)
+    if not named:
+        return
+    with ThreadPoolExecutor(len(named)) as pool:
+        waiting = [(name, pool.submit(step)) for name, step in named]
+    for name, done in waiting:
+        if done.exception() is not None:
+            failed.setdefault(name, done.exception())
+
+
 def _drain(starters: Iterable[tuple[str, Callable[[], StreamingQuery]]], failed: dict[str, Exception]) -> None:
     """Start all queries and wait for each; the first failure of each name goes to ``failed``."""
     started = []

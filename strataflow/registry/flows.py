@@ -86,7 +86,7 @@ def medallion_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
 def medallion_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     tables = Pipeline(spark, document()).build({"events_in": table(spark, sf, "events")})
     rejected = tables["users_now_quarantine"]
-    return rejected.select("event_id", F.size("arrayCodeByField").alias("failed_rules"))
+    return rejected.select("event_id", F.concat_ws(",", "arrayCodeByField").alias("failed_rules"))
 
 
 def _updated(spark: SparkSession, sf: str, label: str) -> Pipeline:
@@ -144,8 +144,9 @@ SQL = {
     "medallion_end_to_end": _GOLD,
     "incremental_gold": _GOLD,
     "medallion_quarantine": """
-        SELECT event_id, CAST((event_type = 'error' OR length(event_type) = 0)::INTEGER
-                              + (value <= 0)::INTEGER AS INTEGER) AS failed_rules
+        SELECT event_id, concat_ws(',',
+                   CASE WHEN event_type = 'error' OR length(event_type) = 0 THEN 'valid_nullif(event_type, ''error'')_notEmpty' END,
+                   CASE WHEN value <= 0 THEN 'valid_value_positive' END) AS failed_rules
         FROM events WHERE event_type = 'error' OR length(event_type) = 0 OR value <= 0
     """,
     "incremental_history": f"""

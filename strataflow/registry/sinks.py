@@ -33,7 +33,7 @@ def sink_report(spark: SparkSession, sf: str) -> DataFrame:
 def sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """What a JSON sink wrote in two appends, read back."""
     folder = scratch_folder(spark, "roundtrip")
-    orders = table(spark, sf, "orders").drop("o_orderdate")
+    orders = table(spark, sf, "orders")
     sink = {"input": "orders", "path": folder, "format": "JSON"}
     run_sinks(spark, [sink, sink], {"orders": orders}.__getitem__)
     return spark.read.schema(orders.schema).json(folder)
@@ -51,8 +51,8 @@ SQL = {
         UNION ALL SELECT 'absent', NULL, 'failed'
     """,
     "sink_roundtrip": """
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
         UNION ALL
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
     """,
 }

@@ -80,11 +80,11 @@ def schema_hints(spark: SparkSession, sf: str) -> DataFrame:
         }
     )
     update = Pipeline(spark, document, f"{folder}/lake")
-    orders = table(spark, sf, "orders").drop("o_orderdate")
+    orders = table(spark, sf, "orders")
     export(orders, f"{folder}/csv", "csv", header="true", delimiter=";")
     update.run()
-    return update.table("orders_in").withColumn(
-        "o_orderkey", F.col("o_orderkey").cast("bigint")
+    return update.table("orders_in").withColumns(
+        {"o_orderkey": F.col("o_orderkey").cast("bigint"), "o_orderdate": F.col("o_orderdate").cast("timestamp_ntz")}
     )
 
 
@@ -115,18 +115,81 @@ def source_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def csv_headers(spark: SparkSession, sf: str) -> DataFrame:
-    """No schema, one update, two headers: other order, and a column that one of them lacks."""
-    folder = scratch_folder(spark, "headers")
+    """No schema, one update, two headers under one comment: other order, other spelling, and
+    a column that one of them lacks. The folder has a blank in its name."""
+    folder = f"{scratch_folder(spark, 'headers')}/sp ace"
     events = table(spark, sf, "events")
-    clicks = events.filter("event_type = 'click'").select("event_id", "value", "event_type")
-    others = events.filter("event_type <> 'click'").select("event_type", "user_id", "value", "event_id")
+    clicks = events.filter("event_type = 'click'").select("event_id", "value", "ts", "event_type")
+    others = events.filter("event_type <> 'click'").select(
+        "event_type", "user_id", F.col("value").alias("Value"), "ts", F.col("event_id").alias("EVENT_ID")
+    )
     for part in (clicks, others):
-        export(part, f"{folder}/csv", "csv", header="true", delimiter=";")
-    options = {**LINES, "header": "true", "delimiter": ";", "schemaHints": "event_id BIGINT, user_id BIGINT"}
+        lines = part.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+        export(lines, f"{folder}/plain", "csv", header="true", delimiter=";", maxRecordsPerFile=100_000)
+    # The same files, each under a comment.
+    whole = spark.read.text(f"{folder}/plain", wholetext=True)
+    whole.select(F.concat(F.lit("# one line of talk; "), F.lit("\n"), F.rtrim("value", F.lit("\n")))).write.text(f"{folder}/csv")
+    options = {
+        **LINES, "header": "true", "delimiter": ";", "comment": "#",
+        "schemaHints": "event_id BIGINT, user_id BIGINT, ts TIMESTAMP_NTZ",
+    }
     document = _document({"name": "events_in", "path": f"{folder}/csv", "format": "CSV", "options": options})
     update = Pipeline(spark, document, f"{folder}/lake")
     update.run()
-    return update.table("events_in").select("event_id", "user_id", "event_type", "value")
+    return update.table("events_in").select("event_id", "user_id", "event_type", "value", "ts")
+
+
+def rescued_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that break off, and numbers that are none: what fits is typed, the rest is kept as text."""
+    folder = scratch_folder(spark, "rescued")
+    events = table(spark, sf, "events")
+    cut = F.concat(F.lit('{"event_id": '), "event_id", F.lit(', "value": '))
+    said = F.to_json(F.struct("event_id", "event_type", F.concat(F.lit("no. "), "event_id").alias("value")))
+    whole = F.to_json(F.struct("event_id", "event_type", "value"))
+    line = F.when(F.col("event_type") == "error", cut).when(F.col("event_type") == "click", said).otherwise(whole)
+    options = {**LINES, "schemaHints": "event_id BIGINT, value DOUBLE", "rescuedDataColumn": "left_over"}
+    document = _document({"name": "events_in", "path": f"{folder}/json", "options": options})
+    update = Pipeline(spark, document, f"{folder}/lake")
+    events.select(line.alias("value")).write.text(f"{folder}/json")
+    update.run()
+    return update.table("events_in").select("event_id", "event_type", "value", "left_over")
+
+
+def type_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    """A column of whole numbers gets fractions in a second update and text in a third; another
+    source of the same table brings it as INT and as BIGINT. No update fails."""
+    folder = scratch_folder(spark, "conflicts")
+    events = table(spark, sf, "events")
+
+    def amounts(condition: str, amount: str) -> DataFrame:
+        return events.filter(condition).selectExpr("event_id", f"{amount} AS amount")
+
+    document = _document(
+        {"name": "amounts_in", "path": f"{folder}/json", "options": LINES},
+        {"name": "amounts_in", "path": f"{folder}/parquet", "format": "parquet", "options": {"recursiveFileLookup": "true"}},
+    )
+    update = Pipeline(spark, document, f"{folder}/lake")
+    export(amounts("event_type = 'click'", "CAST(floor(value) AS BIGINT)"), f"{folder}/json")
+    amounts("event_type = 'purchase' AND event_id % 2 = 0", "CAST(floor(value) AS INT)").write.parquet(f"{folder}/parquet/x")
+    amounts("event_type = 'purchase' AND event_id % 2 = 1", "CAST(floor(value) AS BIGINT)").write.parquet(f"{folder}/parquet/y")
+    update.run()
+    export(amounts("event_type NOT IN ('click', 'purchase', 'error')", "value"), f"{folder}/json")
+    update.run()
+    export(amounts("event_type = 'error'", "concat('about ', event_id)"), f"{folder}/json")
+    update.run()
+    return update.table("amounts_in").select("event_id", "amount", F.col("_rescued_data").alias("left_over"))
+
+
+def overlapping_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Three items of a path list that name the same files in part: each file counts once."""
+    folder = scratch_folder(spark, "overlapping")
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    events.repartition(2).write.partitionBy("event_type").json(f"{folder}/in")
+    paths = [f"{folder}/in/event_type=click", f"{folder}/in/*", f"{folder}/in/event_type={{click,error}}"]
+    ddl = "event_id BIGINT, value DOUBLE"
+    update = Pipeline(spark, _document({"name": "events_in", "paths": paths, "schema": ddl, "options": LINES}), f"{folder}/lake")
+    update.run()
+    return update.table("events_in").select("event_id", "value")
 
 
 def parquet_layouts(spark: SparkSession, sf: str) -> DataFrame:
@@ -147,11 +210,15 @@ def multi_line_json(spark: SparkSession, sf: str) -> DataFrame:
     field appears in the second update."""
     folder = scratch_folder(spark, "multi-line")
     customer = table(spark, sf, "customer")
+    # A file is written and read by one task: so many rows each, about, however large a nation is.
+    files_each = 1 + customer.count() // 200_000
 
     def files(rows: DataFrame, label: str, *fields: str) -> None:
         entry = F.struct("c_custkey", F.struct(*fields).alias("about"))
         array = F.to_json(F.collect_list(entry), {"pretty": "true"})
-        rows.groupBy("c_nationkey").agg(array.alias("value")).write.partitionBy("c_nationkey").mode("append").text(f"{folder}/{label}")
+        dealt = rows.withColumn("part", F.pmod(F.xxhash64("c_custkey"), F.lit(files_each)))
+        arrays = dealt.groupBy("c_nationkey", "part").agg(array.alias("value")).drop("part")
+        arrays.write.partitionBy("c_nationkey").mode("append").text(f"{folder}/{label}")
 
     flows = [
         {"name": side, "sources": [{"name": f"{side}_in", "paths": f"{folder}/{side}/*"}]} for side in ("low", "high")
@@ -167,6 +234,9 @@ def multi_line_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "rescued_rows": rescued_rows,
+    "type_conflicts": type_conflicts,
+    "overlapping_paths": overlapping_paths,
     "csv_headers": csv_headers,
     "parquet_layouts": parquet_layouts,
     "multi_line_json": multi_line_json,
@@ -177,8 +247,23 @@ QUERIES = {
 }
 
 SQL = {
+    "rescued_rows": r"""
+        SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
+               CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
+               CASE WHEN event_type NOT IN ('error', 'click') THEN value END AS value,
+               CASE event_type WHEN 'error' THEN '{"_corrupt_record":"{\"event_id\": ' || event_id || ', \"value\": "}'
+                    WHEN 'click' THEN '{"value":"no. ' || event_id || '"}' END AS left_over
+        FROM events
+    """,
+    "type_conflicts": """
+        SELECT event_id, CASE WHEN event_type IN ('click', 'purchase') THEN floor(value)
+                              WHEN event_type <> 'error' THEN value END AS amount,
+               CASE WHEN event_type = 'error' THEN '{"amount":"about ' || event_id || '"}' END AS left_over
+        FROM events
+    """,
+    "overlapping_paths": "SELECT event_id, value FROM events",
     "csv_headers": """
-        SELECT event_id, CASE WHEN event_type = 'click' THEN NULL ELSE user_id END AS user_id, event_type, value
+        SELECT event_id, CASE WHEN event_type = 'click' THEN NULL ELSE user_id END AS user_id, event_type, value, ts
         FROM events WHERE event_type IS NOT NULL
     """,
     "parquet_layouts": """
@@ -199,7 +284,7 @@ SQL = {
     """,
     "schema_hints": """
         SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_totalprice,
-               o_orderpriority, CAST(NULL AS DOUBLE) AS premium_amount
+               o_orderdate, o_orderpriority, CAST(NULL AS DOUBLE) AS premium_amount
         FROM orders
     """,
     "source_audit": """

@@ -42,6 +42,16 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _open(spark, path)
+    return bool(fs.exists(target))
+
+
+def folder_size(spark: SparkSession, path: str) -> int:
+    fs, target = _open(spark, path)
+    return int(fs.getContentSummary(target).getLength())
+
+
 def matches(spark: SparkSession, pattern: str) -> bool:
     """Whether a path or glob names at least one existing file or folder."""
     fs, target = _open(spark, pattern)

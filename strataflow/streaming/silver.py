@@ -5,22 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import (
-    ArrayType,
-    BooleanType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampType,
-)
+from pyspark.sql.types import StructType
 
 from strataflow.functions.rules import compile_rules, passes, sequence_rules
 from strataflow.functions.transforms import transform, transformation_map
+from strataflow.operators.fan_in import fan_in
 from strataflow.operators.quality import (
-    CODES,
-    REJECTED_AT,
-    VERDICT,
     clean_rows,
     read_routed,
     rejected_rows,
@@ -30,7 +20,7 @@ from strataflow.operators.quality import (
 )
 from strataflow.plans.config import Silver
 from strataflow.storage import delete
-from strataflow.streaming.tables import KeyedTable, append_folder
+from strataflow.streaming.tables import AppendTable, KeyedTable, append_folder
 
 EXPECTATION = "table string, batch_id bigint, rule string, passed bigint, failed bigint"
 
@@ -57,9 +47,10 @@ def route_silver(
         if absent:
             raise ValueError(f"{silver.target}: no column {absent} in the source or derived")
         others = passes(rules)
-        df = df.withColumns(
-            {f"_has_{c}": ~others | (others & made[c].isNotNull()) for c in derived}
-        )
+        # New columns may be derived from one another, so all of them come along for a moment.
+        new = {c: F.when(others, value) for c, value in made.items() if c not in df.columns}
+        checks = {f"_has_{c}": ~others | F.col(f"`{c}`").isNotNull() for c in derived}
+        df = df.withColumns(new).withColumns(checks).drop(*new)
         rules = {**rules, **{f"valid_{c}_sequence": f"(_has_{c})" for c in derived}}
     return route(df, rules), rules
 
@@ -87,18 +78,6 @@ def prepare(clean: DataFrame, silver: Silver, aes_key: str | None = None) -> Dat
     return made
 
 
-def quarantine_schema(bronze: StructType) -> StructType:
-    """What a quarantine table has beside the source columns."""
-    return StructType(
-        [
-            *bronze,
-            StructField(VERDICT, BooleanType()),
-            StructField(CODES, ArrayType(StringType())),
-            StructField(REJECTED_AT, TimestampType()),
-        ]
-    )
-
-
 def _save_expectations(
     spark: SparkSession, table: str, batch_id: int, rules: Mapping[str, str], seen: dict, path: str
 ) -> None:
@@ -121,52 +100,69 @@ def _save_expectations(
     rows.write.mode("overwrite").json(append_folder(path, batch_id))
 
 
-def start_silver(
-    source: DataFrame,
+def next_batches(
+    inputs: Mapping[str, AppendTable], applied: Mapping[str, int], max_bytes: int | None = None
+) -> dict[str, list[tuple[int, int]]]:
+    """For each input, its committed batches after the applied one.
+
+    With a limit, batches are taken in turn until they have so many bytes, one at least.
+    """
+    new = {name: table.committed(applied.get(name, -1)) for name, table in inputs.items()}
+    if max_bytes is None:
+        return {name: batches for name, batches in new.items() if batches}
+    taken: dict[str, list[tuple[int, int]]] = {}
+    total = 0
+    for number in range(max(map(len, new.values()), default=0)):
+        for name, batches in new.items():
+            if number < len(batches):
+                size = inputs[name].size(batches[number])
+                if taken and total + size > max_bytes:
+                    return taken
+                total += size
+                taken.setdefault(name, []).append(batches[number])
+    return taken
+
+
+def update_silver(
+    inputs: Mapping[str, AppendTable],
+    schema: StructType,
     silver: Silver,
     table: KeyedTable,
     root: str,
     aes_key: str | None = None,
-) -> StreamingQuery:
-    """Route, quarantine and apply the source rows that arrived since the last run.
+    max_bytes: int | None = None,
+) -> None:
+    """Route, quarantine and apply the batches that the inputs committed since the last update.
 
-    The routed batch is stored once and read back by both sides with its partition
-    pruned. Every step is safe to repeat: folders carry the batch id and the keyed table
-    remembers the last one, so a run that died half-way is finished by the next.
+    A routed batch is stored once and read back by both sides with its partition pruned.
+    The keyed table's manifest names the last batch of each input, so the table and how
+    far it has read change together. Every step is safe to repeat: folders carry the
+    number of the update, so a run that died half-way is finished by the next.
     """
-    stream = silver.target
-    router = f"{root}/router/{silver.target}"
-
-    def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if table.applied(stream, batch_id):
-            return
+    spark = table.spark
+    rejects = quarantine_table(spark, root, silver)
+    while batches := next_batches(inputs, table.applied(), max_bytes):
+        number = table.version() + 1
+        batch = fan_in([inputs[name].rows(taken, schema) for name, taken in batches.items()])
         routed, rules = route_silver(batch, silver, aes_key)
         numbered = {f"r{i}": sql for i, sql in enumerate(rules.values())}
         seen = Observation()
-        folder = append_folder(router, batch_id)
+        folder = append_folder(f"{root}/router/{silver.target}", number)
         write_routed(routed.observe(seen, *rule_counts(numbered)), folder)
         stored = read_routed(spark, folder, routed.schema)
 
         helpers = [c for c in stored.columns if c.startswith("_has_")]
-        rejected = rejected_rows(stored, rules).drop(*helpers)
-        rejected.write.mode("overwrite").parquet(
-            append_folder(f"{root}/quarantine/{silver.quarantine}", batch_id)
-        )
+        rejects.write(rejected_rows(stored, rules).drop(*helpers), number)
         _save_expectations(
-            spark, silver.target, batch_id, rules, seen.get,
-            f"{root}/expectations/{silver.target}",
+            spark, silver.target, number, rules, seen.get, f"{root}/expectations/{silver.target}"
         )
-        table.apply(prepare(clean_rows(stored), silver, aes_key), stream, batch_id)
+        upto = {name: taken[-1][0] for name, taken in batches.items()}
+        table.apply(prepare(clean_rows(stored), silver, aes_key), upto)
         delete(spark, folder)  # the router is temporary
 
-    return (
-        source.writeStream.queryName(silver.target)
-        .option("checkpointLocation", f"{root}/checkpoints/silver/{silver.target}")
-        .trigger(availableNow=True)
-        .foreachBatch(apply_batch)
-        .start()
-    )
+
+def quarantine_table(spark: SparkSession, root: str, silver: Silver) -> AppendTable:
+    return AppendTable(spark, f"{root}/quarantine/{silver.quarantine}", f"{root}/schemas/{silver.quarantine}")
 
 
 def expectation_totals(rows: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ driver leaves the previous state intact, and a replayed batch is recognised.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -31,8 +31,8 @@ from strataflow.operators.scd import (
     sequenced,
     versions,
 )
-from strataflow.sources.files import KEEP_OLD_FILES
-from strataflow.storage import VersionLog, children, delete, make_folder
+from strataflow.sources.schema import SchemaStore, read_as
+from strataflow.storage import VersionLog, children, delete, exists, folder_size
 
 VERSION, BUCKET = "_version", "_bucket"
 
@@ -42,22 +42,79 @@ def append_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_{batch_id:012d}"
 
 
-def read_appended(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All batches of an append table, columns by name."""
-    make_folder(spark, path)
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+class AppendTable:
+    """A table that only grows, in numbered batches.
 
+    Batches lie under ``schema=<k>/batch_<id>``, where k is the version of the schema
+    that they were written with. Spark marks a written batch as complete, and the ids of
+    one writer have no gaps, so the batches after a known one are found by their names:
+    nothing is listed, however many there are before.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, schema_path: str, declared: StructType | None = None):
+        self.spark = spark
+        self.folder = folder
+        self.store = SchemaStore(spark, schema_path)
+        self.declared = declared
+
+    def schema(self) -> StructType | None:
+        """Declared, or as kept from earlier batches; None before the first."""
+        return self.declared or self.store.load()
+
+    def schemas(self) -> dict[int, StructType]:
+        return {0: self.declared} if self.declared else self.store.versions()
+
+    def batch_folder(self, version: int, batch_id: int) -> str:
+        return append_folder(f"{self.folder}/schema={version}", batch_id)
+
+    def write(self, rows: DataFrame, batch_id: int, keep_schema: bool = True) -> None:
+        """Write a batch, or write it again. A new schema counts once its first batch is
+        complete; if a run dies between the two, the batch is not seen and will be repeated."""
+        keep = keep_schema and self.declared is None
+        version = self.store.number_of(rows.schema) if keep else max(self.schemas(), default=0)
+        rows.write.mode("overwrite").parquet(self.batch_folder(version, batch_id))
+        if keep:
+            self.store.save(rows.schema)
+
+    def committed(self, after: int, most: int | None = None) -> list[tuple[int, int]]:
+        """(batch id, schema version) of the batches after ``after``, oldest first, at most ``most``.
+
+        Asks for one file for each new batch, and for one that is not there yet.
+        """
+        versions = sorted(self.schemas())
+        found: list[tuple[int, int]] = []
+        while most is None or len(found) < most:
+            batch_id = after + 1 + len(found)
+            here = (v for v in versions if exists(self.spark, f"{self.batch_folder(v, batch_id)}/_SUCCESS"))
+            version = next(here, None)
+            if version is None:
+                break
+            found.append((batch_id, version))
+            # Versions only rise, and most often the next batch has the same one.
+            versions = [v for v in versions if v >= version]
+        return found
 
-def stream_appended(
-    spark: SparkSession, path: str, schema: StructType, max_bytes: int | None = None
-) -> DataFrame:
-    """New batches of an append table as a stream."""
-    make_folder(spark, path)
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
-    reader = reader.options(**KEEP_OLD_FILES)
-    if max_bytes:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.parquet(path)
+    def size(self, batch: tuple[int, int]) -> int:
+        return folder_size(self.spark, self.batch_folder(batch[1], batch[0]))
+
+    def rows(self, batches: Sequence[tuple[int, int]], schema: StructType) -> DataFrame:
+        """The rows of batches, each read with its own schema and then as ``schema``."""
+        schemas, folders = self.schemas(), {}
+        for batch_id, version in batches:
+            folders.setdefault(version, []).append(self.batch_folder(version, batch_id))
+        parts = [read_as(self.spark.read.schema(schemas[v]).parquet(*names), schema) for v, names in folders.items()]
+        return fan_in(parts) if parts else self.spark.createDataFrame([], schema)
+
+    def read(self, schema: StructType | None = None) -> DataFrame:
+        """All batches so far; one scan for each schema version."""
+        schemas = self.schemas()
+        schema = schema or self.schema()
+        present = [int(n.split("=")[1]) for n in children(self.spark, self.folder) if n.startswith("schema=")]
+        parts = []
+        for version in sorted(v for v in present if v in schemas):
+            reader = self.spark.read.schema(schemas[version]).option("recursiveFileLookup", "true")
+            parts.append(read_as(reader.parquet(f"{self.folder}/schema={version}"), schema))
+        return fan_in(parts) if parts else self.spark.createDataFrame([], schema)
 
 
 class SnapshotTable:
@@ -68,16 +125,21 @@ class SnapshotTable:
         self.path = path
         self.log = VersionLog(spark, f"{path}/_manifests")
 
-    def write(self, df: DataFrame) -> None:
+    def write(self, df: DataFrame, notes: Mapping[str, Any] | None = None) -> None:
+        """Swap in new rows; ``notes`` are kept with them."""
         state = self.log.latest()
         version = state["version"] + 1 if state else 0
         df.write.mode("overwrite").parquet(self._folder(version))
-        self.log.append({"version": version, "schema": json.loads(df.schema.json())})
+        self.log.append({"version": version, "schema": json.loads(df.schema.json()), "notes": dict(notes or {})})
         # The version before stays for readers that opened it.
         if version >= 2:
             delete(self.spark, self._folder(version - 2))
             self.log.forget_before(version - 1)
 
+    def notes(self) -> dict[str, Any]:
+        state = self.log.latest()
+        return dict(state.get("notes", {})) if state else {}
+
     def read(self) -> DataFrame:
         state = self.log.latest()
         if state is None:
@@ -128,13 +190,24 @@ class KeyedTable:
 
     # -- reading ---------------------------------------------------------------
 
-    def read(self) -> DataFrame:
-        state = self.log.latest()
+    def read(self, state: dict[str, Any] | None = None) -> DataFrame:
+        """The rows now, or as a manifest that is still kept describes them."""
+        state = state or self.log.latest()
         if state is None:
             raise FileNotFoundError(f"no table at {self.path}")
-        columns = StructType.fromJson(state["columns"]).fieldNames()
+        return self._live(state).select(*self._columns(state))
+
+    def _columns(self, state: dict[str, Any]) -> list[str]:
         extra = HISTORY_COLUMNS if self.scd_type == 2 else ()
-        return self._live(state).select(*columns, *extra)
+        return [*StructType.fromJson(state["columns"]).fieldNames(), *extra]
+
+    def read_keys(self, state: dict[str, Any], keys: DataFrame) -> DataFrame:
+        """All rows of the given keys, from the buckets that can hold them."""
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(state["buckets"])).cast("int").alias(BUCKET)
+        wanted = keys.select(*self.keys, bucket).distinct()
+        touched = sorted(r[0] for r in wanted.select(BUCKET).distinct().collect())
+        rows = self._live(state).filter(F.col(BUCKET).isin(touched))
+        return rows.join(wanted, [*self.keys, BUCKET], "left_semi").select(*self._columns(state))
 
     def _sequence_type(self, state: dict[str, Any]) -> DataType:
         return StructType.fromJson(state["columns"])[self.sequence_by].dataType
@@ -184,16 +257,28 @@ class KeyedTable:
 
     # -- writing ---------------------------------------------------------------
 
-    def applied(self, stream: str, batch_id: int) -> bool:
+    def applied(self) -> dict[str, int]:
+        """The last batch of each stream that the table holds."""
+        state = self.log.latest()
+        return dict(state["applied"]) if state else {}
+
+    def version(self) -> int:
+        """Number of the last applied batch; -1 before the first."""
         state = self.log.latest()
-        return state is not None and state["applied"].get(stream, -1) >= batch_id
+        return state["version"] if state else -1
 
-    def apply(self, changes: DataFrame, stream: str = "batch", batch_id: int | None = None) -> None:
-        """Merge change rows; a batch id at or below the last applied one is skipped."""
+    def apply(
+        self, changes: DataFrame, stream: str | Mapping[str, int] = "batch", batch_id: int | None = None
+    ) -> None:
+        """Merge change rows; a batch id at or below the last applied one is skipped.
+
+        With a mapping, the rows are those of several streams up to the ids that it names.
+        """
         state = self.log.latest() or self._empty(changes.schema)
-        last = state["applied"].get(stream, -1)
-        batch_id = last + 1 if batch_id is None else batch_id
-        if batch_id <= last:
+        known = state["applied"]
+        if isinstance(stream, str):
+            stream = {stream: known.get(stream, -1) + 1 if batch_id is None else batch_id}
+        if all(known.get(name, -1) >= last for name, last in stream.items()):
             return
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(state["buckets"])).cast("int")
         rows = sequenced(changes, self.keys, self.sequence_by).withColumn(BUCKET, bucket)
@@ -210,7 +295,7 @@ class KeyedTable:
             kept = [f for f in merged.schema if f.name not in hidden]
             state["columns"] = json.loads(StructType(kept).json())
         state["version"] = version
-        state["applied"][stream] = batch_id
+        state["applied"].update(stream)
         self.log.append(state)
 
     def _empty(self, columns: StructType) -> dict[str, Any]:

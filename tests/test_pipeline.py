@@ -302,18 +302,21 @@ def test_incremental_equals_batch(spark, tmp_path, aes):
 
 
 def test_interrupted_silver_batch_is_finished_once(spark, tmp_path, aes):
-    """The keyed table has the batch, the checkpoint does not: the replay is skipped."""
+    """All but the manifest of the last update was written: the next run writes the same again."""
     first_files(tmp_path)
     second_files(tmp_path)
     update = Pipeline(spark, document(tmp_path), f"file://{tmp_path}/lake")
     update.run()
-    before = update.keyed(update.document.silvers[1]).log.latest()
-    for silver in ("parcel_clean", "van_clean"):
-        for mark in (tmp_path / "lake/checkpoints/silver" / silver / "commits").iterdir():
-            mark.unlink()
+    log = update.keyed(update.document.silvers[1]).log
+    before = log.latest()
+    for name in ("parcel_clean", "van_clean"):
+        last = max((tmp_path / "lake/silver" / name / "_manifests").glob("*.json"))
+        last.unlink()
+        last.with_name(f".{last.name}.crc").unlink(missing_ok=True)
+        (last.with_name(f".{last.name}.draft.crc")).unlink(missing_ok=True)
     update.run()
     check_final(update.table)
-    assert update.keyed(update.document.silvers[1]).log.latest() == before
+    assert log.latest() == before
 
 
 def test_failed_batch_is_retried_from_the_start(spark, tmp_path, monkeypatch, aes):
@@ -393,6 +396,69 @@ def test_derived_key_and_rejects_as_source(spark, tmp_path):
         assert [r.raw_or_none for r in tables("again").collect()] == ["none"]
 
 
+def test_key_derived_from_a_derived_column(spark, tmp_path):
+    """Rows that fail a rule are not derived at all, so their bad values break nothing."""
+    put(tmp_path / "in", "1.json", [{"raw": " A1 ", "n": 1}, {"raw": "x", "n": 2}, {"raw": "b2", "n": 3}, {"raw": "C3", "n": -1}])
+    made = [
+        {"target_col": "short", "type": "sql_expr", "params": "lower(trim(raw))"},
+        {"target_col": "digit", "type": "sql_expr", "params": "nullif(substring(short, 2, 1), '')"},
+        {"target_col": "key", "type": "sql_expr", "params": "CAST(digit AS INT) * 10"},
+    ]
+    silver = {
+        "target_silver_table": "s", "source_bronze": "in", "validations": [{"field": "n", "validations": ["positive"]}],
+        "transformations": made, "scd_config": {"keys": ["key"], "sequence_by": "n", "stored_as_scd_type": 1},
+    }
+    flow = {"sources": [{"name": "in", "path": f"file://{tmp_path}/in", "schema": "raw STRING, n LONG"}], "transformations_silver": [silver]}
+    update = Pipeline(spark, {"dataflows": [flow]}, f"file://{tmp_path}/lake")
+    for tables in (update.build().__getitem__, (update.run(), update.table)[1]):
+        assert sorted((r.key, r.short) for r in tables("s").collect()) == [(10, "a1"), (20, "b2")]
+        assert {r.n: r.arrayCodeByField for r in tables("s_quarantine").collect()} == {2: ["valid_key_sequence"], -1: ["valid_n_positive"]}
+
+
+def test_type_conflict_of_one_table_leaves_the_others(spark, tmp_path):
+    """Two sources of one table that no type holds: what does not read it is built."""
+    keyed = {"keys": ["id"], "sequence_by": "n", "stored_as_scd_type": 1}
+    silver = lambda name, source: {
+        "target_silver_table": name, "source_bronze": source, "validations": [], "transformations": [], "scd_config": keyed
+    }
+    count = lambda name: {
+        "target_gold_table": f"{name}_count", "source_silver": name,
+        "aggregation": {"group_by": [], "metrics": [{"col": "*", "type": "count", "alias": "n"}]},
+    }
+    for k in ("x", "y", "z"):
+        put(tmp_path / k, "1.json", [{"id": 1, "n": 1, "v": 5}])
+    source = lambda name, folder, ddl: {"name": name, "path": f"file://{tmp_path}/{folder}", "schema": ddl}
+    flows = [
+        {
+            "sources": [source("mixed", "x", "id LONG, n LONG, v STRING"), source("mixed", "y", "id LONG, n LONG, v LONG")],
+            "transformations_silver": [silver("bad", "mixed")], "transformations_gold": [count("bad")],
+        },
+        {
+            "sources": [source("plain", "z", "id LONG, n LONG, v LONG")],
+            "transformations_silver": [silver("good", "plain")], "transformations_gold": [count("good")],
+        },
+    ]
+    update = Pipeline(spark, {"dataflows": flows}, f"file://{tmp_path}/lake")
+    for _ in range(2):
+        with pytest.raises(ValueError, match="in one input"):
+            update.run()
+    assert update.table("good_count").first()["n"] == 1
+    with pytest.raises(FileNotFoundError):
+        update.table("bad")
+
+
+def test_registered_names_show_the_new_state_after_every_run(spark, tmp_path, aes):
+    first_files(tmp_path)
+    update = Pipeline(spark, document(tmp_path), f"file://{tmp_path}/lake")
+    update.run()
+    update.register()
+    second_files(tmp_path)
+    for _ in range(3):
+        update.run()
+    for name in ("parcel_clean", "van_clean"):
+        assert sorted(map(str, spark.table(name).collect())) == sorted(map(str, update.table(name).collect()))
+
+
 def test_window_function_is_rejected_in_silver(spark, tmp_path):
     raw = document(tmp_path)
     silver = raw["dataflows"][0]["transformations_silver"][0]

@@ -38,6 +38,25 @@ def membership_table(table: DataFrame, principal: str | None = None) -> Membersh
     ).exists()
 
 
+def nested_membership(direct: DataFrame) -> DataFrame:
+    """All ``(principal, group)`` that follow from direct ones, where a group may be a member of groups.
+
+    A way that comes back to a group it has passed ends there, so circles do no harm.
+    """
+    return direct.sparkSession.sql(
+        """
+        WITH RECURSIVE reached(principal, member_of, passed) AS (
+            SELECT principal, `group`, array(`group`) FROM {direct}
+            UNION ALL
+            SELECT reached.principal, next.`group`, array_append(passed, next.`group`)
+            FROM reached JOIN {direct} AS next ON next.principal = reached.member_of
+            WHERE NOT array_contains(passed, next.`group`))
+        SELECT DISTINCT principal, member_of AS `group` FROM reached
+        """,
+        direct=direct.select("principal", "group").distinct(),
+    )
+
+
 def _known(kind: str, expected: str) -> None:
     if kind != expected:
         raise ValueError(f"unknown policy {kind!r}; known: {[EMAIL_MASK, DEPARTMENT_FILTER]}")

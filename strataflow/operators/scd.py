@@ -33,19 +33,23 @@ def _has_map(kind: DataType) -> bool:
     return isinstance(kind, StructType) and any(_has_map(f.dataType) for f in kind)
 
 
-def _tie_order(
+def tie_columns(
     df: DataFrame, keys: Sequence[str], sequence_by: str, compare_last: Iterable[str]
 ) -> list[Column]:
-    """A total order over the columns beside key and sequence."""
+    """The columns beside key and sequence, in the order in which they decide between equals."""
     last = set(compare_last)
     fields = sorted(
         (f for f in df.schema if f.name not in {*keys, sequence_by}),
         key=lambda f: (f.name in last, f.name),
     )
-    return [
-        (F.to_json(F.struct(f.name)) if _has_map(f.dataType) else F.col(f"`{f.name}`")).desc()
-        for f in fields
-    ]
+    return [F.to_json(F.struct(f.name)) if _has_map(f.dataType) else F.col(f"`{f.name}`") for f in fields]
+
+
+def _tie_order(
+    df: DataFrame, keys: Sequence[str], sequence_by: str, compare_last: Iterable[str]
+) -> list[Column]:
+    """A total order over the columns beside key and sequence, greatest first."""
+    return [c.desc() for c in tie_columns(df, keys, sequence_by, compare_last)]
 
 
 def sequenced(df: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
@@ -183,3 +187,37 @@ def versions(
         .withColumn(CURRENT, F.col(VALID_TO).isNull())
         .select(*df.columns, *HISTORY_COLUMNS)
     )
+
+
+def splice(
+    history: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str,
+    compare_last: Iterable[str] = (),
+    hot_key_rows: int | None = HOT_KEY_ROWS,
+) -> DataFrame:
+    """What late changes make of a type 2 history: only versions that are new or end elsewhere.
+
+    A change cuts the interval that encloses it, takes the rest of it, and gives way to
+    the next version; one before the first version ends where that begins. Only the keys
+    of the changes are looked at, and of them only the versions that a change touches
+    come out. :func:`spliced` puts them in.
+    """
+    rows = sequenced(changes, keys, sequence_by)
+    touched = rows.select(*keys).distinct()
+    known = history.join(touched, list(keys), "left_semi").select(
+        *changes.columns, F.col(VALID_TO).alias("_ends"), F.lit(True).alias("_known")
+    )
+    none = F.lit(None).cast(history.schema[VALID_TO].dataType)
+    pool = known.unionByName(rows.withColumns({"_ends": none, "_known": F.lit(False)}))
+    # A change that is equal to a known version in all columns gives way to it.
+    ordered = versions(pool, keys, sequence_by, [*compare_last, "_ends", "_known"], hot_key_rows)
+    moved = ~F.col("_known") | ~F.col(VALID_TO).eqNullSafe(F.col("_ends"))
+    return ordered.where(moved).drop("_ends", "_known")
+
+
+def spliced(history: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The history with the versions that :func:`splice` gave in place of those that begin alike."""
+    kept = history.join(changed.select(*keys, VALID_FROM), [*keys, VALID_FROM], "left_anti")
+    return kept.select(*changed.columns).unionByName(changed)

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strataflow.operators.fan_in import fan_in
 from strataflow.operators.gold import gold
-from strataflow.operators.scd import latest, versions
+from strataflow.operators.scd import latest, splice, spliced, versions
 from strataflow.registry.tables import table
 from strataflow.session import scratch_folder
+from strataflow.storage import make_folder
+from strataflow.streaming.latest import LatestTable
 from strataflow.streaming.tables import KeyedTable
 
 FACTS = ["event_id", "event_type", "value"]
@@ -74,6 +76,31 @@ def scd2_late(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("user_id", *FACTS, "valid_from", "valid_to", "is_current")
 
 
+def scd1_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest row of each user as streaming state, over three updates in no order of time
+    and several batches each; the last update brings the first one's rows again."""
+    folder = scratch_folder(spark, "scd1-stream")
+    events = table(spark, sf, "events")
+    changes = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(make_folder(spark, f"{folder}/in"))
+    kept = LatestTable(spark, f"{folder}/latest", ["user_id"], "ts")
+    for part in ("event_type = 'purchase'", "event_type = 'error'", "event_type NOT IN ('purchase', 'error')", "event_type = 'purchase'"):
+        events.filter(part).repartition(3).write.mode("append").parquet(f"{folder}/in")
+        kept.update(changes)
+    return kept.read().select("user_id", "ts", *FACTS)
+
+
+def scd2_splice(spark: SparkSession, sf: str) -> DataFrame:
+    """A history without one event in fifty, and these spliced in; some come twice."""
+    events = table(spark, sf, "events")
+    late = "event_id % 50 = 0"
+    folder = scratch_folder(spark, "splice")
+    versions(events.filter(f"NOT ({late})"), ["user_id"], "ts").write.parquet(f"{folder}/history")
+    history = spark.read.parquet(f"{folder}/history")
+    changes = fan_in([events.filter(late), events.filter("event_id % 100 = 0")])
+    changed = splice(history, changes, ["user_id"], "ts")
+    return spliced(history, changed, ["user_id"]).select("user_id", *FACTS, "valid_from", "valid_to", "is_current")
+
+
 def gold_from_scd2(spark: SparkSession, sf: str) -> DataFrame:
     """Per event type all versions, and only those that are current."""
     silver = versions(table(spark, sf, "events"), ["user_id"], "ts")
@@ -101,6 +128,8 @@ QUERIES = {
     "scd2_ties": scd2_ties,
     "scd2_skewed": scd2_skewed,
     "scd2_late": scd2_late,
+    "scd1_stream": scd1_stream,
+    "scd2_splice": scd2_splice,
     "gold_from_scd2": gold_from_scd2,
 }
 
@@ -126,6 +155,8 @@ SQL = {
     """,
     "scd2": _SCD2,
     "scd2_late": _SCD2,
+    "scd1_stream": _SCD1.format(keys="user_id"),
+    "scd2_splice": _SCD2,
     "scd2_ties": """
         WITH one AS (
             SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey

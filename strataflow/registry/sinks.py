@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from strataflow.operators.fan_in import fan_in
+from strataflow.operators.quality import CODES, rejected_rows, route
 from strataflow.operators.sinks import run_sinks
 from strataflow.registry.tables import table
 from strataflow.session import scratch_folder
@@ -39,9 +41,31 @@ def sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(orders.schema).json(folder)
 
 
-QUERIES = {"sink_report": sink_report, "sink_roundtrip": sink_roundtrip}
+def sink_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected rows with their arrays of codes, through a JSON and a columnar sink, each read
+    back by what its report says."""
+    folder = scratch_folder(spark, "arrays")
+    rules = {"has_type": "(nullif(event_type, 'error') IS NOT NULL)", "is_large": "(value > 5)"}
+    rejected = rejected_rows(route(table(spark, sf, "events"), rules), rules).select("event_id", CODES)
+    sinks = [{"input": "rejected", "path": f"{folder}/{kind}", "format": kind} for kind in ("JSON", "DELTA")]
+    report = run_sinks(spark, sinks, {"rejected": rejected}.__getitem__).collect()
+    parts = [
+        spark.read.schema(rejected.schema).format(r["written_as"]).load(r["path"]).withColumn("kind", F.lit(sink["format"]))
+        for r, sink in zip(report, sinks)
+    ]
+    return fan_in(parts).select("event_id", F.concat_ws(",", CODES).alias("codes"), F.size(CODES).alias("failed_rules"), "kind")
+
+
+QUERIES = {"sink_report": sink_report, "sink_roundtrip": sink_roundtrip, "sink_arrays": sink_arrays}
 
 SQL = {
+    "sink_arrays": """
+        SELECT event_id, concat_ws(',', CASE WHEN event_type = 'error' THEN 'has_type' END,
+                                   CASE WHEN value <= 5 THEN 'is_large' END) AS codes,
+               CAST((event_type = 'error')::INTEGER + (value <= 5)::INTEGER AS INTEGER) AS failed_rules, kind
+        FROM events, (VALUES ('JSON'), ('DELTA')) AS kinds(kind)
+        WHERE event_type = 'error' OR value <= 5
+    """,
     "sink_report": """
         SELECT 'orders' AS sink, count(*) AS rows, 'ok' AS status FROM orders
         UNION ALL SELECT 'orders', count(*), 'ok' FROM orders

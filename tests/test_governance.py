@@ -11,6 +11,7 @@ from strataflow.operators.governance import (
     member_of,
     member_sql,
     membership_table,
+    nested_membership,
     policy_functions,
 )
 
@@ -145,3 +146,17 @@ def test_only_strings_can_be_masked(spark):
 def test_known_membership_folds_away(vans):
     frame = filter_rows(vans, "zone", "south", member_of(["dispatch"])("dispatch"))
     assert "Filter" not in frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_nested_groups(spark):
+    """Groups in groups over three levels, two ways to one group, and circles."""
+    direct = [("ann", "dev"), ("ann", "dev"), ("dev", "tech"), ("ops", "tech"), ("ann", "ops"), ("tech", "staff"), ("staff", "dev"), ("bob", "bob"), ("eve", None)]
+    frame = spark.createDataFrame(direct, "principal STRING, group STRING")
+    found = {(r.principal, r.group) for r in nested_membership(frame).collect()}
+    assert {g for p, g in found if p == "ann"} == {"dev", "ops", "tech", "staff"}
+    assert {g for p, g in found if p == "tech"} == {"staff", "dev", "tech"}
+    assert ("bob", "bob") in found and len(found) == nested_membership(frame).count()
+    rows = spark.createDataFrame([("x",), ("y",)], "dept STRING")
+    for who, seen in (("ann", 2), ("bob", 1)):
+        member = membership_table(nested_membership(frame), who)("staff")
+        assert filter_rows(rows, "dept", "x", member).count() == seen

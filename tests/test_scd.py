@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataflow.operators.fan_in import fan_in
-from strataflow.operators.scd import hot_keys, latest, sequenced, versions
+from strataflow.operators.scd import hot_keys, latest, sequenced, splice, spliced, versions
+from strataflow.streaming.latest import LatestTable
 from strataflow.streaming.tables import KeyedTable
 
 SCHEMA = "k string, seq long, body string"
@@ -273,3 +274,69 @@ def test_fan_in_by_name(spark):
     assert [(r.id, r.b) for r in rows if r.b] == [(2, "y")]
     with pytest.raises(ValueError):
         fan_in([])
+
+
+def stored_history(spark, tmp_path, rows, name="h"):
+    versions(rows, ["k"], "s").write.parquet(f"{tmp_path}/{name}")
+    return spark.read.parquet(f"{tmp_path}/{name}")
+
+
+def told(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=str)
+
+
+@pytest.mark.parametrize("hot", [1, 1_000_000])
+def test_splice_gives_what_all_rows_give(spark, tmp_path, hot):
+    """Late, new, first, equal and repeated changes; several in one interval."""
+    rng = random.Random(5)
+    ddl = "k STRING, s INT, v INT"
+    rows = [(rng.choice("aaaabc"), 2 * rng.randint(0, 60), rng.randint(0, 9)) for _ in range(120)]
+    changes = [(rng.choice("aacd"), rng.randint(-5, 140), rng.randint(0, 12)) for _ in range(40)]
+    changes += [rows[0], changes[0], (None, 1, 1), ("a", None, 1)]
+    history = stored_history(spark, tmp_path, spark.createDataFrame(rows, ddl))
+    late = spark.createDataFrame(changes, ddl)
+    changed = splice(history, late, ["k"], "s", hot_key_rows=hot)
+    whole = versions(spark.createDataFrame(rows + changes, ddl), ["k"], "s")
+    assert told(spliced(history, changed, ["k"])) == told(whole)
+    assert {r.k for r in changed.select("k").distinct().collect()} <= {"a", "c", "d"}
+
+
+def test_splice_emits_few_rows(spark, tmp_path):
+    """Two rows in a hundred come late: at most five in a hundred versions are new or changed."""
+    rows = spark.range(5_000).selectExpr("concat('k', id % 40) AS k", "CAST(id AS INT) AS s", "id AS v")
+    late = rows.where("v % 50 = 7")
+    history = stored_history(spark, tmp_path, rows.where("v % 50 <> 7"))
+    changed = splice(history, late, ["k"], "s")
+    assert 100 <= changed.count() <= 250
+    assert told(spliced(history, changed, ["k"])) == told(versions(rows, ["k"], "s"))
+    assert splice(history, late.limit(0), ["k"], "s").count() == 0
+    # What is known already changes nothing.
+    assert splice(history, rows.where("v < 40"), ["k"], "s").where("v <> 7").count() == 0
+
+
+@pytest.mark.parametrize("per_batch", [1, 2, 10])
+def test_latest_as_streaming_state(spark, tmp_path, per_batch):
+    """Any batches give the batch operator's rows; a repeated batch and an empty update change nothing."""
+    ddl = "k STRING, s INT, v STRING, m MAP<STRING, INT>"
+    rows = [("a", 1, "x", {}), ("a", 3, "y", {"p": 1}), ("a", 3, "z", None), ("b", 2, None, None), ("b", 2, "", None), (None, 9, "n", None), ("c", None, "n", None)]
+    changes = spark.createDataFrame(rows, ddl)
+    folder = f"{tmp_path}/in"
+    stream = lambda: spark.readStream.schema(ddl).option("maxFilesPerTrigger", per_batch).parquet(folder)
+    changes.limit(0).write.parquet(folder)
+    kept = LatestTable(spark, f"file://{tmp_path}/t", ["k"], "s")
+    with pytest.raises(FileNotFoundError):
+        kept.read()
+    for part in (rows[1:4], rows[:1], rows[4:]):
+        spark.createDataFrame(part, ddl).repartition(2).write.mode("append").parquet(folder)
+        kept.update(stream())
+    expected = told(latest(changes, ["k"], "s"))
+    assert told(kept.read()) == expected
+    commits = tmp_path / "t" / "checkpoint" / "commits"
+    last = max((p for p in commits.iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    for mark in (last, last.with_name(f".{last.name}.crc")):
+        mark.unlink(missing_ok=True)
+    kept.update(stream())
+    kept.update(stream())
+    assert told(LatestTable(spark, f"file://{tmp_path}/t", ["k"], "s").read()) == expected
+    with pytest.raises(ValueError, match="columns"):
+        kept.update(spark.readStream.schema("k STRING, s INT").parquet(folder))

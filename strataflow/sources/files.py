@@ -323,6 +323,36 @@ def _read_csv(
     return rows.select(*[f"`{n}`" for n in wanted], text.alias(rescued))
 
 
+def _whole_files(options: dict[str, str]) -> bool:
+    return str(options.get("multiLine", "false")).lower() == "true"
+
+
+def json_records(spark: SparkSession, options: dict[str, str], paths: Sequence[str]) -> DataFrame:
+    """``_line``: the text of each record, of lines or of the objects and arrays of whole files."""
+    reader = spark.read.options(**{k: v for k, v in options.items() if k in (*LISTING_OPTIONS, "lineSep", "encoding")})
+    if not _whole_files(options):
+        return reader.text(list(paths)).where(F.trim("value") != "").select(F.col("value").alias("_line"))
+    is_array = F.startswith(F.ltrim("value", F.lit(" \t\r\n")), F.lit("["))
+    several = F.transform(F.from_json("value", "array<variant>"), lambda v: F.to_json(v))
+    records = F.when(is_array, F.coalesce(several, F.array("value"))).otherwise(F.array("value"))
+    return reader.text(list(paths), wholetext=True).select(F.explode(records).alias("_line"))
+
+
+def read_flagged_csv(
+    spark: SparkSession, source: Source, schema: StructType, paths: Sequence[str], parts: Sequence[Part]
+) -> DataFrame:
+    """Rows with the reader's own column for what it could not read, which the source's options name."""
+    groups = [(p.found.fieldNames(), p.files) for p in parts] if has_header(source) else [(schema.fieldNames(), list(paths))]
+    fold, reader = same_name(spark), spark.read.format(source.format).options(**reader_options(source))
+    known = {fold(f.name): f for f in schema}
+    rows = None
+    for names, files in groups:
+        fields = [known.get(fold(n), StructField(n, StringType())) for n in names]
+        part = reader.schema(StructType([*fields, StructField(CORRUPT, StringType())])).load(files)
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    return rows
+
+
 def _read_json(
     spark: SparkSession, source: Source, schema: StructType, rescued: str | None, paths: Sequence[str], unknown: bool
 ) -> DataFrame:
@@ -335,18 +365,10 @@ def _read_json(
     flagged = StructType([*fields, StructField(CORRUPT, StringType())])
     careful = {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     line = F.col(CORRUPT)
-    if str(options.get("multiLine", "false")).lower() == "true":
-        # In whole-file mode the reader hands on the file, not the record: take it apart first.
-        texts = spark.read.options(**{k: v for k, v in options.items() if k in LISTING_OPTIONS}).text(list(paths), wholetext=True)
-        is_array = F.startswith(F.ltrim("value", F.lit(" \t\r\n")), F.lit("["))
-        several = F.transform(F.from_json("value", "array<variant>"), lambda v: F.to_json(v))
-        records = F.when(is_array, F.coalesce(several, F.array("value"))).otherwise(F.array("value"))
-        texts = texts.select(F.explode(records).alias("_line"))
-        rows, line = texts.select(F.from_json("_line", flagged, careful).alias("of"), "_line").select("of.*", "_line"), F.col("_line")
-    elif unknown:
-        texts = spark.read.options(**{k: v for k, v in options.items() if k in (*LISTING_OPTIONS, "lineSep", "encoding")}).text(list(paths))
-        rows = texts.where(F.trim("value") != "").select(F.from_json("value", flagged, careful).alias("of"), F.col("value").alias("_line"))
-        rows, line = rows.select("of.*", "_line"), F.col("_line")
+    if unknown or _whole_files(options):
+        # In whole-file mode the reader hands on the file, not the record.
+        rows = json_records(spark, options, paths).select(F.from_json("_line", flagged, careful).alias("of"), "_line").select("of.*", "_line")
+        line = F.col("_line")
     else:
         rows = reader.options(**careful).schema(flagged).load(list(paths))
     text = rescued_json(fields, F.col(CORRUPT), line, unknown)

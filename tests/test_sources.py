@@ -492,3 +492,29 @@ def test_an_update_asks_for_new_batches_only(spark, tmp_path, monkeypatch):
     assert update.table("s").count() == 13
     assert [a.rsplit("/", 2)[1] for a in asked] == ["batch_000000000012", "batch_000000000013", "batch_000000000013"]
     assert not any("/bronze/" in p for p in listed)
+
+
+def test_audit_of_json_is_one_scan(spark, tmp_path):
+    """Rows, broken rows, misfits and fields come from one scan of the texts, without jobs before."""
+    put(tmp_path / "in", "1.json", '{"a": 1, "extra": 1}\n{"a": "x"}\n\n{broken\n{"b": {"deep": 1}}\n')
+    sources = [
+        Source("declared", (f"file://{tmp_path}/in",), schema="a LONG, c LONG"),
+        Source("found", (f"file://{tmp_path}/in",)),
+    ]
+    frame = audit_sources(spark, sources)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in plan.splitlines() if " text" in line and "Relation" in line]
+    assert len(scans) == 2
+    one, two = sorted(frame.collect(), key=lambda r: r.source)
+    assert (one.file_count, one.row_count, one.corrupt_rows, one.missing_cols, one.extra_cols) == (1, 4, 2, ["c"], ["b", "extra"])
+    assert (two.row_count, two.corrupt_rows, two.missing_cols, two.extra_cols) == (4, 1, [], [])
+
+
+def test_audit_of_csv(spark, tmp_path):
+    put(tmp_path / "in", "1.csv", "a;b\n1;2\nx;3\n4;5;6\n")
+    put(tmp_path / "in", "2.csv", "c;a\n7;8\n")
+    declared = Source("s", (f"file://{tmp_path}/in",), "CSV", "a INT, d INT", None, CSV)
+    row = audit_sources(spark, [declared]).first()
+    assert (row.file_count, row.row_count, row.corrupt_rows, row.missing_cols, row.extra_cols) == (2, 4, 2, ["d"], ["b", "c"])
+    found = audit_sources(spark, [Source("s", (f"file://{tmp_path}/in",), "CSV", None, None, CSV)]).first()
+    assert (found.row_count, found.corrupt_rows, found.missing_cols, found.extra_cols) == (4, 1, [], [])

@@ -33,7 +33,7 @@ from strataflow.plans.config import Document, Gold, Silver, load_document, parse
 from strataflow.sources.audit import audit_sources
 from strataflow.sources.files import read_batch
 from strataflow.sources.schema import read_as, union_schema
-from strataflow.storage import make_folder
+from strataflow.storage import VersionLog, delete, make_folder
 from strataflow.streaming.ingest import Flow, flows_of, start_ingest
 from strataflow.streaming.silver import (
     EXPECTATION,
@@ -71,6 +71,7 @@ class Pipeline:
         self.aes_key = aes_key
         self.max_bytes_per_batch = max_bytes_per_batch
         self.order = self._order()
+        self._generation: int | None = None
         self._registered: tuple[Membership | None, str | None] | None = None
 
     def _order(self) -> list[str]:
@@ -121,13 +122,38 @@ class Pipeline:
 
     # -- incremental --------------------------------------------------------------
 
-    def run(self) -> None:
+    def run(self, full_refresh: bool = False) -> None:
         """One update: new files to bronze, new batches to silver, gold from silver.
 
         A table that fails stops only what reads it; all failures are reported at the
         end. Names that were registered then show the new state.
+
+        With ``full_refresh`` all tables are made anew from the files that are there now,
+        beside the present ones, which are read until the refresh has succeeded. One that
+        failed is taken up again by the next.
         """
-        root = self._root()
+        self._generation = self._generations().latest_number()
+        if not full_refresh:
+            return self._update()
+        before = self._generation
+        self._generation = before + 1
+        try:
+            self._update()
+        except BaseException:
+            self._generation = before
+            raise
+        # What was present until now stays for readers that opened it; what was before that goes.
+        self._generations().append({"refreshed": True})
+        if before >= 2:
+            delete(self.spark, self._root_of(before - 1))
+        if self._registered is not None:
+            self.register(*self._registered)
+
+    def _generations(self) -> VersionLog:
+        """One document for each full refresh that succeeded."""
+        return VersionLog(self.spark, f"{self._base()}/_refreshes")
+
+    def _update(self) -> None:
         failed: dict[str, Exception] = {}
         _drain(
             ((name, partial(start_ingest, self.spark, flow)) for name, flows in self._flows().items() for flow in flows),
@@ -247,14 +273,23 @@ class Pipeline:
             stages[number].append(by_name[name])
         return stages
 
-    def _root(self) -> str:
+    def _base(self) -> str:
         if not self.root:
             raise ValueError("an incremental run needs a root folder")
         return self.root
 
+    def _root_of(self, generation: int) -> str:
+        return f"{self._base()}/refresh_{generation}" if generation else self._base()
+
+    def _root(self) -> str:
+        """Where the present tables lie."""
+        if self._generation is None:
+            self._generation = self._generations().latest_number()
+        return self._root_of(self._generation)
+
     def _flows(self) -> dict[str, list[Flow]]:
         return {
-            name: flows_of(name, sources, self._root())
+            name: flows_of(name, sources, self._root(), self._generation)
             for name, sources in self.document.bronze_tables.items()
         }
 

@@ -182,6 +182,20 @@ def two_flows_one_broken(spark: SparkSession, sf: str) -> DataFrame:
     return update.table("good_by_type")
 
 
+def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Sources that were corrected in place: an update does not see it, a full refresh reads them anew."""
+    folder = scratch_folder(spark, "refresh")
+    events = table(spark, sf, "events")
+    update = Pipeline(spark, document(folder), f"{folder}/lake")
+    export(events.filter("event_type <> 'click'").limit(5), f"{folder}/csv", "csv", header="true", delimiter=";")
+    export(events.withColumn("value", F.lit(-1.0)), f"{folder}/json")
+    update.run()
+    export(events.filter("event_type <> 'click'"), f"{folder}/json", mode="overwrite")
+    export(events.filter("event_type = 'click'"), f"{folder}/csv", "csv", mode="overwrite", header="true", delimiter=";")
+    update.run(full_refresh=True)
+    return _rounded(update.table("versions_by_band"))
+
+
 def bronze_catalog(spark: SparkSession, sf: str) -> DataFrame:
     """A bronze table declared in the session's catalog, read there by name after a second update."""
     folder = scratch_folder(spark, "catalog")
@@ -202,6 +216,7 @@ QUERIES = {
     "gold_incremental": gold_incremental,
     "two_flows_one_broken": two_flows_one_broken,
     "bronze_catalog": bronze_catalog,
+    "full_refresh": full_refresh,
     "medallion_end_to_end": medallion_end_to_end,
     "medallion_quarantine": medallion_quarantine,
     "incremental_gold": incremental_gold,
@@ -236,6 +251,7 @@ SQL = {
     "bronze_catalog": "SELECT event_id, ts, user_id, event_type, value, props, 'bronze' AS quality FROM events",
     "medallion_end_to_end": _GOLD,
     "incremental_gold": _GOLD,
+    "full_refresh": _GOLD,
     "medallion_quarantine": """
         SELECT event_id, concat_ws(',',
                    CASE WHEN event_type = 'error' OR length(event_type) = 0 THEN 'valid_nullif(event_type, ''error'')_notEmpty' END,

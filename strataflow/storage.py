@@ -84,6 +84,11 @@ class VersionLog:
             stream.close()
         return json.loads(text)
 
+    def latest_number(self) -> int:
+        """How many documents there have been."""
+        versions = self.versions()
+        return versions[-1] + 1 if versions else 0
+
     def latest(self) -> dict[str, Any] | None:
         versions = self.versions()
         return self.read(versions[-1]) if versions else None

@@ -55,7 +55,7 @@ class Flow:
         return AppendTable(spark, self.folder, self.schema_path, declared_schema(self.source))
 
 
-def flows_of(table: str, sources: list[Source], root: str) -> list[Flow]:
+def flows_of(table: str, sources: list[Source], root: str, generation: int = 0) -> list[Flow]:
     """A flow per path. Its folders depend on the path, not on the position in the
     document, so that reordering sources does not ingest files twice. A file that several
     paths of one format name belongs to the first of them."""
@@ -71,6 +71,8 @@ def flows_of(table: str, sources: list[Source], root: str) -> list[Flow]:
             location = source.schema_location or discovery_option(source, "schemaLocation")
             if location and len(source.paths) > 1:
                 location = f"{location.rstrip('/')}/{digest}"
+            if location and generation:
+                location = f"{location.rstrip('/')}/refresh_{generation}"
             alike = (source.format.lower(), source.options.get("pathGlobFilter"))
             earlier = claimed.setdefault(alike, [])
             flows.append(

@@ -459,6 +459,38 @@ def test_registered_names_show_the_new_state_after_every_run(spark, tmp_path, ae
         assert sorted(map(str, spark.table(name).collect())) == sorted(map(str, update.table(name).collect()))
 
 
+def test_full_refresh(spark, tmp_path, aes):
+    """Files that went are gone after it; a failed one leaves the present tables, and can be repeated."""
+    first_files(tmp_path)
+    second_files(tmp_path)
+    raw = document(tmp_path)
+    update = Pipeline(spark, raw, f"file://{tmp_path}/lake")
+    put(tmp_path / "kept" / "in", "1.json", [{"id": 1}])
+    raw["dataflows"][0]["sources"].append(
+        {"name": "kept_in", "path": f"file://{tmp_path}/kept/in", "schema_location": f"file://{tmp_path}/kept/schema"}
+    )
+    update = Pipeline(spark, raw, f"file://{tmp_path}/lake")
+    update.run()
+    update.register()
+    put(tmp_path / "kept" / "in", "1.json", [{"id": "text"}])
+    with pytest.raises(RuntimeError, match="lost"):
+        real, update._update = update._update, lambda: (real(), (_ for _ in ()).throw(RuntimeError("lost")))
+        update.run(full_refresh=True)
+    update._update = real
+    assert [r.id for r in update.table("kept_in").collect()] == [1]
+    for number in (1, 2, 3):
+        update.run(full_refresh=True)
+        check_final(update.table)
+        assert [r.id for r in update.table("kept_in").collect()] == ["text"]
+        assert [r.id for r in spark.table("kept_in").collect()] == ["text"]
+        assert update._root().endswith(f"refresh_{number}")
+    assert not (tmp_path / "lake" / "refresh_1").exists() and (tmp_path / "lake" / "refresh_2").exists()
+    other = Pipeline(spark, raw, f"file://{tmp_path}/lake")
+    put(tmp_path / "kept" / "in", "2.json", [{"id": "more"}])
+    other.run()
+    assert sorted(r.id for r in other.table("kept_in").collect()) == ["more", "text"]
+
+
 def test_window_function_is_rejected_in_silver(spark, tmp_path):
     raw = document(tmp_path)
     silver = raw["dataflows"][0]["transformations_silver"][0]

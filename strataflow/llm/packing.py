@@ -12,7 +12,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
-from strataflow.llm.bpe import Cache, kept, pieces
+from strataflow.llm.bpe import kept
 from strataflow.llm.common import ranked, stored, whole_text
 
 CAPACITY = 1_024
@@ -101,20 +101,15 @@ def places(fillings: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int,
 
 
 class Ids:
-    """Packed ids of texts; what stands between spaces is encoded once while it is cached."""
+    """Packed ids of texts."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.known = Cache(self.encode)
 
-    def encode(self, text: str) -> bytes:
+    def of(self, text: str) -> bytes:
         ids = self.encoding.encode_ordinary(text)
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def of(self, text: str) -> bytes:
-        parts = pieces(text) if text else []
-        return self.encode(text) if parts is None else b"".join(self.known.all(parts))
-
 
 def cut_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of each piece; only the first may be short."""

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from strataflow.llm.bpe import kept
 from strataflow.llm.common import whole_text
 
 # Fixed values of the contract.
@@ -130,27 +131,35 @@ def sums(emit: np.ndarray, first: np.ndarray, trans: np.ndarray, pairs: bool = F
     weight, starts = weight.reshape(blocks, BLOCK, TAGS), starts.reshape(blocks, BLOCK)
     step = np.exp(np.clip(trans, -LIMIT, LIMIT))
     step[OUT, INSIDE] = 0.0
-    begin = np.tile(np.array([1.0, 1.0, 0.0]), (TAGS, 1))
+    begin = np.array([1.0, 1.0, 0.0])
 
-    def move(k: int) -> np.ndarray:
-        return np.where(starts[:, k, None, None], begin, step) * weight[:, k, None, :]
+    def onward(rows: np.ndarray, k: int) -> np.ndarray:
+        """Rows of weights times the step of each block's token k; a begin forgets where they were."""
+        moved = rows @ step
+        if anew[k].size:
+            moved[anew[k]] = rows[anew[k]].sum(-1, keepdims=True) * begin
+        return moved * (weight[:, k, None, :] if rows.ndim == 3 else weight[:, k])
 
+    anew = [np.flatnonzero(starts[:, k]) for k in range(BLOCK)]
     product = np.tile(np.eye(TAGS), (blocks, 1, 1))
     for k in range(BLOCK):
-        product = product @ move(k)
+        product = onward(product, k)
         product /= product.sum((1, 2), keepdims=True)
     enter, leave = walk(product.tolist())
     ahead, behind = np.empty_like(weight), np.empty_like(weight)
     at = enter
     for k in range(BLOCK):
-        at = (at[:, None, :] @ move(k))[:, 0]
-        at = at / at.sum(1, keepdims=True)
+        at = onward(at, k)
+        at /= at.sum(1, keepdims=True)
         ahead[:, k] = at
     at = leave
     for k in range(BLOCK - 1, -1, -1):
         behind[:, k] = at
-        at = (move(k) @ at[:, :, None])[:, :, 0]
-        at = at / at.sum(1, keepdims=True)
+        to_come = weight[:, k] * at
+        at = to_come @ step.T
+        if anew[k].size:
+            at[anew[k]] = (to_come[anew[k]] @ begin)[:, None]
+        at /= at.sum(1, keepdims=True)
     both = (ahead * behind).reshape(-1, TAGS)[:n]
     marginals = both / both.sum(1, keepdims=True)
     if not pairs:
@@ -236,8 +245,8 @@ def fit(toxic: Sequence[list[str]], clean: Sequence[list[str]], share: float) ->
     texts = [texts[i] for i in np.random.default_rng(0).permutation(len(texts))]
     own = {w: traits(w) for d, _, _ in texts for w in set(d)}
     seen = Counter(t for d, _, _ in texts for t in set(chain.from_iterable(map(own.get, set(d)))))
-    kept = sorted(t for t, n in seen.items() if n >= LEAST_SEEN)
-    index = {t: i for i, t in enumerate([*kept, *(side + t[1:] for t in kept if t[0] == "w" for side in "az")])}
+    frequent = sorted(t for t, n in seen.items() if n >= LEAST_SEEN)
+    index = {t: i for i, t in enumerate([*frequent, *(side + t[1:] for t in frequent if t[0] == "w" for side in "az")])}
     words = {w: i for i, w in enumerate(dict.fromkeys(w for d, _, _ in texts for w in d))}
     table = np.array([cells_of(w, index) for w in words])
     weights = np.zeros((len(index) + 1, TAGS))
@@ -417,9 +426,10 @@ def score(docs: DataFrame, labels: DataFrame, field: Field | None = None) -> Dat
     gives no rows. Very long texts are one chain: memory grows with the tokens of one text.
     """
     model = train(docs, labels) if field is None else field
+    shared = docs.sparkSession.sparkContext.broadcast({"field": model})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tagger = Tagger(model)
+        tagger = kept(shared.value, "tagger", lambda: Tagger(shared.value["field"]))
         for batch in batches:
             texts, done = [t.as_py() for t in batch["text"]], []
             for a, b in grouped([len(t) // 4 + 1 for t in texts], TASK_TOKENS):

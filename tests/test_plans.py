@@ -1,7 +1,6 @@
 """What the physical plans must look like."""
 
 import os
-import re
 
 import pytest
 
@@ -18,21 +17,6 @@ def physical(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-def ran(spark):
-    """Plans of the SQL executions so far, as the status store keeps them."""
-    executions = spark._jsparkSession.sharedState().statusStore().executionsList()
-    return [executions.apply(i).physicalPlanDescription() for i in range(executions.size())]
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_workers(spark, name):
-    """Of the plan that comes back, and of every query that ran on the way to it."""
-    before = ran(spark)
-    plan = physical(QUERIES[name](spark, FOLDER))
-    for text in [plan, *ran(spark)[len(before):]]:
-        assert not re.search("Python|InPandas|InArrow", text)
-
-
 def test_columns_and_filters_reach_the_scan(spark):
     plan = physical(QUERIES["agg_all"](spark, FOLDER))
     assert "l_shipdate" not in plan and "l_orderkey" not in plan

@@ -126,9 +126,10 @@ def csv_headers(spark: SparkSession, sf: str) -> DataFrame:
     for part in (clicks, others):
         lines = part.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
         export(lines, f"{folder}/plain", "csv", header="true", delimiter=";", maxRecordsPerFile=100_000)
-    # The same files, each under a comment.
+    # The same files, each under a comment. A task reads several: each stays a file of its own.
     whole = spark.read.text(f"{folder}/plain", wholetext=True)
-    whole.select(F.concat(F.lit("# one line of talk; "), F.lit("\n"), F.rtrim("value", F.lit("\n")))).write.text(f"{folder}/csv")
+    said = whole.select(F.concat(F.lit("# one line of talk; "), F.lit("\n"), F.rtrim("value", F.lit("\n"))))
+    said.write.option("maxRecordsPerFile", 1).text(f"{folder}/csv")
     options = {
         **LINES, "header": "true", "delimiter": ";", "comment": "#",
         "schemaHints": "event_id BIGINT, user_id BIGINT, ts TIMESTAMP_NTZ",

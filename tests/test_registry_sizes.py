@@ -22,3 +22,14 @@ def test_csv_headers_of_more_files_than_tasks(spark, folder):
     events.repartition(24).write.parquet(f"{folder}/events.parquet")
     found = QUERIES["csv_headers"](spark, folder)
     assert sorted(r.event_id for r in found.collect()) == list(range(240))
+
+
+def test_multi_line_json_of_several_files_each(spark, folder):
+    """Arrays of one nation that one task writes are files of their own."""
+    customers = spark.range(400_001).selectExpr(
+        "id AS c_custkey", "concat('c', id) AS c_name", "CAST(1 AS INT) AS c_nationkey",
+        "CAST(id % 3 - 1 AS DOUBLE) AS c_acctbal", "'FURNITURE' AS c_mktsegment",
+    )
+    customers.write.parquet(f"{folder}/customer.parquet")
+    found = QUERIES["multi_line_json"](spark, folder)
+    assert found.count() == found.select("c_custkey").distinct().count() == 400_001

@@ -43,13 +43,16 @@ def scd2_ties(spark: SparkSession, sf: str) -> DataFrame:
 
 def scd2_skewed(spark: SparkSession, sf: str) -> DataFrame:
     """One key holds two event types of all users, and its rows come twice; the range
-    cut for hot keys is applied at any size."""
+    cut for hot keys is applied at any size. Different events of one moment are versions each."""
     events = table(spark, sf, "events").withColumn(
         "account", F.expr("CASE WHEN event_type IN ('click', 'view') THEN -1 ELSE user_id END")
     )
     copies = events.filter("account = -1")
-    rows = versions(fan_in([events, copies]), ["account"], "ts", hot_key_rows=1)
-    return rows.select("account", *FACTS, "valid_from", "valid_to", "is_current")
+    moment = F.when(F.col("ts").isNotNull(), F.struct("ts", "event_id"))
+    changes = fan_in([events, copies]).withColumn("moment", moment)
+    rows = versions(changes, ["account"], "moment", hot_key_rows=1)
+    times = {"valid_from": F.col("valid_from.ts"), "valid_to": F.col("valid_to.ts")}
+    return rows.withColumns(times).select("account", *FACTS, "valid_from", "valid_to", "is_current")
 
 
 def _in_batches(spark: SparkSession, sf: str, scd_type: int, label: str) -> DataFrame:

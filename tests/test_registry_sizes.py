@@ -2,7 +2,7 @@
 
 import os
 import sys
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from strataflow.registry import QUERIES  # noqa: E402
 
 NOON = datetime(2024, 3, 1, 12)
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
 def test_csv_headers_of_more_files_than_tasks(spark, folder):
@@ -33,3 +34,13 @@ def test_multi_line_json_of_several_files_each(spark, folder):
     customers.write.parquet(f"{folder}/customer.parquet")
     found = QUERIES["multi_line_json"](spark, folder)
     assert found.count() == found.select("c_custkey").distinct().count() == 400_001
+
+
+def test_skewed_history_keeps_events_of_one_moment(spark, folder):
+    later = NOON + timedelta(hours=1)
+    rows = [(1, NOON, 7, "click", 1.0, None), (2, NOON, 8, "view", 2.0, None), (3, later, 9, "click", 3.0, None), (4, NOON, 9, "error", 4.0, None)]
+    spark.createDataFrame(rows, EVENTS).write.parquet(f"{folder}/events.parquet")
+    found = QUERIES["scd2_skewed"](spark, folder).select("account", "event_id", "valid_from", "valid_to", "is_current")
+    assert sorted(map(tuple, found.collect())) == [
+        (-1, 1, NOON, NOON, False), (-1, 2, NOON, later, False), (-1, 3, later, None, True), (9, 4, NOON, None, True),
+    ]

@@ -12,6 +12,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
+from strataflow.session import scratch_folder
+
 # A membership answers, for a group name, whether the reader belongs to it.
 Membership = Callable[[str], Column]
 
@@ -38,23 +40,32 @@ def membership_table(table: DataFrame, principal: str | None = None) -> Membersh
     ).exists()
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    spark = rows.sparkSession
+    path = f"{scratch_folder(spark, 'groups')}/rows"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def nested_membership(direct: DataFrame) -> DataFrame:
     """All ``(principal, group)`` that follow from direct ones, where a group may be a member of groups.
 
-    A way that comes back to a group it has passed ends there, so circles do no harm.
+    Ways between groups are found now, by joins that double their length until nothing is
+    added, so neither depth, circles nor the number of ways matters; they are stored. Who
+    is directly in what is read when the result is. Principals that are no group take one join.
     """
-    return direct.sparkSession.sql(
-        """
-        WITH RECURSIVE reached(principal, member_of, passed) AS (
-            SELECT principal, `group`, array(`group`) FROM {direct}
-            UNION ALL
-            SELECT reached.principal, next.`group`, array_append(passed, next.`group`)
-            FROM reached JOIN {direct} AS next ON next.principal = reached.member_of
-            WHERE NOT array_contains(passed, next.`group`))
-        SELECT DISTINCT principal, member_of AS `group` FROM reached
-        """,
-        direct=direct.select("principal", "group").distinct(),
-    )
+    edges = direct.select("principal", "group").distinct()
+    groups = edges.select(F.col("group").alias("principal")).distinct()
+    ways = _stored(edges.join(groups, "principal", "left_semi"))
+    known, before = ways.count(), -1
+    while known > before:
+        onward = ways.select(F.col("principal").alias("group"), F.col("group").alias("_next"))
+        longer = ways.join(onward, "group").select("principal", F.col("_next").alias("group"))
+        ways = _stored(ways.unionByName(longer).distinct())
+        known, before = ways.count(), known
+    onward = ways.select(F.col("principal").alias("group"), F.col("group").alias("_next"))
+    through = edges.join(onward, "group").select("principal", F.col("_next").alias("group"))
+    return edges.unionByName(through).distinct()
 
 
 def _known(kind: str, expected: str) -> None:

@@ -160,3 +160,13 @@ def test_nested_groups(spark):
     for who, seen in (("ann", 2), ("bob", 1)):
         member = membership_table(nested_membership(frame), who)("staff")
         assert filter_rows(rows, "dept", "x", member).count() == seen
+
+
+def test_nested_groups_by_many_ways(spark):
+    """Two million ways between the ends of 22 levels, and 150 groups one in another."""
+    steps = [(f"{level}_{a}", f"{level + 1}_{b}") for level in range(21) for a in "xy" for b in "xy"]
+    chain = [(f"c{k}", f"c{k + 1}") for k in range(150)]
+    direct = spark.createDataFrame([("ann", "0_x"), ("bob", "c0"), *steps, *chain], "principal STRING, group STRING")
+    found = nested_membership(direct).groupBy("principal").count()
+    counts = {r["principal"]: r["count"] for r in found.collect()}
+    assert counts["ann"] == 1 + 21 * 2 and counts["bob"] == 151 and counts["0_x"] == 21 * 2 and counts["c149"] == 1

@@ -170,3 +170,12 @@ def test_nested_groups_by_many_ways(spark):
     found = nested_membership(direct).groupBy("principal").count()
     counts = {r["principal"]: r["count"] for r in found.collect()}
     assert counts["ann"] == 1 + 21 * 2 and counts["bob"] == 151 and counts["0_x"] == 21 * 2 and counts["c149"] == 1
+
+
+def test_row_filter_by_many_ways(spark):
+    steps = [(f"{level}_{a}", f"{level + 1}_{b}") for level in range(21) for a in "xy" for b in "xy"]
+    direct = spark.createDataFrame([("ann", "0_x"), ("eve", "21_y"), *steps], "principal STRING, group STRING")
+    rows = spark.createDataFrame([("x",), ("y",), (None,)], "dept STRING")
+    for who, seen in (("ann", 3), ("eve", 1)):
+        member = membership_table(nested_membership(direct), who)("21_x")
+        assert filter_rows(rows, "dept", "x", member).count() == seen

@@ -8,6 +8,7 @@ import hashlib
 import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,11 @@ WIDE_SPACE = re.compile(r"\s (?!\S)")
 CACHE = 150_000
 #: Ids that are decoded at once.
 BLOCK = 8_192
+#: Characters of texts that are encoded together, and the longest inputs in bytes that are
+#: read side by side, so many at once.
+TOGETHER, SIDE_BY_SIDE, ABREAST = 2_000_000, 32, 20_000
+#: Visits after which a transition is kept, where inputs that lack one are read side by side.
+VISITS = 16
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -46,8 +52,44 @@ def pieces(text: str) -> list[str] | None:
     return [first, *map(" ".__add__, rest)] if first else list(map(" ".__add__, rest))
 
 
+class Table:
+    """Whole numbers to places in an array of keys, looked up many at once. Keys are not negative."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(len(keys)).bit_length() + 2)
+        self.keys = np.full((1 << self.bits) + len(keys), -1, dtype=np.int64)
+        self.places = np.full(len(self.keys), -1, dtype=np.int32)
+        left = np.arange(len(keys))
+        at = self.hashed(keys)
+        while len(left):
+            free = self.keys[at] < 0
+            self.places[at[free]] = left[free]  # of several that want one slot, one gets it
+            lucky = self.places[at] == left
+            self.keys[at[lucky]] = keys[left[lucky]]
+            left, at = left[~lucky], at[~lucky] + 1
+
+    def hashed(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key; -1 where there is none."""
+        at = self.hashed(keys)
+        there = self.keys[at]
+        found = np.where(there == keys, self.places[at], -1)
+        left = np.flatnonzero((there != keys) & (there >= 0))
+        while len(left):
+            at = at[left] + 1 if len(at) == len(keys) else at + 1
+            there = self.keys[at]
+            same = there == keys[left]
+            found[left[same]] = self.places[at[same]]
+            still = ~same & (there >= 0)
+            left, at = left[still], at[still]
+        return found
+
+
 class State(dict):
-    """Transitions by byte, and what they are built from. A byte seen once maps to None.
+    """Transitions by byte, and what they are built from. ``~byte`` maps to visits without a transition.
 
     ``last``: the token written last. ``opens``: positions in the bytes since then where
     a token may still start, with the node of the tokens' tree reached from there.
@@ -65,15 +107,15 @@ class Transducer:
     the last token before it; it is unique. Positions where a longer token could still
     start stay open. What all open positions have in common is written, so a state is the
     last written token and the bytes after it: the lookahead is bounded by the longest
-    token. A transition is built when a byte follows a state for the second time; at the
-    first, the rest of the input is read by the same rules without keeping states. All
-    are thrown away together when there are ``most_states``.
+    token. A transition is built when a byte follows a state for the ``visits``-th time;
+    before, the input is read by the same rules without keeping states. All are thrown
+    away together when there are ``most_states``.
     """
 
     END = 256
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 100_000, most_pairs: int = 600_000):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 100_000, most_pairs: int = 600_000, visits: int = 2):
+        self.ranks, self.visits = ranks, visits
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.most_states, self.most_pairs = most_states, most_pairs
         # The tree of all tokens: node and byte to the node reached (shifted, to add a byte to),
@@ -86,6 +128,18 @@ class Transducer:
         self.child = {
             nodes[name[:-1]] | name[-1]: (node, ranks.get(name, -1), name in inner) for name, node in nodes.items() if name
         }
+        # The same tree, and all pairs of tokens that make a token, for many inputs at once.
+        self.tree = Table(np.fromiter(self.child, dtype=np.int64, count=len(self.child)))
+        self.reached, self.ends, self.more = (np.array(x) for x in zip(*self.child.values()))
+        joins = {
+            ranks[token[:k]] << 20 | ranks[token[k:]]: rank
+            for token, rank in ranks.items() for k in range(1, len(token)) if token[:k] in ranks and token[k:] in ranks
+        }
+        self.joins = Table(np.fromiter(joins, dtype=np.int64, count=len(joins)))
+        never = max(ranks.values(), default=0) + 1
+        self.joined = np.append(np.fromiter(joins.values(), dtype=np.int64, count=len(joins)), never)
+        # Of each token the two that it is joined from: -1 for single bytes, -2 not known yet.
+        self.left_half, self.right_half = np.full((2, never), -2, dtype=np.int64)
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[int, bool] = {}
         self.states: dict[tuple[int, bytes], State] = {}
@@ -207,16 +261,93 @@ class Transducer:
             p = starts[p]
         return out[::-1]
 
+    def all_valid(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """``valid`` of many pairs."""
+        answer = np.ones(len(x), dtype=bool)
+        left = np.arange(len(x))
+        never = len(self.left_half)
+        taken_x = np.full(len(x), never)
+        taken_y = taken_x.copy()
+        while len(left):
+            across = self.joined[self.joins.find(x << 20 | y)]
+            joins = (across < taken_x) & (across <= taken_y)
+            answer[left[joins]] = False
+            for token in np.unique(np.concatenate([x[self.right_half[x] == -2], y[self.right_half[y] == -2]])).tolist():
+                self.left_half[token], self.right_half[token] = self.halves_of(token) or (-1, -1)
+            inner_x, inner_y = self.right_half[x], self.left_half[y]
+            by_x = (inner_x >= 0) & ((inner_y < 0) | (x > y))
+            taken_x, taken_y = np.where(by_x, x, taken_x), np.where(by_x, taken_y, y)
+            on = ~joins & ((inner_x >= 0) | (inner_y >= 0))
+            x, y = np.where(by_x, inner_x, x)[on], np.where(by_x, y, inner_y)[on]
+            left, taken_x, taken_y = left[on], taken_x[on], taken_y[on]
+        return answer
+
+    def side_by_side(self, inputs: list[bytes]) -> list[list[int]]:
+        """``rest`` from the start for many inputs: the rules of ``read``, a byte of each at a time."""
+        sizes = np.array([len(data) for data in inputs])
+        order = np.argsort(-sizes, kind="stable")
+        sizes = sizes[order]
+        steps, count = int(sizes[0]), len(inputs)
+        grid = np.frombuffer(b"".join([inputs[i].ljust(steps, b"\0") for i in order]), dtype=np.uint8)
+        grid = grid.reshape(count, steps).T.astype(np.int64)
+        starts, tokens = np.zeros((steps + 1, count), dtype=np.int64), np.full((steps + 1, count), -1)
+        # The open positions of all inputs, those that begin first in front.
+        which, opened, node = np.arange(count), np.zeros(count, dtype=np.int64), np.zeros(count, dtype=np.int64)
+        for t in range(steps):
+            active = int(np.searchsorted(-sizes, -t))  # inputs that are longer
+            place = self.tree.find(node | grid[t, which])
+            on = (place >= 0) & (which < active)
+            which, opened, place = which[on], opened[on], place[on]
+            whole = np.flatnonzero(self.ends[place] >= 0)
+            token, of, start = self.ends[place[whole]], which[whole], opened[whole]
+            before = tokens[start, of]
+            fits = before < 0
+            asked = np.flatnonzero(~fits)
+            fits[asked] = self.all_valid(before[asked], token[asked])
+            chosen = np.flatnonzero(fits)[::-1]  # the first of an input is written last
+            starts[t + 1, of[chosen]], tokens[t + 1, of[chosen]] = start[chosen], token[chosen]
+            if (tokens[t + 1, :active] < 0).any():
+                raise ValueError("the ranks lack single bytes")
+            more = self.more[place]
+            which = np.concatenate([which[more], np.arange(active)])
+            opened = np.concatenate([opened[more], np.full(active, t + 1)])
+            node = np.concatenate([self.reached[place[more]], np.zeros(active, dtype=np.int64)])
+        found: list[list[int]] = [[]] * count
+        for lane, (i, p, start, token) in enumerate(zip(order.tolist(), sizes.tolist(), starts.T.tolist(), tokens.T.tolist())):
+            out = []
+            while p:
+                out.append(token[p])
+                p = start[p]
+            found[i] = out[::-1]
+        return found
+
+    def encode_all(self, inputs: list[bytes]) -> list[list[int]]:
+        """As ``encode`` of each; what is met for the first time is read side by side."""
+        found = [self.walk(data) if len(data) <= SIDE_BY_SIDE else self.encode(data) for data in inputs]
+        new = [i for i, ids in enumerate(found) if ids is None]
+        new.sort(key=lambda i: len(inputs[i]))
+        for k in range(0, len(new), ABREAST):
+            part = new[k : k + ABREAST]
+            for i, ids in zip(part, self.side_by_side([inputs[i] for i in part])):
+                found[i] = ids
+        return found
+
     def encode(self, data: bytes) -> list[int]:
+        found = self.walk(data)
+        return self.rest(self.start, data) if found is None else found
+
+    def walk(self, data: bytes) -> list[int] | None:
+        """By transitions that are kept, or are due to be; None at the first that is neither."""
         if len(self.states) > self.most_states:
             self.reset()
         state, key, out = self.start, (-1, b""), []
-        for at, byte in enumerate(data):
+        for byte in data:
             found = state.get(byte)
             if found is None:
-                if byte not in state:
-                    state[byte] = None
-                    return out + self.rest(state, data[at:])
+                visits = state.get(~byte, 0) + 1
+                if visits < self.visits:
+                    state[~byte] = visits
+                    return None
                 found = self.step(state, key, byte)
             state, key, tokens = found
             if tokens:
@@ -241,11 +372,17 @@ class Cache:
             found = self.old.get(key)
             if found is None:
                 found = self.compute(key)
-            if len(self.new) >= self.most:
-                self.old, self.new = self.new, {}
-            self.new[key] = found
+            self.put(key, found)
         return found
 
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.most:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+
+    def lacking(self, keys: set) -> list:
+        return [k for k in keys if k not in self.new and k not in self.old]
+
     def all(self, keys: list) -> list:
         known, other = self.new.get, self.__getitem__
         return [known(k) or other(k) for k in keys]
@@ -255,7 +392,7 @@ class Encoder:
     """Whole texts to ids. What stands between spaces is encoded once while it is cached."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer = Transducer(ranks)
+        self.transducer = Transducer(ranks, visits=VISITS)
         self.split = space_exact(pattern)
         self.matches = Cache(lambda match: self.transducer.encode(match.encode("utf-8")), 250_000)
         self.known = Cache(lambda piece: self.both_forms(self.ids(piece)), 250_000)
@@ -274,9 +411,38 @@ class Encoder:
         parts = pieces(text)
         if parts is None:
             return self.both_forms(self.ids(text))
+        return self.joined(parts)
+
+    def joined(self, parts: list[str]) -> tuple[str, bytes]:
         found = self.known.all(parts)
         return " ".join([f[0] for f in found]), b"".join([f[1] for f in found])
 
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """As ``encode`` of each. What none of the caches holds is encoded at once, for some texts at a time."""
+        k = 0
+        while k < len(texts):
+            first, held = k, 0
+            while k < len(texts) and (k == first or held + len(texts[k]) <= TOGETHER):
+                held += len(texts[k])
+                k += 1
+            cut = [pieces(t) for t in texts[first:k]]
+            new = self.known.lacking({p for parts in cut if parts for p in parts})
+            split = [self.split.findall(p) for p in new]
+            wide = {i: self.split.findall(texts[first + i]) for i, parts in enumerate(cut) if parts is None}
+            met = self.matches.lacking({m for found in (*split, *wide.values()) for m in found})
+            ids_of = dict(zip(met, self.transducer.encode_all([m.encode("utf-8") for m in met])))
+            for match, ids in ids_of.items():
+                self.matches.put(match, ids)
+            recent = lambda m: ids_of.get(m) or self.matches[m]
+            at = 0
+            flat = [[i for m in found for i in recent(m)] for found in split]
+            numbers = np.fromiter(chain.from_iterable(flat), dtype="<u4").tobytes()
+            for piece, ids in zip(new, flat):
+                self.known.put(piece, (" ".join(map(str, ids)), numbers[at : at + 4 * len(ids)]))
+                at += 4 * len(ids)
+            for i, parts in enumerate(cut):
+                yield self.joined(parts) if parts is not None else self.both_forms([j for m in wide[i] for j in recent(m)])
+
 
 class Utf8Machine:
     """Bytes in any cuts to text. Its state is the sequence begun but not ended.
@@ -343,7 +509,8 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(shared.value, "encoder", lambda: Encoder(shared.value["ranks"], pattern))
         for batch in batches:
-            ids = [np.frombuffer(encoder.encode(t.as_py())[1], dtype="<u4").astype(np.int32) for t in batch["text"]]
+            found = encoder.encode_all(batch["text"].to_pylist())
+            ids = [np.frombuffer(packed, dtype="<u4").astype(np.int32) for _, packed in found]
             yield pa.record_batch({"doc_id": batch["doc_id"], "ids": pa.array(ids, pa.list_(pa.int32()))})
 
     return _texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
@@ -381,9 +548,8 @@ def round_trips(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataF
         gc.disable()  # caches hold no cycles, and collecting them again and again takes long
         for batch in batches:
             counts, of_ids, of_bytes, same = [], [], [], []
-            for value in batch["text"]:
-                text = value.as_py()
-                decimal, packed = encoder.encode(text)
+            texts = batch["text"].to_pylist()
+            for text, (decimal, packed) in zip(texts, encoder.encode_all(texts)):
                 machine, digest, at, equal = Utf8Machine(), hashlib.sha256(), 0, True
                 for block in decoded_blocks(packed, token_bytes):
                     digest.update(block)

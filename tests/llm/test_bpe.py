@@ -64,6 +64,32 @@ def test_utf8_in_any_cuts(data, cuts):
     assert text == data.decode("utf-8", "replace")
 
 
+def test_first_visits_are_read_together(monkeypatch):
+    """New inputs of any length up to the bound, and texts cut into any groups, as the library encodes them."""
+    rng = random.Random(8)
+    letters = "etaoinshrdlu ETAOIN.,'0é好\u00a0\n"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 400))) for _ in range(300)]
+    texts += ["", "  ", "x" * 500, "the cat  sat", *texts[:50]]
+    want = [LIBRARY.encode_ordinary(t) for t in texts]
+    for most in (1, 3_000, bpe.TOGETHER):
+        monkeypatch.setattr(bpe, "TOGETHER", most)
+        found = list(bpe.Encoder(RANKS, PATTERN).encode_all(texts))
+        assert [np.frombuffer(packed, "<u4").tolist() for _, packed in found] == want
+        assert [decimal for decimal, _ in found] == [" ".join(map(str, ids)) for ids in want]
+    machine = bpe.Transducer(RANKS, visits=1_000)
+    monkeypatch.setattr(machine, "rest", None)  # none is read by itself
+    data = [bytes(rng.choice(b"etaoin shrdlu\xc3\xa9") for _ in range(rng.randint(1, bpe.SIDE_BY_SIDE))) for _ in range(2_000)]
+    assert machine.encode_all(data) == [LIBRARY._encode_single_piece(d) for d in data]
+
+
+def test_table_of_numbers():
+    keys = np.unique(np.random.default_rng(3).integers(0, 1 << 40, 5_000))
+    table = bpe.Table(keys)
+    assert table.find(keys).tolist() == list(range(len(keys)))
+    others = np.setdiff1d(keys + 1, keys)
+    assert (table.find(others) == -1).all() and bpe.Table(keys[:0]).find(keys).max() == -1
+
+
 def test_round_trips(docs):
     found = bpe.round_trips(docs(ODD), RANKS, PATTERN).collect()
     want = []

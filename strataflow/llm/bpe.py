@@ -12,6 +12,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -24,9 +25,10 @@ WIDE_SPACE = re.compile(r"\s (?!\S)")
 CACHE = 150_000
 #: Ids that are decoded at once.
 BLOCK = 8_192
-#: Characters of texts that are encoded together, and the longest inputs in bytes that are
-#: read side by side, so many at once.
-TOGETHER, SIDE_BY_SIDE, ABREAST = 2_000_000, 32, 20_000
+#: Characters of texts that are encoded together, and pieces that are joined again at once.
+TOGETHER, PIECES = 16_000_000, 200_000
+#: The longest inputs in bytes that are read side by side, so many at once.
+SIDE_BY_SIDE, ABREAST = 32, 20_000
 #: Visits after which a transition is kept, where inputs that lack one are read side by side.
 VISITS = 16
 
@@ -394,6 +396,10 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks, visits=VISITS)
         self.split = space_exact(pattern)
+        width = len(str(len(self.transducer.left_half))) + 1
+        numbers = [f"{i} ".encode() for i in range(len(self.transducer.left_half))]
+        self.widths = np.array([len(n) for n in numbers], dtype=np.int64)
+        self.digits = np.frombuffer(b"".join([n.ljust(width, b"\0") for n in numbers]), dtype=np.uint8).reshape(-1, width)
         self.matches = Cache(lambda match: self.transducer.encode(match.encode("utf-8")), 250_000)
         self.known = Cache(lambda piece: self.both_forms(self.ids(piece)), 250_000)
 
@@ -411,9 +417,6 @@ class Encoder:
         parts = pieces(text)
         if parts is None:
             return self.both_forms(self.ids(text))
-        return self.joined(parts)
-
-    def joined(self, parts: list[str]) -> tuple[str, bytes]:
         found = self.known.all(parts)
         return " ".join([f[0] for f in found]), b"".join([f[1] for f in found])
 
@@ -425,23 +428,55 @@ class Encoder:
             while k < len(texts) and (k == first or held + len(texts[k]) <= TOGETHER):
                 held += len(texts[k])
                 k += 1
-            cut = [pieces(t) for t in texts[first:k]]
-            new = self.known.lacking({p for parts in cut if parts for p in parts})
-            split = [self.split.findall(p) for p in new]
-            wide = {i: self.split.findall(texts[first + i]) for i, parts in enumerate(cut) if parts is None}
-            met = self.matches.lacking({m for found in (*split, *wide.values()) for m in found})
-            ids_of = dict(zip(met, self.transducer.encode_all([m.encode("utf-8") for m in met])))
-            for match, ids in ids_of.items():
-                self.matches.put(match, ids)
-            recent = lambda m: ids_of.get(m) or self.matches[m]
-            at = 0
-            flat = [[i for m in found for i in recent(m)] for found in split]
-            numbers = np.fromiter(chain.from_iterable(flat), dtype="<u4").tobytes()
-            for piece, ids in zip(new, flat):
-                self.known.put(piece, (" ".join(map(str, ids)), numbers[at : at + 4 * len(ids)]))
-                at += 4 * len(ids)
-            for i, parts in enumerate(cut):
-                yield self.joined(parts) if parts is not None else self.both_forms([j for m in wide[i] for j in recent(m)])
+            yield from self.together(texts[first:k])
+
+    def together(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Arrow cuts the texts at spaces and numbers the different pieces; each is encoded once."""
+        # A piece begins with the space before it, but for the first of a text. A text that
+        # must not be cut is a first piece.
+        whole = [WIDE_SPACE.search(text) is not None for text in texts]
+        cut = pc.split_pattern(pa.array(["" if w else text for w, text in zip(whole, texts)], pa.large_string()), " ")
+        words = cut.values.dictionary_encode()
+        begin, code = cut.offsets.to_numpy(), words.indices.to_numpy().copy()
+        units = [" " + word for word in words.dictionary.to_pylist()]
+        code[begin[:-1]] = len(units) + np.arange(len(texts))
+        units += [text if w else text.partition(" ")[0] for w, text in zip(whole, texts)]
+
+        split = list(map(self.split.findall, units))
+        met = set(chain.from_iterable(split))
+        new = self.matches.lacking(met)
+        ids_of = dict(zip(new, self.transducer.encode_all([m.encode("utf-8") for m in new])))
+        for match in met:
+            if match in ids_of:
+                self.matches.put(match, ids_of[match])
+            else:
+                ids_of[match] = self.matches[match]
+        flat = [ids_of[found[0]] if len(found) == 1 else [i for m in found for i in ids_of[m]] for found in split]
+        sizes = np.fromiter(map(len, flat), dtype=np.int64, count=len(flat))
+        known = np.fromiter(chain.from_iterable(flat), dtype="<u4", count=int(sizes.sum()))
+        starts = np.cumsum(sizes) - sizes
+
+        first = 0
+        while first < len(texts):  # so many texts at once as have some pieces
+            last = max(first + 1, int(np.searchsorted(begin, begin[first] + PIECES, "right")) - 1)
+            chosen = code[begin[first] : begin[last]]
+            ids = gathered(known, starts, sizes, chosen)
+            ends = np.append(0, np.cumsum(sizes[chosen]))[begin[first : last + 1] - begin[first]]
+            # Decimal numbers, each with a space after it.
+            digits = self.digits[ids]
+            decimal = digits[digits > 0].tobytes().decode("ascii")
+            places = np.append(0, np.cumsum(self.widths[ids]))[ends].tolist()
+            packed, ends = ids.tobytes(), (4 * ends).tolist()
+            for k in range(last - first):
+                yield decimal[places[k] : max(places[k], places[k + 1] - 1)], packed[ends[k] : ends[k + 1]]
+            first = last
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The chosen runs of values, one after the other."""
+    size = sizes[chosen]
+    shift = starts[chosen] - (np.cumsum(size) - size)
+    return values[np.repeat(shift, size) + np.arange(int(size.sum()))]
 
 
 class Utf8Machine:
@@ -495,11 +530,24 @@ def kept(held: dict, name: str, make):
     return held[name]
 
 
-def decoded_blocks(packed: bytes, token_bytes: dict[int, bytes]) -> Iterator[bytes]:
-    """The bytes of ids, block by block."""
-    ids = np.frombuffer(packed, dtype="<u4")
-    for k in range(0, len(ids), BLOCK):
-        yield b"".join(map(token_bytes.__getitem__, ids[k : k + BLOCK].tolist()))
+class Spelling:
+    """The bytes of every id, one after the other, for many ids at once."""
+
+    def __init__(self, bytes_of: dict[int, bytes]):
+        spelled = [bytes_of.get(i) for i in range(max(bytes_of, default=-1) + 1)]
+        self.sizes = np.array([-1 if x is None else len(x) for x in spelled], dtype=np.int64)
+        self.bytes = np.frombuffer(b"".join([x or b"" for x in spelled]), dtype=np.uint8)
+        held = np.maximum(self.sizes, 0)
+        self.starts = np.cumsum(held) - held
+
+    def blocks(self, packed: bytes) -> Iterator[bytes]:
+        """The bytes of ids, block by block."""
+        ids = np.frombuffer(packed, dtype="<u4")
+        for k in range(0, len(ids), BLOCK):
+            block = ids[k : k + BLOCK]
+            if (self.sizes[block] < 0).any():
+                raise KeyError("an id that the ranks lack")
+            yield gathered(self.bytes, self.starts, self.sizes, block).tobytes()
 
 
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
@@ -520,15 +568,15 @@ def decode_documents(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``doc_id`` and ``text`` of documents given as ``ids``; null ids give an empty text."""
     shared = tokens.sparkSession.sparkContext.broadcast(ranks)
 
-    def text_of(ids: list[int] | None, token_bytes: dict[int, bytes]) -> str:
+    def text_of(ids: list[int] | None, spelling: Spelling) -> str:
         machine = Utf8Machine()
         packed = np.array(ids or [], dtype="<u4").tobytes()
-        return "".join([machine.feed(b) for b in decoded_blocks(packed, token_bytes)]) + machine.end()
+        return "".join([machine.feed(b) for b in spelling.blocks(packed)]) + machine.end()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_bytes = {rank: token for token, rank in shared.value.items()}
+        spelling = Spelling({rank: token for token, rank in shared.value.items()})
         for batch in batches:
-            texts = [text_of(ids.as_py(), token_bytes) for ids in batch["ids"]]
+            texts = [text_of(ids.as_py(), spelling) for ids in batch["ids"]]
             yield pa.record_batch({"doc_id": batch["doc_id"], "text": pa.array(texts, pa.string())})
 
     return tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, text string")
@@ -544,14 +592,14 @@ def round_trips(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(shared.value, "encoder", lambda: Encoder(shared.value["ranks"], pattern))
-        token_bytes = encoder.transducer.bytes_of
+        spelling = kept(shared.value, "spelling", lambda: Spelling(encoder.transducer.bytes_of))
         gc.disable()  # caches hold no cycles, and collecting them again and again takes long
         for batch in batches:
             counts, of_ids, of_bytes, same = [], [], [], []
             texts = batch["text"].to_pylist()
             for text, (decimal, packed) in zip(texts, encoder.encode_all(texts)):
                 machine, digest, at, equal = Utf8Machine(), hashlib.sha256(), 0, True
-                for block in decoded_blocks(packed, token_bytes):
+                for block in spelling.blocks(packed):
                     digest.update(block)
                     back = machine.feed(block)
                     equal = equal and text.startswith(back, at)

@@ -17,6 +17,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strataflow.llm.bpe import kept
@@ -29,18 +30,28 @@ HEAD, CLASS_WORDS, EMBEDDING, STATE = 4_096, 64, 24, 24
 #: broadcast is bounded. Counts of all others are joined.
 HELD_WORDS, HELD_BYTES = 100_000, 64
 SHAPES = 32
+#: Rows of a block: words of one class that are scored by one product of matrices.
+BLOCK = 24
 PUNCTUATION = frozenset(b".,;:!?|)\"'")
+BYTE_KINDS = np.array([4 * (b > 127) + 2 * (b in b"0123456789") for b in range(256)], dtype=np.int32)
+IS_PUNCTUATION = np.array([b in PUNCTUATION for b in range(256)], dtype=np.int32)
 #: Training texts are cut into stretches of up to so many tokens that cover them whole;
 #: gradients reach back over a window, the state is carried from window to window.
 STRETCH, WINDOW, LANES = 512, 16, 128
 #: Tokens that one trainer takes, rounds of training and averaging, step size.
 TRAINER_TOKENS, ROUNDS, RATE = 1 << 22, 3, 0.008
-#: Numbers of stretches that a task gathers before it passes them on.
-PASSED_ON = 1 << 20
+#: Bytes of text that are taken apart at once.
+PIECE = 1 << 23
 #: Tokens of a window and texts side by side when scoring.
 SCORE_WINDOW, SCORE_LANES = 32, 256
-#: Numbers of a model that travel in one row, and words without held counts in one batch.
-CHUNK, RARE_ROWS = 4_096, 20_000
+#: Numbers of a model that travel in one row.
+CHUNK = 4_096
+
+
+def keep_freed_memory() -> None:
+    """The C library gives large arrays back to the system each time, to be faulted in again,
+    until one of this size was freed; then it keeps them."""
+    np.empty(30 << 20, dtype=np.uint8)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -61,26 +72,53 @@ def held_out(folds: int = 7, held: int = 2) -> Column:
     return F.crc32(text.cast("binary")) % folds == held
 
 
-def word_counts(texts: DataFrame, most: int = 200_000) -> DataFrame:
-    """``word, shape, n`` over all texts. A task counts up to ``most`` words before it passes them on."""
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``words_of`` each text, one after the other, and how many each text has."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, sizes = found.flatten(), np.diff(found.offsets.to_numpy())
+    filled = pc.binary_length(words).to_numpy() > 0
+    if not filled.all():
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[filled], minlength=len(sizes))
+        words = words.filter(pa.array(filled))
+    return words.cast(pa.binary()), sizes
+
+
+def shapes_of(words: pa.Array) -> np.ndarray:
+    """``shape_of`` each word, from the bytes of all; no word is empty."""
+    if not len(words):
+        return np.zeros(0, dtype=np.int32)
+    _, offsets, held = words.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int32)[words.offset : words.offset + len(words) + 1]
+    text = np.frombuffer(held, dtype=np.uint8)[ends[0] : ends[-1]]
+    starts = ends[:-1] - ends[0]
+    size = np.minimum(3, (np.diff(ends) - 1) // 4) * 8
+    return size + np.bitwise_or.reduceat(BYTE_KINDS[text], starts) + IS_PUNCTUATION[text[ends[1:] - ends[0] - 1]]
+
+
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch by runs of rows of about ``PIECE`` bytes of text."""
+    ends = np.cumsum(pc.binary_length(batch["text"]).to_numpy().astype(np.int64))
+    start = 0
+    while start < len(ends):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + PIECE, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
 
-    def rows(seen: Counter) -> pa.RecordBatch:
-        return pa.record_batch({
-            "word": pa.array(list(seen), pa.binary()),
-            "shape": pa.array([shape_of(w) if w else -1 for w in seen], pa.int32()),
-            "n": pa.array(list(seen.values()), pa.int64()),
-        })
+def word_counts(texts: DataFrame) -> DataFrame:
+    """``word, shape, n`` over all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
+        keep_freed_memory()
         for batch in batches:
-            for text in batch["text"]:
-                seen.update(words_of(text.as_py()))
-                if len(seen) > most:
-                    yield rows(seen)
-                    seen.clear()
-            seen[END] += batch.num_rows
-        yield rows(seen)
+            for piece in pieces(batch):
+                seen = words_in(piece["text"])[0].value_counts()
+                words, numbers = seen.field("values"), seen.field("counts")
+                yield pa.record_batch({
+                    "word": pa.concat_arrays([words, pa.array([END], pa.binary())]),
+                    "shape": pa.array(np.append(shapes_of(words), -1), pa.int32()),
+                    "n": pa.array(np.append(numbers.to_numpy(), piece.num_rows), pa.int64()),
+                })
 
     found = texts.select("text").mapInArrow(run, "word binary, shape int, n long")
     return found.groupBy("word", "shape").agg(F.sum("n").alias("n"))
@@ -186,48 +224,73 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def gru(w: dict, inputs: np.ndarray, state: np.ndarray, fresh: np.ndarray | None, projected: np.ndarray | None = None):
     """States after each step [step, lane, state], and what the way back needs.
 
-    ``fresh`` marks the steps at which a lane begins a new text, with an empty state.
+    ``fresh`` marks the steps at which a lane begins a new text, with an empty state. Lanes
+    lie side by side in memory, so that a gate of all lanes is one stretch of numbers.
     """
-    size = STATE
-    steps, lanes = inputs.shape
-    states = np.empty((steps, lanes, size), dtype=np.float32)
-    trail = []
+    size, (steps, lanes) = STATE, inputs.shape
+    vectors = None
+    if projected is None:
+        vectors = w["embed"][inputs]
+        into = w["input"].T @ vectors.transpose(0, 2, 1)
+        into += w["gates"][:, None]
+    else:
+        into = np.ascontiguousarray(projected[inputs].transpose(0, 2, 1))
+    recur = np.ascontiguousarray(w["recur"].T)
+    first = state = np.ascontiguousarray(state.T, dtype=recur.dtype)
+    held = np.empty((steps, 3 * size, lanes), dtype=recur.dtype)
+    gates = np.empty((steps, 2 * size, lanes), dtype=recur.dtype)
+    new, states = (np.empty((steps, size, lanes), dtype=recur.dtype) for _ in range(2))
     for t in range(steps):
         if fresh is not None:
-            state = state * ~fresh[t][:, None]
-        into = projected[inputs[t]] if projected is not None else w["embed"][inputs[t]] @ w["input"] + w["gates"]
-        held = state @ w["recur"]
-        both = sigmoid(into[:, : 2 * size] + held[:, : 2 * size])
-        update, reset = both[:, :size], both[:, size:]
-        new = np.tanh(into[:, 2 * size :] + reset * held[:, 2 * size :])
-        following = new + update * (state - new)
-        if projected is None:
-            trail.append((state, update, reset, new, held[:, 2 * size :]))
-        state = states[t] = following
-    return states, state, trail
-
-
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
-
-
-def by_class(targets: np.ndarray, head: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of the network's own words among the targets, class by class."""
+            state = state * ~fresh[t]
+        np.matmul(recur, state, out=held[t])
+        both = sigmoid(np.add(into[t, : 2 * size], held[t, : 2 * size], out=gates[t]))
+        np.multiply(both[size:], held[t, 2 * size :], out=new[t])
+        new[t] += into[t, 2 * size :]
+        np.tanh(new[t], out=new[t])
+        following = np.subtract(state, new[t], out=states[t])
+        following *= both[:size]
+        following += new[t]
+        state = following
+    return states.transpose(0, 2, 1), state.T, (vectors, first, states, gates, new, held[:, 2 * size :])
+
+
+def blocks_of(targets: np.ndarray, head: int, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The network's own words among the targets, dealt to blocks of one class each: their
+    places, their rows in the blocks, and the class of each block."""
     places = np.flatnonzero((targets >= 0) & (targets < head))
-    classes = targets[places] // CLASS_WORDS
-    order = np.argsort(classes, kind="stable")
-    places, classes = places[order], classes[order]
-    cuts = np.flatnonzero(np.diff(classes)) + 1
-    for part in np.split(places, cuts):
-        if len(part):
-            yield int(targets[part[0]] // CLASS_WORDS), part
+    own = targets[places] // CLASS_WORDS
+    order = np.argsort(own.astype(np.int16), kind="stable")
+    places, own = places[order], own[order]
+    sizes = np.bincount(own, minlength=classes)
+    blocks = -(-sizes // BLOCK)
+    shift = (np.cumsum(blocks) - blocks) * BLOCK - (np.cumsum(sizes) - sizes)
+    return places, np.arange(len(places)) + shift[own], np.repeat(np.arange(classes), blocks)
+
+
+def block_logits(w: dict, states: np.ndarray, places: np.ndarray, rows: np.ndarray, kinds: np.ndarray):
+    """States in blocks, the words of each block's class, and the logits [block, row, word]."""
+    held = np.zeros((len(kinds) * BLOCK, STATE), dtype=w["word"].dtype)
+    held[rows] = states[places]
+    held = held.reshape(-1, BLOCK, STATE)
+    words = w["word"].reshape(-1, CLASS_WORDS, STATE)[kinds]
+    logits = held @ words.transpose(0, 2, 1)
+    logits += w["word_bias"].reshape(-1, CLASS_WORDS)[kinds][:, None]
+    return held, words, logits
 
 
 def class_of(targets: np.ndarray, head: int, classes: int) -> np.ndarray:
     return np.where(targets < head, targets // CLASS_WORDS, classes + targets - head)
 
 
+def scaled_softmax(x: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Softmax of each row times its number in ``scale``, in place."""
+    x -= x.max(1)[:, None]
+    np.exp(x, out=x)
+    x *= (scale / (x @ np.ones(x.shape[1], dtype=x.dtype)))[:, None]
+    return x
+
+
 def log_chosen(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log-softmax of each row's chosen entry; ``x`` is used up."""
     x -= x.max(1)[:, None]
@@ -244,55 +307,78 @@ def log_chances(w: dict, states: np.ndarray, targets: np.ndarray, head: int) ->
     logits = states @ w["class"]
     logits += w["class_bias"]
     found = np.where(here, log_chosen(logits, np.where(here, class_of(targets, head, classes), 0)), 0.0)
-    for k, part in by_class(targets, head):
-        own = slice(k * CLASS_WORDS, (k + 1) * CLASS_WORDS)
-        logits = states[part] @ w["word"][own].T
-        logits += w["word_bias"][own]
-        found[part] += log_chosen(logits, targets[part] - k * CLASS_WORDS)
+    places, rows, kinds = blocks_of(targets, head, classes)
+    if len(places):
+        logits = block_logits(w, states, places, rows, kinds)[2].reshape(-1, CLASS_WORDS)
+        chosen = np.zeros(len(logits), dtype=np.int64)
+        chosen[rows] = targets[places] % CLASS_WORDS
+        found[places] += log_chosen(logits, chosen)[rows]
     return found
 
 
 def gradients(w: dict, inputs: np.ndarray, targets: np.ndarray, state: np.ndarray, head: int):
     """Gradients of the mean loss over one window, and the state after it."""
-    steps, lanes = inputs.shape
-    states, last, trail = gru(w, inputs, state, None)
-    flat, want = states.reshape(-1, STATE), targets.ravel()
+    size, (steps, lanes) = STATE, inputs.shape
+    states, last, (vectors, first, after, gates, new, held) = gru(w, inputs, state, None)
+    flat, want = states.reshape(-1, size), targets.ravel()
     classes = len(w["class_bias"]) - SHAPES
     here = want >= 0
-    total = max(1, int(here.sum()))
-    g = {name: np.zeros_like(value) for name, value in w.items()}
-    slope = np.exp(log_softmax(flat @ w["class"] + w["class_bias"]))
-    slope[np.arange(len(want)), np.where(here, class_of(want, head, classes), 0)] -= 1
-    slope *= here[:, None] / total
+    scale = here * flat.dtype.type(1 / max(1, int(here.sum())))
+    g = {}
+    slope = flat @ w["class"]
+    slope += w["class_bias"]
+    scaled_softmax(slope, scale)
+    slope[np.arange(len(want)), np.where(here, class_of(want, head, classes), 0)] -= scale
     g["class"], g["class_bias"] = flat.T @ slope, slope.sum(0)
     back = slope @ w["class"].T
-    for k, part in by_class(want, head):
-        own = slice(k * CLASS_WORDS, (k + 1) * CLASS_WORDS)
-        inner = np.exp(log_softmax(flat[part] @ w["word"][own].T + w["word_bias"][own]))
-        inner[np.arange(len(part)), want[part] - k * CLASS_WORDS] -= 1
-        inner /= total
-        g["word"][own] += inner.T @ flat[part]
-        g["word_bias"][own] += inner.sum(0)
-        back[part] += inner @ w["word"][own]
-    back = back.reshape(steps, lanes, STATE)
-    carried = np.zeros((lanes, STATE), dtype=np.float32)
-    size = STATE
-    into = np.empty((steps, lanes, 3 * size), dtype=np.float32)
+    g["word"], g["word_bias"] = np.zeros_like(w["word"]), np.zeros_like(w["word_bias"])
+    places, rows, kinds = blocks_of(want, head, classes)
+    if len(places):
+        given, words, slope = block_logits(w, flat, places, rows, kinds)
+        used = np.zeros(len(kinds) * BLOCK, dtype=flat.dtype)
+        used[rows] = scale[places]
+        scaled_softmax(slope.reshape(-1, CLASS_WORDS), used)[rows, want[places] % CLASS_WORDS] -= scale[places]
+        of_words, of_biases = slope.transpose(0, 2, 1) @ given, np.ones(BLOCK, dtype=slope.dtype) @ slope
+        g["word"].reshape(-1, CLASS_WORDS, size)[kinds] = of_words
+        g["word_bias"].reshape(-1, CLASS_WORDS)[kinds] = of_biases
+        ends = np.cumsum(np.bincount(kinds, minlength=classes))
+        for k in np.flatnonzero(np.diff(ends, prepend=0) > 1).tolist():
+            part = slice(ends[k - 1] if k else 0, ends[k])
+            g["word"][k * CLASS_WORDS : (k + 1) * CLASS_WORDS] = of_words[part].sum(0)
+            g["word_bias"][k * CLASS_WORDS : (k + 1) * CLASS_WORDS] = of_biases[part].sum(0)
+        back[places] += (slope @ words).reshape(-1, size)[rows]
+    back = np.ascontiguousarray(back.reshape(steps, lanes, size).transpose(0, 2, 1))
+    # What does not hang on later steps is formed for all steps at once.
+    before = np.concatenate([first[None], after[:-1]])
+    update, reset = gates[:, :size], gates[:, size:]
+    of_new = (1 - update) * (1 - new * new)
+    of_update = (before - new) * update * (1 - update)
+    of_reset = held * reset * (1 - reset)
+    into = np.empty((steps, 3 * size, lanes), dtype=flat.dtype)
+    through = np.empty((steps, size, lanes), dtype=flat.dtype)
+    recur, of_held = np.ascontiguousarray(w["recur"][:, : 2 * size]), np.ascontiguousarray(w["recur"][:, 2 * size :])
+    carried = np.zeros((size, lanes), dtype=flat.dtype)
     for t in range(steps - 1, -1, -1):
-        before, update, reset, new, held = trail[t]
-        d = back[t] + carried
-        d_new = d * (1 - update) * (1 - new * new)
-        d_update = d * (before - new) * update * (1 - update)
-        d_reset = d_new * held * reset * (1 - reset)
-        into[t] = np.concatenate([d_update, d_reset, d_new], axis=1)
-        held_slope = np.concatenate([d_update, d_reset, d_new * reset], axis=1)
-        g["recur"] += before.T @ held_slope
-        carried = d * update + held_slope @ w["recur"].T
-    into = into.reshape(-1, 3 * size)
-    seen = inputs.ravel()
-    vectors = w["embed"][seen]
-    g["input"], g["gates"] = vectors.T @ into, into.sum(0)
-    np.add.at(g["embed"], seen, into @ w["input"].T)
+        d = back[t]
+        d += carried
+        np.multiply(d, of_update[t], out=into[t, :size])
+        d_new = np.multiply(d, of_new[t], out=into[t, 2 * size :])
+        np.multiply(d_new, of_reset[t], out=into[t, size : 2 * size])
+        np.multiply(d_new, reset[t], out=through[t])
+        np.matmul(recur, into[t, : 2 * size], out=carried)
+        carried += of_held @ through[t]
+        d *= update[t]
+        carried += d
+    g["recur"] = np.concatenate([
+        (before @ into[:, : 2 * size].transpose(0, 2, 1)).sum(0), (before @ through.transpose(0, 2, 1)).sum(0),
+    ], axis=1)
+    g["input"] = (vectors.transpose(0, 2, 1) @ into.transpose(0, 2, 1)).sum(0)
+    g["gates"] = into.sum((0, 2))
+    order = np.argsort(inputs.ravel(), kind="stable")
+    seen = inputs.ravel()[order]
+    starts = np.flatnonzero(np.diff(seen, prepend=-1))
+    g["embed"] = np.zeros_like(w["embed"])
+    g["embed"][seen[starts]] = np.add.reduceat((into.transpose(0, 2, 1) @ w["input"].T).reshape(-1, EMBEDDING)[order], starts)
     return g, last
 
 
@@ -303,15 +389,24 @@ class Adam:
         self.square = {n: np.zeros_like(x) for n, x in w.items()}
 
     def update(self, w: dict, g: dict) -> None:
+        """``g`` is used up."""
         self.steps += 1
-        norm = math.sqrt(sum(float((x * x).sum()) for x in g.values()))
-        if norm > 1.0:
-            g = {n: x / norm for n, x in g.items()}
+        norm = math.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
+        tenth = 0.1 / max(1.0, norm)
         rate = self.rate * math.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
         for n, x in g.items():
-            self.mean[n] += 0.1 * (x - self.mean[n])
-            self.square[n] += 0.01 * (x * x - self.square[n])
-            w[n] -= rate * self.mean[n] / (np.sqrt(self.square[n]) + 1e-8)
+            mean, square = self.mean[n], self.square[n]
+            x *= tenth
+            mean *= 0.9
+            mean += x
+            x *= x  # a tenth, squared: a hundredth of the square
+            square *= 0.99
+            square += x
+            np.sqrt(square, out=x)
+            x += 1e-8
+            np.divide(mean, x, out=x)
+            x *= rate
+            w[n] -= x
 
 
 def train_on(w: dict, stretches: Iterator[np.ndarray], head: int, optimizer: Adam) -> int:
@@ -347,41 +442,104 @@ def unpacked(flat: np.ndarray, like: dict) -> dict:
     return found
 
 
+def coded(texts: DataFrame, shared) -> DataFrame:
+    """Two kinds of rows. Without ``word``: a text as ``numbers`` of the network, with its end, and
+    its sums over the words whose counts are held. With it: a word that is not, how often the text
+    has it, and its shape."""
+    schema = pa.schema([
+        ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("word", pa.binary()), ("n", pa.int64()),
+        ("shape", pa.int32()), ("known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()), ("numbers", pa.list_(pa.int32())),
+    ])
+
+    def batch_of(rows: int, **columns) -> pa.RecordBatch:
+        arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in schema]
+        return pa.record_batch(arrays, schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed_memory()
+        v = Vocabulary(**shared.value["vocabulary"])
+        coder = kept(shared.value, "coder", lambda: Coder(v))
+        held, none = pa.array(v.words, pa.binary()), len(v.words)
+        c, shapes = np.array(v.counts, dtype=float), np.array(coder.tail, dtype=np.int32)
+        room = np.array(v.shape_tokens) + np.array(v.shape_words) + 1.0
+        base_of = np.append(np.log10((c + 1) / (v.tokens + v.distinct + 1)), 0.0)
+        inner_of = np.append(np.log10((c + 1) / room[shapes]), 0.0)
+        inner_of[: v.head] = 0.0
+        number_of = np.append(np.where(np.arange(none) < v.head, np.arange(none), v.head + shapes), 0).astype(np.int32)
+        known_of = np.append(c > 0, False)
+        for batch in batches:
+            for piece in pieces(batch):
+                words, sizes = words_in(piece["text"])
+                words = words.dictionary_encode()
+                different, which = words.dictionary, words.indices.to_numpy()
+                places = pc.fill_null(pc.index_in(different, value_set=held), none).to_numpy()
+                numbers, lost = number_of[places], places == none
+                shape = np.zeros(len(different), dtype=np.int32)
+                shape[lost] = shapes_of(different.filter(pa.array(lost)))
+                numbers[lost] = v.head + shape[lost]
+                texts = len(sizes)
+                owner = np.repeat(np.arange(texts), sizes)
+                whole = np.zeros(len(which) + texts, dtype=np.int32)  # number 0 is the end
+                whole[np.arange(len(which)) + owner] = numbers[which]
+                ends = np.append(0, np.cumsum(sizes + 1)).astype(np.int32)
+                of = places[which]
+                sums = {k: np.bincount(owner, x[of], texts) + x[0] for k, x in (("known", known_of), ("base", base_of), ("model", inner_of))}
+                sums["known"] = sums["known"].astype(np.int64)
+                yield batch_of(
+                    texts, row=piece["row"], doc_id=piece["doc_id"], held_out=piece["held_out"], n=sizes + 1, **sums,
+                    numbers=pa.ListArray.from_arrays(ends, whole),
+                )
+                rare = np.flatnonzero(of == none)
+                if len(rare):
+                    pairs, n = np.unique(owner[rare] * len(different) + which[rare], return_counts=True)
+                    text, word = np.divmod(pairs, len(different))
+                    yield batch_of(len(n), row=piece["row"].to_numpy()[text], word=different.take(pa.array(word)), n=n, shape=shape[word])
+
+    return texts.select("row", "doc_id", "held_out", "text").mapInArrow(
+        run, "row long, doc_id long, held_out boolean, word binary, n long, shape int, known long, base double, model double, numbers array<int>"
+    )
+
+
 def stretches_of(texts: DataFrame, shared, trainers: int) -> DataFrame:
     """``trainer, turn, numbers``: of each text all its stretches, each with the number before it.
 
-    Stretches are dealt one by one, so that a long text is no single trainer's load.
+    Stretches are dealt one by one, so that a long text is no single trainer's load. Texts
+    without ``numbers`` are coded first.
     """
-
-    def rows(numbers: list, turns: list) -> pa.RecordBatch:
-        dealt = np.array(turns, dtype=np.int64)
-        return pa.record_batch({
-            "trainer": pa.array((dealt % trainers).astype(np.int32)), "turn": pa.array(dealt // trainers % ROUNDS),
-            "numbers": pa.array(numbers, pa.list_(pa.int32())),
-        })
+    if "numbers" not in texts.columns:
+        texts = coded(texts.withColumn("held_out", F.lit(False)), shared).where("word IS NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = kept(shared.value, "coder", lambda: Coder(Vocabulary(**shared.value["vocabulary"])))
         for batch in batches:
-            numbers, turns, held = [], [], 0
-            for text, turn in zip(batch["text"], batch["turn"].to_pylist()):
-                words = [END, *words_of(text.as_py()), END]
-                whole = np.fromiter(map(coder.number, words), dtype=np.int32, count=len(words))
-                for k, start in enumerate(range(0, len(words) - 1, STRETCH)):
-                    numbers.append(whole[start : start + STRETCH + 1])
-                    turns.append(turn + k)
-                    held += len(numbers[-1])
-                    if held > PASSED_ON:
-                        yield rows(numbers, turns)
-                        numbers, turns, held = [], [], 0
-            yield rows(numbers, turns)
-
-    turned = texts.select("text", F.pmod(F.xxhash64("row"), F.lit(1 << 40)).alias("turn"))
+            numbers, offsets = batch["numbers"].values.to_numpy(), batch["numbers"].offsets.to_numpy().astype(np.int64)
+            sizes = np.diff(offsets)
+            parts = -(-sizes // STRETCH)
+            text = np.repeat(np.arange(len(sizes)), parts)
+            k = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+            start = offsets[text] + k * STRETCH
+            lengths = np.minimum(offsets[text + 1] - start, STRETCH) + 1
+            ends = np.append(0, np.cumsum(lengths))
+            # The number before a text is its end's, 0; the number before any other stretch stands before it.
+            at = np.arange(ends[-1]) + np.repeat(start - 1 - ends[:-1], lengths)
+            whole = numbers[at]  # at -1 stands any number, which is replaced
+            whole[ends[:-1][k == 0]] = 0
+            dealt = batch["turn"].to_numpy()[text] + k
+            yield pa.record_batch({
+                "trainer": pa.array((dealt % trainers).astype(np.int32)), "turn": pa.array(dealt // trainers % ROUNDS),
+                "numbers": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(whole, pa.int32())),
+            })
+
+    turned = texts.select("numbers", F.pmod(F.xxhash64("row"), F.lit(1 << 40)).alias("turn"))
     return turned.mapInArrow(run, "trainer int, turn long, numbers array<int>")
 
 
-def train(texts: DataFrame, v: Vocabulary, shared) -> dict:
-    """Weights, by rounds in which trainers learn apart and are then averaged.
+def apart(stretches: DataFrame, trainers: int) -> DataFrame:
+    """Each trainer's stretches in a task of their own."""
+    return stretches.repartitionById(trainers, "trainer")
+
+
+def train(texts: DataFrame, v: Vocabulary) -> dict:
+    """Weights from coded texts, by rounds in which trainers learn apart and are then averaged.
 
     Each trainer takes a share of bounded size of every round's stretches; trainers grow
     with the tokens, and every token is learned from once. Averages are formed in Spark, chunk by chunk of the weights.
@@ -389,11 +547,12 @@ def train(texts: DataFrame, v: Vocabulary, shared) -> dict:
     spark = texts.sparkSession
     w = first_weights(v)
     trainers = max(1, -(-v.tokens // TRAINER_TOKENS))
-    stretches = stored(stretches_of(texts, shared, trainers), "stretches")
+    stretches = stored(stretches_of(texts, None, trainers), "stretches")
     for turn in range(ROUNDS):
         given = spark.sparkContext.broadcast({"weights": w})
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            keep_freed_memory()
             own: dict[int, tuple[dict, Adam, list]] = {}  # a task may get several trainers, one after the other
             done: dict[int, int] = {}
             for batch in batches:
@@ -428,7 +587,7 @@ def train(texts: DataFrame, v: Vocabulary, shared) -> dict:
                 "tokens": pa.array([n for _, n in sums.values()], pa.int64()),
             })
 
-        mine = stretches.where(F.col("turn") == turn).select("trainer", "numbers").repartition(trainers, "trainer")
+        mine = apart(stretches.where(F.col("turn") == turn).select("trainer", "numbers"), trainers)
         parts = mine.mapInArrow(run, "chunk int, weights array<float>, tokens long")
         chunks = -(-sum(x.size for x in w.values()) // CHUNK)
         means = parts.repartition(min(chunks, 16), "chunk").mapInArrow(added, "chunk int, weights array<double>, tokens long")
@@ -491,69 +650,25 @@ def network_scores(w: dict, projected: np.ndarray, numbers: list[np.ndarray], he
     return scores
 
 
-def score_parts(texts: DataFrame, coded, weights: dict) -> DataFrame:
-    """Two kinds of rows. Without ``word``: a text with its sums over the words whose counts
-    are held. With it: a word that is not, how often the text has it, and its shape."""
+def scored(texts: DataFrame, weights: dict, head: int) -> DataFrame:
+    """Coded texts, with the network's scores added to ``model``."""
     given = texts.sparkSession.sparkContext.broadcast({"weights": weights})
-    schema = pa.schema([
-        ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("word", pa.binary()), ("n", pa.int64()),
-        ("shape", pa.int32()), ("known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()),
-    ])
-
-    def batch_of(rows: int, **columns) -> pa.RecordBatch:
-        arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in schema]
-        return pa.record_batch(arrays, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(**coded.value["vocabulary"])
-        coder = kept(coded.value, "coder", lambda: Coder(v))
+        keep_freed_memory()
         w = given.value["weights"]
         projected = w["embed"] @ w["input"] + w["gates"]
-        c = np.array(v.counts, dtype=float)
-        base_of = np.append(np.log10((c + 1) / (v.tokens + v.distinct + 1)), 0.0)
-        shapes = np.array(coder.tail, dtype=np.int64)
-        room = np.array(v.shape_tokens) + np.array(v.shape_words) + 1.0
-        inner = np.log10((c + 1) / room[shapes])
-        inner[: v.head] = 0.0
-        inner_of = np.append(inner, 0.0)
-        number_of = np.append(np.where(np.arange(len(c)) < v.head, np.arange(len(c)), v.head + shapes), -1).astype(np.int32)
-        known_of = np.append(c > 0, False)
-        none = len(c)
         for batch in batches:
-            numbers, sizes, known, base, model = [], [], [], [], []
-            rare: dict[str, list] = {"row": [], "word": [], "n": [], "shape": []}
-            for row, text in zip(batch["row"].to_pylist(), batch["text"]):
-                words = words_of(text.as_py())
-                words.append(END)
-                places = np.array([coder.known.get(x, none) for x in words], dtype=np.int64)
-                own = number_of[places]
-                lost = np.flatnonzero(places == none)
-                if len(lost):
-                    seen = Counter(words[i] for i in lost.tolist())
-                    shape = {x: shape_of(x) for x in seen}
-                    own[lost] = [v.head + shape[words[i]] for i in lost.tolist()]
-                    rare["row"] += [row] * len(seen)
-                    rare["word"] += seen.keys()
-                    rare["n"] += seen.values()
-                    rare["shape"] += shape.values()
-                    if len(rare["row"]) > RARE_ROWS:
-                        yield batch_of(len(rare["row"]), **rare)
-                        rare = {name: [] for name in rare}
-                numbers.append(own)
-                sizes.append(len(words))
-                known.append(int(known_of[places].sum()))
-                base.append(float(base_of[places].sum()))
-                model.append(float(inner_of[places].sum()))
-            if rare["row"]:
-                yield batch_of(len(rare["row"]), **rare)
-            scores = network_scores(w, projected, numbers, v.head) / math.log(10) if numbers else np.zeros(0)
-            yield batch_of(
-                batch.num_rows, row=batch["row"], doc_id=batch["doc_id"], held_out=batch["held_out"], n=sizes, known=known,
-                base=base, model=np.array(model) + scores,
-            )
-
-    return texts.select("row", "doc_id", "held_out", "text").mapInArrow(
-        run, "row long, doc_id long, held_out boolean, word binary, n long, shape int, known long, base double, model double"
+            if batch.num_rows:
+                whole, offsets = batch["numbers"].values.to_numpy(), batch["numbers"].offsets.to_numpy()
+                numbers = [whole[a:b] for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
+                model = batch["model"].to_numpy() + network_scores(w, projected, numbers, head) / math.log(10)
+                at = batch.schema.get_field_index("model")
+                yield batch.set_column(at, "model", pa.array(model)).drop_columns(["numbers"])
+
+    names = ("row", "doc_id", "held_out", "n", "known", "base", "model")
+    return texts.select(*names, "numbers").mapInArrow(
+        run, "row long, doc_id long, held_out boolean, n long, known long, base double, model double"
     )
 
 
@@ -573,9 +688,9 @@ def score(docs: DataFrame, head: int = HEAD, held: int = HELD_WORDS) -> DataFram
     training = texts.where(~F.col("held_out"))
     counts = stored(word_counts(training), "counts")
     v = vocabulary(counts, head, held)
-    coded = spark.sparkContext.broadcast({"vocabulary": vars(v)})
-    weights = train(training, v, coded)
-    parts = stored(score_parts(texts, coded, weights), "parts")
+    parts = stored(coded(texts, spark.sparkContext.broadcast({"vocabulary": vars(v)})), "coded")
+    numbered = parts.where("word IS NULL")
+    results = stored(scored(numbered, train(numbered.where(~F.col("held_out")), v), v.head), "scored")
     rooms = spark.createDataFrame(
         [(k, float(a + b + 1)) for k, (a, b) in enumerate(zip(v.shape_tokens, v.shape_words))], "shape int, room double"
     )
@@ -590,7 +705,7 @@ def score(docs: DataFrame, head: int = HEAD, held: int = HELD_WORDS) -> DataFram
         )
     )
     plus = lambda name: F.coalesce(F.col(f"more_{name}"), F.lit(0))
-    return parts.where("word IS NULL").join(rare, "row", "left").select(
+    return results.join(rare, "row", "left").select(
         "doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("known") + plus("known")).alias("n_known"),
         F.lit(v.tokens).cast("long").alias("train_tokens"), (F.col("base") + plus("base")).alias("base_score"),
         (F.col("model") + plus("model")).alias("score"),

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +145,28 @@ def test_training_carries_the_state_and_begins_anew_with_a_stretch(monkeypatch):
         for lane in range(inputs.shape[1]):
             first = any(tuple(inputs[: len(s), lane]) == s for s in starts)
             assert (state[lane] == 0).all() == first
+
+
+def test_words_and_shapes_by_arrow():
+    texts = ["", " \t\n ", "The CAT\x0bsat.", "\u0085  x É9 (a) 12345678 naïve-naïve!", "a\x1cb \u3000 c\x0c", "x" * 40]
+    words, sizes = lm.words_in(pa.array(["skipped", *texts]).slice(1))
+    want = [lm.words_of(t) for t in texts]
+    assert words.to_pylist() == [w for ws in want for w in ws] and sizes.tolist() == list(map(len, want))
+    assert lm.shapes_of(words).tolist() == [lm.shape_of(w) for ws in want for w in ws]
+    assert lm.shapes_of(words.slice(2, 3)).tolist() == [lm.shape_of(w.as_py()) for w in words.slice(2, 3)]
+
+
+def test_blocks_hold_every_word_once():
+    """Classes with no, few and many targets: all places, each in a block of its class."""
+    targets = np.array([0] * 70 + [1, 130, 131, -1, 200, 64 * 3] + [190] * 33)
+    places, rows, kinds = lm.blocks_of(targets, 192, 3)
+    assert sorted(places.tolist()) == np.flatnonzero((targets >= 0) & (targets < 192)).tolist()
+    assert len(set(rows.tolist())) == len(rows) and (kinds[rows // lm.BLOCK] == targets[places] // lm.CLASS_WORDS).all()
+
+
+def test_each_trainer_has_a_task_of_its_own(spark):
+    """Dealt by hash, several trainers fell to one task, which then took as many times as long."""
+    for trainers in (3, 28):
+        stretches = spark.range(600).select((F.col("id") % trainers).cast("int").alias("trainer"))
+        tasks = lm.apart(stretches, trainers).select("trainer", F.spark_partition_id().alias("task")).distinct().collect()
+        assert len(tasks) == trainers == len({r["task"] for r in tasks})

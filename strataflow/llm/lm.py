@@ -32,6 +32,8 @@ HELD_WORDS, HELD_BYTES = 100_000, 64
 SHAPES = 32
 #: Rows of a block: words of one class that are scored by one product of matrices.
 BLOCK = 24
+#: Steps and blocks that are scored at once, so that their logits stay near the processor.
+STEPS, BLOCKS = 4, 128
 PUNCTUATION = frozenset(b".,;:!?|)\"'")
 BYTE_KINDS = np.array([4 * (b > 127) + 2 * (b in b"0123456789") for b in range(256)], dtype=np.int32)
 IS_PUNCTUATION = np.array([b in PUNCTUATION for b in range(256)], dtype=np.int32)
@@ -44,8 +46,8 @@ TRAINER_TOKENS, ROUNDS, RATE = 1 << 22, 3, 0.008
 PIECE = 1 << 23
 #: Tokens of a window and texts side by side when scoring.
 SCORE_WINDOW, SCORE_LANES = 32, 256
-#: Numbers of a model that travel in one row.
-CHUNK = 4_096
+#: Numbers of a model that travel in one row, and that one step of learning takes at once.
+CHUNK, STRIP = 4_096, 16_384
 
 
 def keep_freed_memory() -> None:
@@ -195,6 +197,7 @@ def first_weights(v: Vocabulary) -> dict[str, np.ndarray]:
     of_class = np.append(counts.reshape(classes, CLASS_WORDS).sum(1), np.array(v.shape_tokens, dtype=float))
     word_bias = np.log(counts + 0.5)
     word_bias[v.head :] = -30.0
+    # Biases lie beside the weights, as those of a last state that is always one.
 
     def normal(*size: int, scale: float) -> np.ndarray:
         return rng.normal(0, scale, size)
@@ -204,21 +207,26 @@ def first_weights(v: Vocabulary) -> dict[str, np.ndarray]:
         "input": normal(EMBEDDING, 3 * STATE, scale=EMBEDDING**-0.5),
         "recur": normal(STATE, 3 * STATE, scale=STATE**-0.5),
         "gates": np.zeros(3 * STATE),
-        "class": normal(STATE, classes + SHAPES, scale=0.05),
-        "class_bias": np.log(of_class + 0.5),
-        "word": normal(slots, STATE, scale=0.05),
-        "word_bias": word_bias,
+        "class": np.concatenate([normal(STATE, classes + SHAPES, scale=0.05), np.log(of_class + 0.5)[None]]),
+        "word": np.concatenate([normal(slots, STATE, scale=0.05), word_bias[:, None]], axis=1),
     }
     return {name: w.astype(np.float32) for name, w in weights.items()}
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place. Where the exponential overflows, the result is 0 as it should be."""
-    with np.errstate(over="ignore"):
-        np.negative(x, out=x)
-        np.exp(x, out=x)
-    x += 1.0
-    return np.reciprocal(x, out=x)
+    """In place, by the hyperbolic tangent of the half, which cannot overflow."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
+
+
+def with_ones(steps: int, lanes: int, dtype) -> np.ndarray:
+    """States to be filled in [step, state, lane]; the last is always one."""
+    states = np.empty((steps, STATE + 1, lanes), dtype=dtype)
+    states[:, STATE] = 1
+    return states
 
 
 def gru(w: dict, inputs: np.ndarray, state: np.ndarray, fresh: np.ndarray | None, projected: np.ndarray | None = None):
@@ -230,16 +238,19 @@ def gru(w: dict, inputs: np.ndarray, state: np.ndarray, fresh: np.ndarray | None
     size, (steps, lanes) = STATE, inputs.shape
     vectors = None
     if projected is None:
-        vectors = w["embed"][inputs]
+        vectors = w["embed"].take(inputs, 0)
         into = w["input"].T @ vectors.transpose(0, 2, 1)
         into += w["gates"][:, None]
     else:
-        into = np.ascontiguousarray(projected[inputs].transpose(0, 2, 1))
+        into = np.empty((steps, 3 * size, lanes), dtype=projected.dtype)
+        for t in range(steps):
+            into[t] = projected.take(inputs[t], 0).T
     recur = np.ascontiguousarray(w["recur"].T)
     first = state = np.ascontiguousarray(state.T, dtype=recur.dtype)
     held = np.empty((steps, 3 * size, lanes), dtype=recur.dtype)
     gates = np.empty((steps, 2 * size, lanes), dtype=recur.dtype)
-    new, states = (np.empty((steps, size, lanes), dtype=recur.dtype) for _ in range(2))
+    new = np.empty((steps, size, lanes), dtype=recur.dtype)
+    states = with_ones(steps, lanes, recur.dtype)
     for t in range(steps):
         if fresh is not None:
             state = state * ~fresh[t]
@@ -248,11 +259,11 @@ def gru(w: dict, inputs: np.ndarray, state: np.ndarray, fresh: np.ndarray | None
         np.multiply(both[size:], held[t, 2 * size :], out=new[t])
         new[t] += into[t, 2 * size :]
         np.tanh(new[t], out=new[t])
-        following = np.subtract(state, new[t], out=states[t])
+        following = np.subtract(state, new[t], out=states[t, :size])
         following *= both[:size]
         following += new[t]
         state = following
-    return states.transpose(0, 2, 1), state.T, (vectors, first, states, gates, new, held[:, 2 * size :])
+    return states[:, :size].transpose(0, 2, 1), state.T, (vectors, first, states, gates, new, held[:, 2 * size :])
 
 
 def blocks_of(targets: np.ndarray, head: int, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -268,117 +279,137 @@ def blocks_of(targets: np.ndarray, head: int, classes: int) -> tuple[np.ndarray,
     return places, np.arange(len(places)) + shift[own], np.repeat(np.arange(classes), blocks)
 
 
-def block_logits(w: dict, states: np.ndarray, places: np.ndarray, rows: np.ndarray, kinds: np.ndarray):
-    """States in blocks, the words of each block's class, and the logits [block, row, word]."""
-    held = np.zeros((len(kinds) * BLOCK, STATE), dtype=w["word"].dtype)
-    held[rows] = states[places]
-    held = held.reshape(-1, BLOCK, STATE)
-    words = w["word"].reshape(-1, CLASS_WORDS, STATE)[kinds]
-    logits = held @ words.transpose(0, 2, 1)
-    logits += w["word_bias"].reshape(-1, CLASS_WORDS)[kinds][:, None]
-    return held, words, logits
+def blocks(w: dict, states: np.ndarray, places: np.ndarray, rows: np.ndarray, kinds: np.ndarray):
+    """States in blocks, and the words of each block's class."""
+    held = np.zeros((len(kinds) * BLOCK, STATE + 1), dtype=w["word"].dtype)
+    held[rows] = states.transpose(0, 2, 1).reshape(-1, STATE + 1)[places]
+    return held.reshape(-1, BLOCK, STATE + 1), w["word"].reshape(-1, CLASS_WORDS, STATE + 1)[kinds]
 
 
 def class_of(targets: np.ndarray, head: int, classes: int) -> np.ndarray:
     return np.where(targets < head, targets // CLASS_WORDS, classes + targets - head)
 
 
-def scaled_softmax(x: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """Softmax of each row times its number in ``scale``, in place."""
-    x -= x.max(1)[:, None]
-    np.exp(x, out=x)
-    x *= (scale / (x @ np.ones(x.shape[1], dtype=x.dtype)))[:, None]
-    return x
+def exponentials(left: np.ndarray, right: np.ndarray, axis: int, chosen: tuple | None = None):
+    """Exponentials of the logits ``left @ right``, their sums along ``axis``, and the logits
+    that are ``chosen``. Logits too far from 0 are counted from the largest of each row."""
 
+    def summed(x: np.ndarray) -> np.ndarray:  # products with ones are faster than sums
+        one = np.ones(x.shape[axis], dtype=x.dtype)
+        return x.reshape(-1, len(one)).dot(one).reshape(x.shape[:-1]) if axis == x.ndim - 1 else one @ x
 
-def log_chosen(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Log-softmax of each row's chosen entry; ``x`` is used up."""
-    x -= x.max(1)[:, None]
-    found = x[np.arange(len(x)), chosen]
-    np.exp(x, out=x)
-    return found - np.log(x @ np.ones(x.shape[1], dtype=x.dtype))
+    logits = left @ right
+    found = None if chosen is None else logits[chosen]
+    with np.errstate(over="ignore"):
+        np.exp(logits, out=logits)
+    total = summed(logits)
+    if not (total.min() > 1e-30 and total.max() < 1e30):
+        logits = left @ right
+        logits -= logits.max(axis, keepdims=True)
+        found = None if chosen is None else logits[chosen]
+        total = summed(np.exp(logits, out=logits))
+    return logits, total, found
 
 
 def log_chances(w: dict, states: np.ndarray, targets: np.ndarray, head: int) -> np.ndarray:
     """Natural log of the network's chance of each target: its class and, of its own words,
     the word in the class. Targets below 0 are none."""
-    classes = len(w["class_bias"]) - SHAPES
+    held = with_ones(1, len(states), states.dtype)
+    held[0, :STATE] = states.T
+    return chances(w, held, targets[None], head)[0]
+
+
+def chances(w: dict, states: np.ndarray, targets: np.ndarray, head: int) -> np.ndarray:
+    """``log_chances`` of targets [step, lane] from states [step, state, lane]."""
+    classes = w["class"].shape[1] - SHAPES
     here = targets >= 0
-    logits = states @ w["class"]
-    logits += w["class_bias"]
-    found = np.where(here, log_chosen(logits, np.where(here, class_of(targets, head, classes), 0)), 0.0)
-    places, rows, kinds = blocks_of(targets, head, classes)
-    if len(places):
-        logits = block_logits(w, states, places, rows, kinds)[2].reshape(-1, CLASS_WORDS)
-        chosen = np.zeros(len(logits), dtype=np.int64)
-        chosen[rows] = targets[places] % CLASS_WORDS
-        found[places] += log_chosen(logits, chosen)[rows]
+    chosen = np.where(here, class_of(targets, head, classes), 0)
+    found = np.empty(targets.shape, dtype=states.dtype)
+    lane = np.arange(targets.shape[1])
+    for t in range(0, len(targets), STEPS):
+        part = slice(t, t + STEPS)
+        step = np.arange(len(targets[part]))[:, None]
+        _, total, logits = exponentials(w["class"].T, states[part], 1, (step, chosen[part], lane))
+        np.subtract(logits, np.log(total), out=found[part])
+    found *= here
+    places, rows, kinds = blocks_of(targets.ravel(), head, classes)
+    for k in range(0, len(kinds), BLOCKS):
+        mine = slice(*np.searchsorted(rows, (k * BLOCK, (k + BLOCKS) * BLOCK)))
+        at, row = places[mine], rows[mine] - k * BLOCK
+        given, words = blocks(w, states, at, row, kinds[k : k + BLOCKS])
+        block, place = np.divmod(row, BLOCK)
+        word = targets.ravel()[at] % CLASS_WORDS
+        _, total, logits = exponentials(given, words.transpose(0, 2, 1), 2, (block, place, word))
+        found.ravel()[at] += logits - np.log(total[block, place])
     return found
 
 
 def gradients(w: dict, inputs: np.ndarray, targets: np.ndarray, state: np.ndarray, head: int):
     """Gradients of the mean loss over one window, and the state after it."""
     size, (steps, lanes) = STATE, inputs.shape
-    states, last, (vectors, first, after, gates, new, held) = gru(w, inputs, state, None)
-    flat, want = states.reshape(-1, size), targets.ravel()
-    classes = len(w["class_bias"]) - SHAPES
-    here = want >= 0
-    scale = here * flat.dtype.type(1 / max(1, int(here.sum())))
+    _, last, (vectors, first, states, gates, new, held) = gru(w, inputs, state, None)
+    classes, after = w["class"].shape[1] - SHAPES, states[:, :size]
+    here = targets >= 0
+    scale = here * states.dtype.type(1 / max(1, int(here.sum())))
     g = {}
-    slope = flat @ w["class"]
-    slope += w["class_bias"]
-    scaled_softmax(slope, scale)
-    slope[np.arange(len(want)), np.where(here, class_of(want, head, classes), 0)] -= scale
-    g["class"], g["class_bias"] = flat.T @ slope, slope.sum(0)
-    back = slope @ w["class"].T
-    g["word"], g["word_bias"] = np.zeros_like(w["word"]), np.zeros_like(w["word_bias"])
+    # A slope is the exponential less, where it is chosen, the sum of all, times the scale over that sum.
+    slope, total, _ = exponentials(w["class"].T, states, 1)
+    chosen = np.where(here, class_of(targets, head, classes), 0)
+    slope[np.arange(steps)[:, None], chosen, np.arange(lanes)] -= total
+    share = (scale / total)[:, None]
+    g["class"] = ((states * share) @ slope.transpose(0, 2, 1)).sum(0)
+    back = w["class"][:size] @ slope
+    back *= share
+    g["word"] = np.zeros_like(w["word"])
+    want = targets.ravel()
     places, rows, kinds = blocks_of(want, head, classes)
     if len(places):
-        given, words, slope = block_logits(w, flat, places, rows, kinds)
-        used = np.zeros(len(kinds) * BLOCK, dtype=flat.dtype)
-        used[rows] = scale[places]
-        scaled_softmax(slope.reshape(-1, CLASS_WORDS), used)[rows, want[places] % CLASS_WORDS] -= scale[places]
-        of_words, of_biases = slope.transpose(0, 2, 1) @ given, np.ones(BLOCK, dtype=slope.dtype) @ slope
-        g["word"].reshape(-1, CLASS_WORDS, size)[kinds] = of_words
-        g["word_bias"].reshape(-1, CLASS_WORDS)[kinds] = of_biases
+        given, words = blocks(w, states, places, rows, kinds)
+        slope, total, _ = exponentials(given, words.transpose(0, 2, 1), 2)
+        total = total.ravel()[rows]
+        slope.reshape(-1, CLASS_WORDS)[rows, want[places] % CLASS_WORDS] -= total
+        share = np.zeros((len(kinds) * BLOCK, 1), dtype=slope.dtype)
+        share[rows, 0] = scale.ravel()[places] / total
+        given *= share.reshape(-1, BLOCK, 1)
+        of_words = slope.transpose(0, 2, 1) @ given
+        g["word"].reshape(-1, CLASS_WORDS, size + 1)[kinds] = of_words
         ends = np.cumsum(np.bincount(kinds, minlength=classes))
         for k in np.flatnonzero(np.diff(ends, prepend=0) > 1).tolist():
             part = slice(ends[k - 1] if k else 0, ends[k])
             g["word"][k * CLASS_WORDS : (k + 1) * CLASS_WORDS] = of_words[part].sum(0)
-            g["word_bias"][k * CLASS_WORDS : (k + 1) * CLASS_WORDS] = of_biases[part].sum(0)
-        back[places] += (slope @ words).reshape(-1, size)[rows]
-    back = np.ascontiguousarray(back.reshape(steps, lanes, size).transpose(0, 2, 1))
+        of_states = (slope @ words).reshape(-1, size + 1)
+        of_states *= share
+        of_places = np.zeros((steps * lanes, size + 1), dtype=slope.dtype)
+        of_places[places] = of_states[rows]
+        back += of_places.reshape(steps, lanes, size + 1)[:, :, :size].transpose(0, 2, 1)
     # What does not hang on later steps is formed for all steps at once.
     before = np.concatenate([first[None], after[:-1]])
     update, reset = gates[:, :size], gates[:, size:]
     of_new = (1 - update) * (1 - new * new)
     of_update = (before - new) * update * (1 - update)
     of_reset = held * reset * (1 - reset)
-    into = np.empty((steps, 3 * size, lanes), dtype=flat.dtype)
-    through = np.empty((steps, size, lanes), dtype=flat.dtype)
-    recur, of_held = np.ascontiguousarray(w["recur"][:, : 2 * size]), np.ascontiguousarray(w["recur"][:, 2 * size :])
-    carried = np.zeros((size, lanes), dtype=flat.dtype)
+    # Slopes of what the state gives to the gates and to the new state; of what the inputs give only the last differ.
+    given = np.empty((steps, 3 * size, lanes), dtype=states.dtype)
+    of_inputs = np.empty((steps, size, lanes), dtype=states.dtype)
+    carried = np.zeros((size, lanes), dtype=states.dtype)
     for t in range(steps - 1, -1, -1):
-        d = back[t]
+        d, here = back[t], given[t]
         d += carried
-        np.multiply(d, of_update[t], out=into[t, :size])
-        d_new = np.multiply(d, of_new[t], out=into[t, 2 * size :])
-        np.multiply(d_new, of_reset[t], out=into[t, size : 2 * size])
-        np.multiply(d_new, reset[t], out=through[t])
-        np.matmul(recur, into[t, : 2 * size], out=carried)
-        carried += of_held @ through[t]
+        np.multiply(d, of_update[t], out=here[:size])
+        d_new = np.multiply(d, of_new[t], out=of_inputs[t])
+        np.multiply(d_new, of_reset[t], out=here[size : 2 * size])
+        np.multiply(d_new, reset[t], out=here[2 * size :])
+        np.matmul(w["recur"], here, out=carried)
         d *= update[t]
         carried += d
-    g["recur"] = np.concatenate([
-        (before @ into[:, : 2 * size].transpose(0, 2, 1)).sum(0), (before @ through.transpose(0, 2, 1)).sum(0),
-    ], axis=1)
+    g["recur"] = (before @ given.transpose(0, 2, 1)).sum(0)
+    into = given
+    into[:, 2 * size :] = of_inputs
     g["input"] = (vectors.transpose(0, 2, 1) @ into.transpose(0, 2, 1)).sum(0)
-    g["gates"] = into.sum((0, 2))
-    order = np.argsort(inputs.ravel(), kind="stable")
-    seen = inputs.ravel()[order]
-    starts = np.flatnonzero(np.diff(seen, prepend=-1))
+    g["gates"] = (into @ np.ones(lanes, dtype=into.dtype)).sum(0)
     g["embed"] = np.zeros_like(w["embed"])
-    g["embed"][seen[starts]] = np.add.reduceat((into.transpose(0, 2, 1) @ w["input"].T).reshape(-1, EMBEDDING)[order], starts)
+    at = inputs.reshape(-1, 1) * EMBEDDING + np.arange(EMBEDDING)
+    np.add.at(g["embed"].reshape(-1), at.reshape(-1), (into.transpose(0, 2, 1) @ w["input"].T).reshape(-1))
     return g, last
 
 
@@ -394,19 +425,21 @@ class Adam:
         norm = math.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
         tenth = 0.1 / max(1.0, norm)
         rate = self.rate * math.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
-        for n, x in g.items():
-            mean, square = self.mean[n], self.square[n]
-            x *= tenth
-            mean *= 0.9
-            mean += x
-            x *= x  # a tenth, squared: a hundredth of the square
-            square *= 0.99
-            square += x
-            np.sqrt(square, out=x)
-            x += 1e-8
-            np.divide(mean, x, out=x)
-            x *= rate
-            w[n] -= x
+        for n in g:
+            whole = [x.reshape(-1) for x in (g[n], self.mean[n], self.square[n], w[n])]
+            for k in range(0, len(whole[0]), STRIP):
+                x, mean, square, weights = (a[k : k + STRIP] for a in whole)
+                x *= tenth
+                mean *= 0.9
+                mean += x
+                x *= x  # a tenth, squared: a hundredth of the square
+                square *= 0.99
+                square += x
+                np.sqrt(square, out=x)
+                x += 1e-8
+                np.divide(mean, x, out=x)
+                x *= rate
+                weights -= x
 
 
 def train_on(w: dict, stretches: Iterator[np.ndarray], head: int, optimizer: Adam) -> int:
@@ -421,10 +454,11 @@ def train_on(w: dict, stretches: Iterator[np.ndarray], head: int, optimizer: Ada
         if not block:
             return tokens
         state = np.concatenate([state[stay], np.zeros((len(fresh), STATE), dtype=np.float32)])
-        grid = np.full((WINDOW + 1, len(block)), -1, dtype=np.int64)
+        grid = np.full((len(block), WINDOW + 1), -1, dtype=np.int64)
         for lane, left in enumerate(block):
-            grid[: len(left), lane] = left[: WINDOW + 1]
+            grid[lane, : len(left)] = left[: WINDOW + 1]
             block[lane] = left[WINDOW:]
+        grid = np.ascontiguousarray(grid.T)
         slopes, state = gradients(w, np.maximum(grid[:-1], 0), grid[1:], state, head)
         optimizer.update(w, slopes)
         tokens += int((grid[1:] >= 0).sum())
@@ -442,13 +476,32 @@ def unpacked(flat: np.ndarray, like: dict) -> dict:
     return found
 
 
+def number_type(head: int) -> np.dtype:
+    """What a number of the network takes in a column: as bytes, so that Spark moves a text at once."""
+    return np.dtype(np.uint16 if head + SHAPES <= 1 << 16 else np.int32)
+
+
+def as_bytes(numbers: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A cell for the numbers between each two of ``ends``, which begin with 0."""
+    offsets = (ends * numbers.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(numbers))])
+
+
+def from_bytes(cells: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all cells, and where each cell's begin, with the end of the last."""
+    _, offsets, held = cells.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int32)[cells.offset : cells.offset + len(cells) + 1].astype(np.int64)
+    held = np.frombuffer(held, dtype=np.uint8)[ends[0] : ends[-1]] if ends[-1] else np.zeros(0, dtype=np.uint8)
+    return held.view(kind), (ends - ends[0]) // kind.itemsize
+
+
 def coded(texts: DataFrame, shared) -> DataFrame:
     """Two kinds of rows. Without ``word``: a text as ``numbers`` of the network, with its end, and
-    its sums over the words whose counts are held. With it: a word that is not, how often the text
-    has it, and its shape."""
+    its sums over all words, where those whose counts are not held are as if unseen. With it: a word
+    whose count is not held, and how often the text has it."""
     schema = pa.schema([
         ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("word", pa.binary()), ("n", pa.int64()),
-        ("shape", pa.int32()), ("known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()), ("numbers", pa.list_(pa.int32())),
+        ("known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()), ("numbers", pa.binary()),
     ])
 
     def batch_of(rows: int, **columns) -> pa.RecordBatch:
@@ -461,11 +514,10 @@ def coded(texts: DataFrame, shared) -> DataFrame:
         coder = kept(shared.value, "coder", lambda: Coder(v))
         held, none = pa.array(v.words, pa.binary()), len(v.words)
         c, shapes = np.array(v.counts, dtype=float), np.array(coder.tail, dtype=np.int32)
-        room = np.array(v.shape_tokens) + np.array(v.shape_words) + 1.0
-        base_of = np.append(np.log10((c + 1) / (v.tokens + v.distinct + 1)), 0.0)
-        inner_of = np.append(np.log10((c + 1) / room[shapes]), 0.0)
-        inner_of[: v.head] = 0.0
-        number_of = np.append(np.where(np.arange(none) < v.head, np.arange(none), v.head + shapes), 0).astype(np.int32)
+        room = np.log10(np.array(v.shape_tokens) + np.array(v.shape_words) + 1.0)
+        log_all = np.log10(float(v.tokens + v.distinct + 1))
+        log_of = np.append(np.log10(c + 1), 0.0)
+        number_of = np.append(np.where(np.arange(none) < v.head, np.arange(none), v.head + shapes), 0).astype(number_type(v.head))
         known_of = np.append(c > 0, False)
         for batch in batches:
             for piece in pieces(batch):
@@ -474,44 +526,47 @@ def coded(texts: DataFrame, shared) -> DataFrame:
                 different, which = words.dictionary, words.indices.to_numpy()
                 places = pc.fill_null(pc.index_in(different, value_set=held), none).to_numpy()
                 numbers, lost = number_of[places], places == none
-                shape = np.zeros(len(different), dtype=np.int32)
-                shape[lost] = shapes_of(different.filter(pa.array(lost)))
-                numbers[lost] = v.head + shape[lost]
+                numbers[lost] = v.head + shapes_of(different.filter(pa.array(lost)))
                 texts = len(sizes)
                 owner = np.repeat(np.arange(texts), sizes)
-                whole = np.zeros(len(which) + texts, dtype=np.int32)  # number 0 is the end
+                whole = np.zeros(len(which) + texts, dtype=numbers.dtype)  # number 0 is the end
                 whole[np.arange(len(which)) + owner] = numbers[which]
-                ends = np.append(0, np.cumsum(sizes + 1)).astype(np.int32)
+                ends = np.append(0, np.cumsum(sizes + 1))
                 of = places[which]
-                sums = {k: np.bincount(owner, x[of], texts) + x[0] for k, x in (("known", known_of), ("base", base_of), ("model", inner_of))}
-                sums["known"] = sums["known"].astype(np.int64)
+                # Of each different word: what it adds outside the network, whose own words add nothing here.
+                inner = log_of[places] - room[np.maximum(numbers.astype(np.int64) - v.head, 0)]
+                inner[places < v.head] = 0.0
+                known = np.bincount(owner, known_of[of], texts) + known_of[0]
+                base = np.bincount(owner, log_of[of], texts) + log_of[0] - (sizes + 1) * log_all
                 yield batch_of(
-                    texts, row=piece["row"], doc_id=piece["doc_id"], held_out=piece["held_out"], n=sizes + 1, **sums,
-                    numbers=pa.ListArray.from_arrays(ends, whole),
+                    texts, row=piece["row"], doc_id=piece["doc_id"], held_out=piece["held_out"], n=sizes + 1,
+                    known=known.astype(np.int64), base=base, model=np.bincount(owner, inner[which], texts), numbers=as_bytes(whole, ends),
                 )
                 rare = np.flatnonzero(of == none)
                 if len(rare):
                     pairs, n = np.unique(owner[rare] * len(different) + which[rare], return_counts=True)
                     text, word = np.divmod(pairs, len(different))
-                    yield batch_of(len(n), row=piece["row"].to_numpy()[text], word=different.take(pa.array(word)), n=n, shape=shape[word])
+                    yield batch_of(len(n), row=piece["row"].to_numpy()[text], word=different.take(pa.array(word)), n=n)
 
     return texts.select("row", "doc_id", "held_out", "text").mapInArrow(
-        run, "row long, doc_id long, held_out boolean, word binary, n long, shape int, known long, base double, model double, numbers array<int>"
+        run, "row long, doc_id long, held_out boolean, word binary, n long, known long, base double, model double, numbers binary"
     )
 
 
-def stretches_of(texts: DataFrame, shared, trainers: int) -> DataFrame:
+def stretches_of(texts: DataFrame, shared, trainers: int, head: int = HEAD) -> DataFrame:
     """``trainer, turn, numbers``: of each text all its stretches, each with the number before it.
 
     Stretches are dealt one by one, so that a long text is no single trainer's load. Texts
-    without ``numbers`` are coded first.
+    without ``numbers`` are coded first, and their stretches are lists in place of bytes.
     """
-    if "numbers" not in texts.columns:
+    lists = "numbers" not in texts.columns
+    if lists:
+        head = shared.value["vocabulary"]["head"]
         texts = coded(texts.withColumn("held_out", F.lit(False)), shared).where("word IS NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            numbers, offsets = batch["numbers"].values.to_numpy(), batch["numbers"].offsets.to_numpy().astype(np.int64)
+            numbers, offsets = from_bytes(batch["numbers"], number_type(head))
             sizes = np.diff(offsets)
             parts = -(-sizes // STRETCH)
             text = np.repeat(np.arange(len(sizes)), parts)
@@ -526,11 +581,11 @@ def stretches_of(texts: DataFrame, shared, trainers: int) -> DataFrame:
             dealt = batch["turn"].to_numpy()[text] + k
             yield pa.record_batch({
                 "trainer": pa.array((dealt % trainers).astype(np.int32)), "turn": pa.array(dealt // trainers % ROUNDS),
-                "numbers": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(whole, pa.int32())),
+                "numbers": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(whole, pa.int32())) if lists else as_bytes(whole, ends),
             })
 
     turned = texts.select("numbers", F.pmod(F.xxhash64("row"), F.lit(1 << 40)).alias("turn"))
-    return turned.mapInArrow(run, "trainer int, turn long, numbers array<int>")
+    return turned.mapInArrow(run, f"trainer int, turn long, numbers {'array<int>' if lists else 'binary'}")
 
 
 def apart(stretches: DataFrame, trainers: int) -> DataFrame:
@@ -547,7 +602,7 @@ def train(texts: DataFrame, v: Vocabulary) -> dict:
     spark = texts.sparkSession
     w = first_weights(v)
     trainers = max(1, -(-v.tokens // TRAINER_TOKENS))
-    stretches = stored(stretches_of(texts, None, trainers), "stretches")
+    stretches = stored(stretches_of(texts, None, trainers, v.head), "stretches")
     for turn in range(ROUNDS):
         given = spark.sparkContext.broadcast({"weights": w})
 
@@ -563,8 +618,8 @@ def train(texts: DataFrame, v: Vocabulary) -> dict:
                         own[trainer] = (start, Adam(start, RATE / (1 + turn)), [])
                         done[trainer] = 0
                     mine, optimizer, _ = own[trainer]
-                    rows = batch["numbers"].filter(pa.array(who == trainer))
-                    done[trainer] += train_on(mine, (r.values.to_numpy() for r in rows), v.head, optimizer)
+                    numbers, ends = from_bytes(batch["numbers"].filter(pa.array(who == trainer)), number_type(v.head))
+                    done[trainer] += train_on(mine, (numbers[a:b] for a, b in zip(ends, ends[1:])), v.head, optimizer)
             for trainer, (mine, _, _) in own.items():
                 flat = packed(mine) * done[trainer]
                 starts = range(0, len(flat), CHUNK)
@@ -644,8 +699,8 @@ def network_scores(w: dict, projected: np.ndarray, numbers: list[np.ndarray], he
             fresh[: len(part), lane] = starts[t : t + steps]
         inputs = np.concatenate([last[None, :active], np.maximum(targets[:-1], 0)])
         last = targets[-1]
-        states, state, _ = gru(w, inputs, state[:active], fresh, projected)
-        logs = log_chances(w, states.reshape(-1, STATE), targets.ravel(), head)
+        _, state, held = gru(w, inputs, state[:active], fresh, projected)
+        logs = chances(w, held[2], targets, head).ravel()
         scores += np.bincount(owner.ravel(), weights=logs, minlength=len(numbers))
     return scores
 
@@ -660,7 +715,7 @@ def scored(texts: DataFrame, weights: dict, head: int) -> DataFrame:
         projected = w["embed"] @ w["input"] + w["gates"]
         for batch in batches:
             if batch.num_rows:
-                whole, offsets = batch["numbers"].values.to_numpy(), batch["numbers"].offsets.to_numpy()
+                whole, offsets = from_bytes(batch["numbers"], number_type(head))
                 numbers = [whole[a:b] for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
                 model = batch["model"].to_numpy() + network_scores(w, projected, numbers, head) / math.log(10)
                 at = batch.schema.get_field_index("model")
@@ -691,22 +746,14 @@ def score(docs: DataFrame, head: int = HEAD, held: int = HELD_WORDS) -> DataFram
     parts = stored(coded(texts, spark.sparkContext.broadcast({"vocabulary": vars(v)})), "coded")
     numbered = parts.where("word IS NULL")
     results = stored(scored(numbered, train(numbered.where(~F.col("held_out")), v), v.head), "scored")
-    rooms = spark.createDataFrame(
-        [(k, float(a + b + 1)) for k, (a, b) in enumerate(zip(v.shape_tokens, v.shape_words))], "shape int, room double"
-    )
-    seen = F.coalesce(F.col("c"), F.lit(0))
+    # Words that are joined have been counted as unseen: what their counts add is the same in both scores.
     rare = (
-        parts.where("word IS NOT NULL").select("row", "word", "n", "shape")
-        .join(counts.select("word", F.col("n").alias("c")), "word", "left").join(F.broadcast(rooms), "shape")
-        .groupBy("row").agg(
-            F.sum(F.when(seen > 0, F.col("n")).otherwise(0)).alias("more_known"),
-            F.sum(F.col("n") * F.log10((seen + 1) / F.lit(float(v.tokens + v.distinct + 1)))).alias("more_base"),
-            F.sum(F.col("n") * F.log10((seen + 1) / F.col("room"))).alias("more_model"),
-        )
+        parts.where("word IS NOT NULL").select("row", "word", "n").join(counts.select("word", F.col("n").alias("c")), "word")
+        .groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("logs"))
     )
-    plus = lambda name: F.coalesce(F.col(f"more_{name}"), F.lit(0))
+    plus = lambda name, more: F.col(name) + F.coalesce(F.col(more), F.lit(0))
     return results.join(rare, "row", "left").select(
-        "doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("known") + plus("known")).alias("n_known"),
-        F.lit(v.tokens).cast("long").alias("train_tokens"), (F.col("base") + plus("base")).alias("base_score"),
-        (F.col("model") + plus("model")).alias("score"),
+        "doc_id", "held_out", F.col("n").alias("n_tokens"), plus("known", "more").alias("n_known"),
+        F.lit(v.tokens).cast("long").alias("train_tokens"), plus("base", "logs").alias("base_score"),
+        plus("model", "logs").alias("score"),
     )

@@ -170,3 +170,52 @@ def test_each_trainer_has_a_task_of_its_own(spark):
         stretches = spark.range(600).select((F.col("id") % trainers).cast("int").alias("trainer"))
         tasks = lm.apart(stretches, trainers).select("trainer", F.spark_partition_id().alias("task")).distinct().collect()
         assert len(tasks) == trainers == len({r["task"] for r in tasks})
+
+
+def test_numbers_travel_as_bytes(spark, docs):
+    """A list of numbers passes Spark number by number; the bytes of a text pass at once."""
+    for head, kind in ((lm.HEAD, np.uint16), (1 << 16, np.int32)):
+        numbers = np.array([0, 5, head + lm.SHAPES - 1, 7, 0], dtype=lm.number_type(head))
+        assert numbers.dtype == kind
+        cells = lm.as_bytes(numbers, np.array([0, 2, 2, 5]))
+        for part, want in ((cells, [[0, 5], [], [int(numbers[2]), 7, 0]]), (cells.slice(1), [[], [int(numbers[2]), 7, 0]]), (cells.slice(1, 1), [[]])):
+            found, ends = lm.from_bytes(part, numbers.dtype)
+            assert [found[a:b].tolist() for a, b in zip(ends, ends[1:])] == want
+    v, _ = small()
+    frame = docs([(1, "w3 other w0"), (2, None)], extra=False).select(
+        "doc_id", F.col("doc_id").alias("row"), F.coalesce("text", F.lit("")).alias("text"), F.lit(False).alias("held_out")
+    )
+    rows = lm.coded(frame, spark.sparkContext.broadcast({"vocabulary": vars(v)})).where("word IS NULL").orderBy("row").collect()
+    coder = lm.Coder(v)
+    assert [np.frombuffer(r["numbers"], dtype=np.uint16).tolist() for r in rows] == [[coder.number(x) for x in (b"w3", b"other", b"w0", b"")], [0]]
+
+
+def test_logits_far_from_zero():
+    """Exponentials that overflow or vanish are formed again from the largest logit."""
+    v, w = small()
+    states = np.random.default_rng(3).uniform(-1, 1, (5, lm.STATE))
+    targets = np.array([0, 3, 66, v.head + 2, 69])
+    for shift in (0.0, 400.0, -400.0):
+        far = {n: x.copy() for n, x in w.items()}
+        far["class"][-1] += shift
+        far["word"][:, -1] += shift
+        far = {n: x.astype(np.float32) for n, x in far.items()}
+        found = lm.log_chances(far, states.astype(np.float32), targets, v.head)
+        assert found == pytest.approx(lm.log_chances(w, states, targets, v.head), abs=1e-3)
+
+
+def test_a_step_of_learning_in_strips(monkeypatch):
+    v, w = small()
+    rng = np.random.default_rng(8)
+    plain, mean, square = ({n: f(x) for n, x in w.items()} for f in (np.copy, np.zeros_like, np.zeros_like))
+    monkeypatch.setattr(lm, "STRIP", 100)
+    adam = lm.Adam(w, 0.01)
+    for step in (1, 2, 3):
+        g = {n: rng.normal(0, 0.01, x.shape) for n, x in w.items()}
+        norm = max(1.0, math.sqrt(sum((x * x).sum() for x in g.values())))
+        for n, x in g.items():
+            mean[n] = 0.9 * mean[n] + 0.1 * x / norm
+            square[n] = 0.99 * square[n] + 0.01 * (x / norm) ** 2
+            plain[n] -= 0.01 * math.sqrt(1 - 0.99**step) / (1 - 0.9**step) * mean[n] / (np.sqrt(square[n]) + 1e-8)
+        adam.update(w, g)
+    assert all(w[n] == pytest.approx(plain[n], abs=1e-9) for n in w)

@@ -13,7 +13,6 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +41,12 @@ IS_PUNCTUATION = np.array([b in PUNCTUATION for b in range(256)], dtype=np.int32
 STRETCH, WINDOW, LANES = 512, 16, 128
 #: Tokens that one trainer takes, rounds of training and averaging, step size.
 TRAINER_TOKENS, ROUNDS, RATE = 1 << 22, 3, 0.008
-#: Bytes of text that are taken apart at once.
-PIECE = 1 << 23
+#: Bytes of text that are taken apart at once, and pieces whose words are counted together.
+PIECE, PIECES = 1 << 23, 4
 #: Tokens of a window and texts side by side when scoring.
 SCORE_WINDOW, SCORE_LANES = 32, 256
-#: Numbers of a model that travel in one row, and that one step of learning takes at once.
-CHUNK, STRIP = 4_096, 16_384
+#: Numbers of a model that travel in one row.
+CHUNK = 4_096
 
 
 def keep_freed_memory() -> None:
@@ -110,17 +109,28 @@ def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word, shape, n`` over all texts."""
 
+    def added(found: list[pa.StructArray], ends: int) -> pa.RecordBatch:
+        """Counts of several pieces, each word once, and the ends of their texts."""
+        each = pa.table({k: pa.chunked_array([x.field(k) for x in found]) for k in ("values", "counts")})
+        whole = each.group_by("values", use_threads=False).aggregate([("counts", "sum")]).combine_chunks()
+        words, n = whole["values"].combine_chunks(), whole["counts_sum"].to_numpy()
+        return pa.record_batch({
+            "word": pa.concat_arrays([words, pa.array([END], pa.binary())]),
+            "shape": pa.array(np.append(shapes_of(words), -1), pa.int32()), "n": pa.array(np.append(n, ends), pa.int64()),
+        })
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_freed_memory()
+        found, ends = [], 0
         for batch in batches:
             for piece in pieces(batch):
-                seen = words_in(piece["text"])[0].value_counts()
-                words, numbers = seen.field("values"), seen.field("counts")
-                yield pa.record_batch({
-                    "word": pa.concat_arrays([words, pa.array([END], pa.binary())]),
-                    "shape": pa.array(np.append(shapes_of(words), -1), pa.int32()),
-                    "n": pa.array(np.append(numbers.to_numpy(), piece.num_rows), pa.int64()),
-                })
+                found.append(words_in(piece["text"])[0].value_counts())
+                ends += piece.num_rows
+                if len(found) == PIECES:
+                    yield added(found, ends)
+                    found, ends = [], 0
+        if found:
+            yield added(found, ends)
 
     found = texts.select("text").mapInArrow(run, "word binary, shape int, n long")
     return found.groupBy("word", "shape").agg(F.sum("n").alias("n"))
@@ -148,8 +158,12 @@ class Vocabulary:
 def vocabulary(counts: DataFrame, head: int = HEAD, held: int = HELD_WORDS) -> Vocabulary:
     # Only words about as frequent as the last one held are sorted.
     order = F.floor(F.log2("n") * 8).cast("int")
+    sizes = counts.groupBy("shape", order.alias("bucket")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
+    buckets: Counter[int] = Counter()
+    for r in sizes:
+        buckets[r["bucket"]] += r["words"]
     least, found = 0, 0
-    for bucket, n in sorted((tuple(r) for r in counts.groupBy(order).count().collect()), reverse=True):
+    for bucket, n in sorted(buckets.items(), reverse=True):
         least, found = bucket, found + n
         if found > held:
             break
@@ -158,13 +172,13 @@ def vocabulary(counts: DataFrame, head: int = HEAD, held: int = HELD_WORDS) -> V
         .select("word", "n").collect()
     )
     words, numbers = [bytes(r["word"]) for r in top], [r["n"] for r in top]
-    by_shape = counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
-    tokens, distinct = sum(r["n"] for r in by_shape), sum(r["words"] for r in by_shape)
+    tokens, distinct = sum(r["n"] for r in sizes), sum(r["words"] for r in sizes)
     shape_tokens, shape_words = [0] * SHAPES, [0] * SHAPES
-    for r in by_shape:
+    for r in sizes:
         if r["shape"] >= 0:
-            shape_tokens[r["shape"]], shape_words[r["shape"]] = r["n"], r["words"]
-    ends = sum(r["n"] for r in by_shape if r["shape"] < 0)
+            shape_tokens[r["shape"]] += r["n"]
+            shape_words[r["shape"]] += r["words"]
+    ends = sum(r["n"] for r in sizes if r["shape"] < 0)
     words.insert(0, END)  # the network always knows the end
     numbers.insert(0, ends)
     own = min(head, len(words))
@@ -242,26 +256,27 @@ def gru(w: dict, inputs: np.ndarray, state: np.ndarray, fresh: np.ndarray | None
         into = w["input"].T @ vectors.transpose(0, 2, 1)
         into += w["gates"][:, None]
     else:
-        into = np.empty((steps, 3 * size, lanes), dtype=projected.dtype)
-        for t in range(steps):
-            into[t] = projected.take(inputs[t], 0).T
+        into = None
     recur = np.ascontiguousarray(w["recur"].T)
     first = state = np.ascontiguousarray(state.T, dtype=recur.dtype)
-    held = np.empty((steps, 3 * size, lanes), dtype=recur.dtype)
-    gates = np.empty((steps, 2 * size, lanes), dtype=recur.dtype)
-    new = np.empty((steps, size, lanes), dtype=recur.dtype)
+    kept_steps = steps if projected is None else 1  # scores need no way back: one step's room stays near the processor
+    held = np.empty((kept_steps, 3 * size, lanes), dtype=recur.dtype)
+    gates = np.empty((kept_steps, 2 * size, lanes), dtype=recur.dtype)
+    new = np.empty((kept_steps, size, lanes), dtype=recur.dtype)
     states = with_ones(steps, lanes, recur.dtype)
     for t in range(steps):
+        k = t % kept_steps
+        given, own, fill = projected.take(inputs[t], 0).T if into is None else into[t], held[k], new[k]
         if fresh is not None:
             state = state * ~fresh[t]
-        np.matmul(recur, state, out=held[t])
-        both = sigmoid(np.add(into[t, : 2 * size], held[t, : 2 * size], out=gates[t]))
-        np.multiply(both[size:], held[t, 2 * size :], out=new[t])
-        new[t] += into[t, 2 * size :]
-        np.tanh(new[t], out=new[t])
-        following = np.subtract(state, new[t], out=states[t, :size])
+        np.matmul(recur, state, out=own)
+        both = sigmoid(np.add(given[: 2 * size], own[: 2 * size], out=gates[k]))
+        np.multiply(both[size:], own[2 * size :], out=fill)
+        fill += given[2 * size :]
+        np.tanh(fill, out=fill)
+        following = np.subtract(state, fill, out=states[t, :size])
         following *= both[:size]
-        following += new[t]
+        following += fill
         state = following
     return states[:, :size].transpose(0, 2, 1), state.T, (vectors, first, states, gates, new, held[:, 2 * size :])
 
@@ -414,6 +429,8 @@ def gradients(w: dict, inputs: np.ndarray, targets: np.ndarray, state: np.ndarra
 
 
 class Adam:
+    """``mean`` is held ten times and ``square`` a hundred times, so that slopes are added as they are."""
+
     def __init__(self, w: dict, rate: float):
         self.rate, self.steps = rate, 0
         self.mean = {n: np.zeros_like(x) for n, x in w.items()}
@@ -423,45 +440,48 @@ class Adam:
         """``g`` is used up."""
         self.steps += 1
         norm = math.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
-        tenth = 0.1 / max(1.0, norm)
         rate = self.rate * math.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
-        for n in g:
-            whole = [x.reshape(-1) for x in (g[n], self.mean[n], self.square[n], w[n])]
-            for k in range(0, len(whole[0]), STRIP):
-                x, mean, square, weights = (a[k : k + STRIP] for a in whole)
-                x *= tenth
-                mean *= 0.9
-                mean += x
-                x *= x  # a tenth, squared: a hundredth of the square
-                square *= 0.99
-                square += x
-                np.sqrt(square, out=x)
-                x += 1e-8
-                np.divide(mean, x, out=x)
-                x *= rate
-                weights -= x
+        for n, x in g.items():
+            mean, square = self.mean[n], self.square[n]
+            if norm > 1.0:
+                x *= 1 / norm
+            mean *= 0.9
+            mean += x
+            x *= x
+            square *= 0.99
+            square += x
+            np.sqrt(square, out=x)
+            x += 1e-7
+            np.divide(mean, x, out=x)
+            x *= rate
+            w[n] -= x
 
 
 def train_on(w: dict, stretches: Iterator[np.ndarray], head: int, optimizer: Adam) -> int:
     """Truncated backpropagation over stretches of numbers; how many tokens it took."""
     tokens = 0
-    block: list[np.ndarray] = []  # what each lane has still to read, with the number before it
-    state = np.zeros((0, STATE), dtype=np.float32)
+    lanes = np.full((LANES, STRETCH + 1 + WINDOW), -1, dtype=np.int64)  # a row is what a lane reads
+    at, ends = np.zeros(LANES, dtype=np.int64), np.zeros(LANES, dtype=np.int64)
+    state = np.zeros((LANES, STATE), dtype=np.float32)
     while True:
-        stay = [lane for lane, left in enumerate(block) if len(left) > 1]
-        fresh = [s for s in islice(stretches, LANES - len(stay)) if len(s) > 1]
-        block = [block[lane] for lane in stay] + fresh
-        if not block:
+        for lane in np.flatnonzero(at + 1 >= ends).tolist():
+            begun = next((s for s in stretches if len(s) > 1), None)
+            if begun is None:
+                ends[lane] = 0
+                continue
+            if len(begun) + WINDOW > lanes.shape[1]:
+                lanes = np.pad(lanes, ((0, 0), (0, len(begun) + WINDOW - lanes.shape[1])), constant_values=-1)
+            lanes[lane, : len(begun)] = begun
+            lanes[lane, len(begun) :] = -1
+            at[lane], ends[lane], state[lane] = 0, len(begun), 0
+        active = np.flatnonzero(ends)
+        if not len(active):
             return tokens
-        state = np.concatenate([state[stay], np.zeros((len(fresh), STATE), dtype=np.float32)])
-        grid = np.full((len(block), WINDOW + 1), -1, dtype=np.int64)
-        for lane, left in enumerate(block):
-            grid[lane, : len(left)] = left[: WINDOW + 1]
-            block[lane] = left[WINDOW:]
-        grid = np.ascontiguousarray(grid.T)
-        slopes, state = gradients(w, np.maximum(grid[:-1], 0), grid[1:], state, head)
+        grid = lanes[active, at[active] + np.arange(WINDOW + 1)[:, None]]
+        slopes, state[active] = gradients(w, np.maximum(grid[:-1], 0), grid[1:], state[active], head)
         optimizer.update(w, slopes)
         tokens += int((grid[1:] >= 0).sum())
+        at += WINDOW
 
 
 def packed(w: dict) -> np.ndarray:
@@ -518,33 +538,31 @@ def coded(texts: DataFrame, shared) -> DataFrame:
         log_all = np.log10(float(v.tokens + v.distinct + 1))
         log_of = np.append(np.log10(c + 1), 0.0)
         number_of = np.append(np.where(np.arange(none) < v.head, np.arange(none), v.head + shapes), 0).astype(number_type(v.head))
+        inner_of = log_of - np.append(room[shapes], 0.0)
+        inner_of[: v.head] = 0.0  # the network's own words add nothing to its score here
         known_of = np.append(c > 0, False)
         for batch in batches:
             for piece in pieces(batch):
                 words, sizes = words_in(piece["text"])
-                words = words.dictionary_encode()
-                different, which = words.dictionary, words.indices.to_numpy()
-                places = pc.fill_null(pc.index_in(different, value_set=held), none).to_numpy()
-                numbers, lost = number_of[places], places == none
-                numbers[lost] = v.head + shapes_of(different.filter(pa.array(lost)))
+                places = pc.fill_null(pc.index_in(words, value_set=held), none).to_numpy()
+                lost = np.flatnonzero(places == none)
+                rare = words.take(pa.array(lost)).dictionary_encode()
+                different, which = rare.dictionary, rare.indices.to_numpy()
+                shape = shapes_of(different)[which]
+                numbers, inner = number_of[places], inner_of[places]
+                numbers[lost], inner[lost] = v.head + shape, -room[shape]
                 texts = len(sizes)
                 owner = np.repeat(np.arange(texts), sizes)
-                whole = np.zeros(len(which) + texts, dtype=numbers.dtype)  # number 0 is the end
-                whole[np.arange(len(which)) + owner] = numbers[which]
-                ends = np.append(0, np.cumsum(sizes + 1))
-                of = places[which]
-                # Of each different word: what it adds outside the network, whose own words add nothing here.
-                inner = log_of[places] - room[np.maximum(numbers.astype(np.int64) - v.head, 0)]
-                inner[places < v.head] = 0.0
-                known = np.bincount(owner, known_of[of], texts) + known_of[0]
-                base = np.bincount(owner, log_of[of], texts) + log_of[0] - (sizes + 1) * log_all
+                whole = np.zeros(len(numbers) + texts, dtype=numbers.dtype)  # number 0 is the end
+                whole[np.arange(len(numbers)) + owner] = numbers
+                known = np.bincount(owner, known_of[places], texts) + known_of[0]
+                base = np.bincount(owner, log_of[places], texts) + log_of[0] - (sizes + 1) * log_all
                 yield batch_of(
-                    texts, row=piece["row"], doc_id=piece["doc_id"], held_out=piece["held_out"], n=sizes + 1,
-                    known=known.astype(np.int64), base=base, model=np.bincount(owner, inner[which], texts), numbers=as_bytes(whole, ends),
+                    texts, row=piece["row"], doc_id=piece["doc_id"], held_out=piece["held_out"], n=sizes + 1, known=known.astype(np.int64),
+                    base=base, model=np.bincount(owner, inner, texts), numbers=as_bytes(whole, np.append(0, np.cumsum(sizes + 1))),
                 )
-                rare = np.flatnonzero(of == none)
-                if len(rare):
-                    pairs, n = np.unique(owner[rare] * len(different) + which[rare], return_counts=True)
+                if len(lost):
+                    pairs, n = np.unique(owner[lost] * len(different) + which, return_counts=True)
                     text, word = np.divmod(pairs, len(different))
                     yield batch_of(len(n), row=piece["row"].to_numpy()[text], word=different.take(pa.array(word)), n=n)
 

@@ -204,11 +204,10 @@ def test_logits_far_from_zero():
         assert found == pytest.approx(lm.log_chances(w, states, targets, v.head), abs=1e-3)
 
 
-def test_a_step_of_learning_in_strips(monkeypatch):
+def test_a_step_of_learning():
     v, w = small()
     rng = np.random.default_rng(8)
     plain, mean, square = ({n: f(x) for n, x in w.items()} for f in (np.copy, np.zeros_like, np.zeros_like))
-    monkeypatch.setattr(lm, "STRIP", 100)
     adam = lm.Adam(w, 0.01)
     for step in (1, 2, 3):
         g = {n: rng.normal(0, 0.01, x.shape) for n, x in w.items()}
@@ -219,3 +218,15 @@ def test_a_step_of_learning_in_strips(monkeypatch):
             plain[n] -= 0.01 * math.sqrt(1 - 0.99**step) / (1 - 0.9**step) * mean[n] / (np.sqrt(square[n]) + 1e-8)
         adam.update(w, g)
     assert all(w[n] == pytest.approx(plain[n], abs=1e-9) for n in w)
+
+
+def test_words_of_several_pieces_are_counted_once(spark, docs, monkeypatch):
+    """Pieces of a task that share words give one row for each, with the ends of all texts."""
+    monkeypatch.setattr(lm, "PIECE", 1)
+    monkeypatch.setattr(lm, "PIECES", 3)
+    texts = [f"the cat{k % 2} a1, {'the ' * k}" for k in range(7)] + ["", " "]
+    frame = docs(list(enumerate(texts)), extra=False).select("text").coalesce(1)
+    want = Counter(x for t in texts for x in [*t.encode().split(), b""])
+    assert {bytes(r["word"]): (r["shape"], r["n"]) for r in lm.word_counts(frame).collect()} == {
+        x: (lm.shape_of(x) if x else -1, n) for x, n in want.items()
+    }
